@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference defines no streaming operator (no watermark, event-time window, stateful
+operator or late-data rule). "Live" numbers are views re-evaluated when read; here that
+is lazy DataFrame evaluation, and landing lag is handled by windows that end yesterday
+(``functions.dates.window_bounds``) plus the freshness check (``sources.freshness``).
+"""
