@@ -142,7 +142,7 @@ def _component_date(comp) -> Column:
 
 
 def unpivot_components(won: DataFrame, components=None, keep=("deal_id", "closer_owner_id"),
-                       cfg: PipelineConfig = DEFAULT) -> DataFrame:
+                       cfg: PipelineConfig = DEFAULT, only_valid: bool = True) -> DataFrame:
     """U1 + P12: dated payment components of a wide deal row -> one row each, in one scan
     (``inline(array(struct))``), keeping positive amounts that have a date."""
     comps = components if components is not None else cfg.components
@@ -159,7 +159,7 @@ def unpivot_components(won: DataFrame, components=None, keep=("deal_id", "closer
         for c in comps
     ]
     out = won.select(*keep, F.inline(F.array(*structs)))
-    return out.filter(valid_component())
+    return out.filter(valid_component()) if only_valid else out
 
 
 def valid_component() -> Column:

@@ -242,3 +242,47 @@ def product_map(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
 
 def tier_map(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
     return load_dim(spark, "dim_member_tier_map")
+
+
+# ---------------------------------------------------------------- second system (R*)
+
+
+def other_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second system's deal records: live deals under its own property names, with ids
+    % 97 = 0 missing and the base cash of ids % 89 = 0 shifted by 100."""
+    from dealflow.sources.scans import live_rows
+
+    d = live_rows(raw_deal(spark, sf_dir)).filter(F.col("deal_id") % 97 != 0)
+    k = F.col("deal_id")
+    return d.select(
+        k.cast("string").alias("id"),
+        F.col("deal_pipeline_id").alias("pipeline"),
+        F.col("deal_pipeline_stage_id").alias("dealstage"),
+        F.col("owner_id").cast("string").alias("hubspot_owner_id"),
+        F.col("property_upsell_close_date").alias("upsell___close_date"),
+        F.when(k % 89 == 0, F.col("property_cash_collected") + 100.0).otherwise(
+            F.col("property_cash_collected")).alias("cash_collected"),
+        F.col("property_additional_payment_1_amount").alias("additional_payment_1_amount"),
+        F.col("property_additional_payment_1_stamped_date").alias("additional_payment_1_stamped_date"),
+        F.col("property_additional_payment_2_amount").alias("additional_payment_2_amount"),
+        F.col("property_additional_payment_2_stamped_date").alias("additional_payment_2_stamped_date"),
+        F.col("property_collected_amount_additional_payment_3").alias("collected_amount__additional_payment_3"),
+        F.col("property_collected_date_additional_payment_3").alias("collected_date__additional_payment_3"),
+        F.col("property_collected_amount_additional_payment_4").alias("collected_amount__additional_payment_4"),
+        F.col("property_collected_date_additional_payment_4").alias("collected_date__additional_payment_4"),
+        F.col("property_upsell_plan").alias("upsell_plan"),
+        F.col("property_renewal_traffic_source").alias("renewal_traffic_source"),
+    )
+
+
+def other_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dealflow.sources.scans import live_rows
+
+    m = live_rows(raw_meeting(spark, sf_dir)).filter(F.col("engagement_id") % 97 != 0)
+    return m.select(
+        F.col("engagement_id").cast("string").alias("id"),
+        F.col("property_hs_activity_type").alias("hs_activity_type"),
+        F.col("property_hs_meeting_outcome").alias("hs_meeting_outcome"),
+        F.col("property_hubspot_owner_id").cast("string").alias("hubspot_owner_id"),
+        F.col("property_hs_meeting_start_time").alias("hs_meeting_start_time"),
+    )

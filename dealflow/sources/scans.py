@@ -37,13 +37,16 @@ def assoc(df: DataFrame, left: str, right: str, left_as: str | None = None,
 
 
 def freshness(df: DataFrame, ts_col: str, now, warn_hours: float = FRESHNESS_WARN_HOURS,
-              error_hours: float = FRESHNESS_ERROR_HOURS) -> DataFrame:
-    """One row - newest load time, its age in hours and pass / warn / error."""
+              error_hours: float = FRESHNESS_ERROR_HOURS, by=None) -> DataFrame:
+    """Newest load time, its age in hours and pass / warn / error (one row, or one
+    per ``by`` group)."""
     now_c = F.lit(now) if not isinstance(now, Column) else now
-    agg = df.agg(F.max(F.col(ts_col)).alias("max_loaded_at"))
+    by = list(by or [])
+    mx = F.max(F.col(ts_col)).alias("max_loaded_at")
+    agg = df.groupBy(*by).agg(mx) if by else df.agg(mx)
     age = (F.unix_timestamp(now_c.cast("timestamp")) - F.unix_timestamp(F.col("max_loaded_at").cast("timestamp"))) / 3600.0
     return agg.select(
-        "max_loaded_at",
+        *by, "max_loaded_at",
         F.round(age, 2).alias("age_hours"),
         F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
         .when(age > error_hours, F.lit("error"))
