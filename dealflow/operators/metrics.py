@@ -160,12 +160,14 @@ def on_fire(report: DataFrame) -> DataFrame:
     return top_closer(report, "cash_today", 0)
 
 
-def top_closer(report: DataFrame, metric: str = "cash_today", minimum: float = 0) -> DataFrame:
-    """Top-1 closer by ``metric`` above ``minimum`` (TakeOrderedAndProject)."""
+def top_closer(report: DataFrame, metric: str = "cash_today", minimum: float = 0,
+               cols=("closer_owner_id", "closer_name", "deals_today")) -> DataFrame:
+    """Top-1 closer by ``metric`` above ``minimum`` (TakeOrderedAndProject over
+    one row per closer)."""
     return (report.filter(F.col(metric) > minimum)
             .orderBy(F.col(metric).desc(), F.col("closer_owner_id").asc())
             .limit(1)
-            .select("closer_owner_id", "closer_name", metric, "deals_today"))
+            .select(*[c for c in cols if c != metric], metric))
 
 
 def today_calls(meetings: DataFrame, as_of, by=(OWNER,), closing_basis: str = "flag") -> DataFrame:

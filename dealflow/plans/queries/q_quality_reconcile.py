@@ -1,0 +1,229 @@
+"""Q1-Q6 (data quality), R1-R8 (reconciliation), U4 / T3 (audit differences)."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from dealflow import config as C
+from dealflow.operators import models as M
+from dealflow.operators import quality as Q
+from dealflow.operators import reconcile as RC
+from dealflow.plans import standins as S
+from dealflow.plans.context import Models
+from dealflow.plans.oracle import W_END, W_START, lst, sql
+from dealflow.plans.queries.q_joins_aggs import sides
+from dealflow.plans.registry import register
+
+REPORT_COLS = ("metric_id", "metric_name", "owner_id", "verdict", "a_value", "b_value", "detail")
+WIN = f"BETWEEN DATE '{W_START}' AND DATE '{W_END}'"
+
+
+def reconcile_full(spark, sf_dir, requested=None) -> DataFrame:
+    a, b, metrics = sides(spark, sf_dir)
+    return RC.reconcile(a, b, metrics, requested=requested)
+
+
+def reconcile_report(spark, sf_dir) -> DataFrame:
+    """R7 rows as persisted (ids, numbers, enums, refs and caveats only)."""
+    return reconcile_full(spark, sf_dir).select(*REPORT_COLS, "formula_refs", "caveats")
+
+
+# ---------------------------------------------------------------- Q
+
+
+@register("q1_unique", sql("SELECT engagement_id, count(*) AS n_records FROM raw_engagement_deal "
+                           "WHERE engagement_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"))
+def q1_unique(spark, sf_dir):
+    return Q.check_unique(Models(spark, sf_dir).raw_engagement_deal, "engagement_id")
+
+
+@register("q2_not_null", sql("SELECT engagement_id, deal_id FROM raw_engagement_deal WHERE deal_id IS NULL"))
+def q2_not_null(spark, sf_dir):
+    return Q.check_not_null(Models(spark, sf_dir).raw_engagement_deal, "deal_id")
+
+
+_ALL_TYPES = C.PC_ACTIVITY_TYPES + C.RC_ACTIVITY_TYPES + C.PWC_ACTIVITY_TYPES + C.WB_ACTIVITY_TYPES
+
+
+@register("q3_values", sql(f"SELECT meeting_id, activity_type FROM stg_meetings WHERE activity_type IS NOT NULL "
+                           f"AND activity_type NOT IN ({lst(_ALL_TYPES)})"))
+def q3_values(spark, sf_dir):
+    return Q.check_values(Models(spark, sf_dir).stg_meetings, "activity_type", _ALL_TYPES).select(
+        "meeting_id", "activity_type")
+
+
+@register("q4_values_warn", sql(
+    "SELECT 'fct_meetings.meeting_outcome accepted' AS \"check\", 'warn' AS severity, count(*) AS failing_rows "
+    f"FROM fct_meetings WHERE meeting_outcome IS NOT NULL AND meeting_outcome NOT IN ({lst(Q.KNOWN_OUTCOMES)}) "
+    "UNION ALL SELECT 'stg_meetings.activity_type accepted', 'warn', count(*) FROM stg_meetings "
+    f"WHERE activity_type IS NOT NULL AND activity_type NOT IN ({lst(_ALL_TYPES)})"))
+def q4_values_warn(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    return Q.run_checks([
+        ("fct_meetings.meeting_outcome accepted", "warn", Q.check_values(m.meetings_fct, "meeting_outcome", Q.KNOWN_OUTCOMES)),
+        ("stg_meetings.activity_type accepted", "warn", Q.check_values(m.stg_meetings, "activity_type", _ALL_TYPES)),
+    ])
+
+
+@register("q5_first_call", sql(
+    "SELECT deal_id, meeting_category, count(*) AS completed_calls, count_if(is_first_call) AS flagged_first "
+    "FROM fct_meetings WHERE is_completed AND meeting_category IN ('RC', 'PWC', 'WB') AND deal_id IS NOT NULL "
+    "GROUP BY 1, 2 HAVING count_if(is_first_call) <> 1"))
+def q5_first_call(spark, sf_dir):
+    return Q.check_first_call(Models(spark, sf_dir).meetings_fct)
+
+
+def _components_sql() -> str:
+    rows = [("base", "cash_collected", "close_date_et")] + [
+        (c.name, c.amount_col, f"CAST({c.date_col} AS DATE)") for c in C.DEFAULT_COMPONENTS[1:]]
+    return " UNION ALL ".join(f"SELECT deal_id, '{n}' AS cash_component, {a} AS cash_amount FROM int_won" for n, a, _ in rows)
+
+
+@register("q6_nonneg", sql(f"SELECT deal_id, cash_component, cash_amount FROM ({_components_sql()}) WHERE cash_amount < 0"))
+def q6_nonneg(spark, sf_dir):
+    m = Models(spark, sf_dir)
+    u = M.unpivot_components(m.won, keep=("deal_id",), cfg=m.cfg, only_valid=False)
+    return Q.check_nonneg(u)
+
+
+@register("q7_check_summary")
+def q7_check_summary(spark, sf_dir):
+    """All column tests of the models as one (check, severity, failing_rows) table."""
+    return Q.run_checks(Q.model_checks(Models(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- R
+
+
+@register("r1_exact", sql(
+    "SELECT metric_id, owner_id, CASE WHEN a_value IS NULL OR b_value IS NULL THEN 'not_checkable' "
+    "WHEN abs(a_value - b_value) <= 0 THEN 'confirmed' ELSE 'discrepancy' END AS verdict, "
+    "CASE WHEN a_value IS NULL OR b_value IS NULL THEN 'one side returned no data' WHEN abs(a_value - b_value) <= 0 THEN '' "
+    "ELSE printf('diff=%+.2f (tolerance=0)', a_value - b_value) END AS detail FROM aligned"))
+def r1_exact(spark, sf_dir):
+    a, b, _ = sides(spark, sf_dir)
+    al = RC.align(a, b)
+    v, d = RC.verdict_exact(F.col("a_value"), F.col("b_value"), 0)
+    return al.select("metric_id", "owner_id", v.alias("verdict"), d.alias("detail"))
+
+
+@register("r2_ratio", sql(
+    "SELECT metric_id, owner_id, CASE WHEN a_value IS NULL OR b_value IS NULL THEN 'not_checkable' "
+    "WHEN a_value = 0 AND b_value = 0 THEN 'confirmed' WHEN a_value = 0 OR b_value = 0 THEN 'discrepancy' "
+    f"WHEN abs(a_value / b_value - 1) <= {C.RATIO_TOLERANCE} THEN 'confirmed' ELSE 'discrepancy' END AS verdict FROM aligned"))
+def r2_ratio(spark, sf_dir):
+    a, b, _ = sides(spark, sf_dir)
+    al = RC.align(a, b)
+    v, _d = RC.verdict_ratio(F.col("a_value"), F.col("b_value"))
+    return al.select("metric_id", "owner_id", v.alias("verdict"))
+
+
+@register("r3_not_checkable", sql(f"SELECT {', '.join(REPORT_COLS)} FROM rec WHERE verdict = 'not_checkable'"))
+def r3_not_checkable(spark, sf_dir):
+    return reconcile_full(spark, sf_dir).filter(F.col("verdict") == "not_checkable").select(*REPORT_COLS)
+
+
+@register("r4_reconcile", sql(f"SELECT {', '.join(REPORT_COLS)} FROM rec"))
+def r4_reconcile(spark, sf_dir):
+    return reconcile_full(spark, sf_dir).select(*REPORT_COLS)
+
+
+_R5_IDS = ("deals_won", "total_cash", "rc_completed", "rc_close_pct", "avg_dpl")
+
+
+@register("r5_by_owner", sql(
+    f"SELECT {', '.join(REPORT_COLS)} FROM rec WHERE owner_id IS NOT NULL AND metric_id IN "
+    f"({lst(('deals_won', 'total_cash', 'rc_close_pct', 'avg_dpl'))})"))
+def r5_by_owner(spark, sf_dir):
+    """Per-closer scope; asking for rc_close_pct / avg_dpl pulls in rc/pwc/wb completed,
+    which stay hidden because only deals_won and total_cash are requested as bases."""
+    out = reconcile_full(spark, sf_dir, requested=["deals_won", "total_cash", "rc_close_pct", "avg_dpl"])
+    return out.filter(F.col("owner_id").isNotNull()).select(*REPORT_COLS)
+
+
+def audit_ids(spark, sf_dir):
+    """(metric_id, id) on both sides for the audit-supported metrics, team scope."""
+    m = Models(spark, sf_dir)
+    s, e = S.WINDOW
+    won = m.won_fct.filter(F.col("close_date_et").between(s, e)).select(F.lit("deals_won").alias("metric_id"),
+                                                                        F.col("deal_id").alias("id"))
+    parts_a = [won]
+    for cat, mid in (("PC", "pc_completed"), ("RC", "rc_completed"), ("PWC", "pwc_completed")):
+        parts_a.append(m.meetings_fct.filter((F.col("meeting_category") == cat) & F.col("is_completed")
+                                             & F.col("meeting_date_et").between(s, e))
+                       .select(F.lit(mid).alias("metric_id"), F.col("meeting_id").alias("id")))
+    deals, meets = S.other_deals(spark, sf_dir), S.other_meetings(spark, sf_dir)
+    parts_b = []
+    for mt in RC.BASE_METRICS:
+        if mt.id not in RC.AUDIT_SUPPORTED:
+            continue
+        src = deals if mt.obj == "deals" else meets
+        parts_b.append(RC.filter_by_spec(src, mt.filters, s.isoformat(), e.isoformat(), None)
+                       .select(F.lit(mt.id).alias("metric_id"), "id"))
+    return reduce(DataFrame.unionByName, parts_a), reduce(DataFrame.unionByName, parts_b)
+
+
+def _audit_sql() -> str:
+    from dealflow.plans.oracle import _spec_sql
+
+    a = [f"SELECT 'deals_won' AS metric_id, CAST(deal_id AS VARCHAR) AS id FROM fct_won WHERE close_date_et {WIN}"]
+    for cat, mid in (("PC", "pc_completed"), ("RC", "rc_completed"), ("PWC", "pwc_completed")):
+        a.append(f"SELECT '{mid}', CAST(meeting_id AS VARCHAR) FROM fct_meetings WHERE meeting_category = '{cat}' "
+                 f"AND is_completed AND meeting_date_et {WIN}")
+    b = []
+    for mt in RC.BASE_METRICS:
+        if mt.id in RC.AUDIT_SUPPORTED:
+            src = "other_deals" if mt.obj == "deals" else "other_meetings"
+            b.append(f"SELECT '{mt.id}' AS metric_id, id FROM {src} WHERE {_spec_sql(mt.filters)}")
+    return (f"SELECT DISTINCT x.metric_id, 'missing_in_other' AS side, x.id FROM ({' UNION ALL '.join(a)}) x "
+            f"WHERE NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(b)}) y WHERE y.metric_id = x.metric_id AND y.id = x.id) "
+            f"UNION ALL SELECT DISTINCT y.metric_id, 'extra_in_other', y.id FROM ({' UNION ALL '.join(b)}) y "
+            f"WHERE NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(a)}) x WHERE y.metric_id = x.metric_id AND y.id = x.id)")
+
+
+def audit(spark, sf_dir) -> DataFrame:
+    """Record-level audit of every supported metric in one pass (anti joins keyed by
+    metric and id)."""
+    a, b = audit_ids(spark, sf_dir)
+    a = a.select("metric_id", F.col("id").cast("string").alias("id")).distinct()
+    b = b.select("metric_id", F.col("id").cast("string").alias("id")).distinct()
+    missing = a.join(b, ["metric_id", "id"], "left_anti").select("metric_id", F.lit("missing_in_other").alias("side"), "id")
+    extra = b.join(a, ["metric_id", "id"], "left_anti").select("metric_id", F.lit("extra_in_other").alias("side"), "id")
+    return missing.unionByName(extra)
+
+
+@register("r6_audit", sql(_audit_sql()))
+def r6_audit(spark, sf_dir):
+    return audit(spark, sf_dir)
+
+
+@register("u4_audit_diff", sql(
+    f"SELECT side, id FROM ({_audit_sql()}) WHERE metric_id = 'deals_won'"))
+def u4_audit_diff(spark, sf_dir):
+    a, b = audit_ids(spark, sf_dir)
+    return RC.audit_diff(a.filter(F.col("metric_id") == "deals_won"), b.filter(F.col("metric_id") == "deals_won"))
+
+
+@register("t3_sorted_diff", sql(
+    f"SELECT side, id FROM ({_audit_sql()}) WHERE metric_id = 'pc_completed' ORDER BY side, id"))
+def t3_sorted_diff(spark, sf_dir):
+    a, b = audit_ids(spark, sf_dir)
+    d = RC.audit_diff(a.filter(F.col("metric_id") == "pc_completed"), b.filter(F.col("metric_id") == "pc_completed"))
+    return RC.sorted_diff(d)
+
+
+@register("r7_report", sql(
+    f"SELECT r.metric_id, r.metric_name, r.owner_id, r.verdict, r.a_value, r.b_value, r.detail, "
+    "COALESCE(f.refs, '') AS formula_refs FROM rec r LEFT JOIN ref_text f ON r.metric_id = f.metric_id"))
+def r7_report(spark, sf_dir):
+    rep = reconcile_report(spark, sf_dir)
+    return rep.select(*REPORT_COLS, F.concat_ws(";", "formula_refs").alias("formula_refs"))
+
+
+@register("r8_allow_list", sql(f"SELECT {', '.join(REPORT_COLS)} FROM rec WHERE owner_id IS NULL"))
+def r8_allow_list(spark, sf_dir):
+    rep = RC.assert_no_pii(reconcile_report(spark, sf_dir).drop("formula_refs", "caveats"))
+    return rep.filter(F.col("owner_id").isNull())
