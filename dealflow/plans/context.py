@@ -6,6 +6,8 @@ warehouse layers: raw -> staging -> intermediate -> facts -> report.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,9 +19,97 @@ from dealflow.operators import staging as ST
 from dealflow.plans import standins as S
 
 
+# Tables written by ``materialize``: landed raw tables first, then the models in
+# dependency order (each later one is built from the already written ones).
+LANDED = ("raw_deal", "raw_meeting", "raw_engagement_deal", "raw_deal_contact", "raw_contact")
+MODELS = ("deals", "stg_meetings", "meeting_deals", "contact_flags", "won", "cash", "meetings", "won_fct",
+          "meetings_fct", "entries", "snapshot")
+# Date column each table is clustered on inside its files (row-group min/max pruning).
+CLUSTER_BY = {"cash": "cash_date_et", "won": "close_date_et", "won_fct": "close_date_et",
+              "meetings": "meeting_date_et", "meetings_fct": "meeting_date_et", "entries": "entry_date_et",
+              "snapshot": "entry_date_et"}
+INPUTS = ("orders", "lineitem", "events", "customer", "nation")
+FORMAT_VERSION = "1"
+
+
+def _fs_status(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_status(spark, path)
+    return fs.exists(p)
+
+
 class Models:
+    _cache: dict = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str, as_of=S.AS_OF, cfg: PipelineConfig = DEFAULT):
         self.spark, self.sf_dir, self.as_of, self.cfg = spark, sf_dir, as_of, cfg
+        self.materialized_at: str | None = None
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str, as_of=S.AS_OF, cfg: PipelineConfig = DEFAULT,
+           materialize: bool | None = None) -> "Models":
+        """One model graph per (live session, data dir, as_of, config).
+
+        DataFrames are immutable descriptions of work, so queries of one session share
+        them. With ``materialize`` (default: on, ``DEALFLOW_MATERIALIZE=0`` turns it off)
+        the landed tables and the models are written once as parquet tables under the
+        session's checkpoint folder and every query reads those tables, the way the
+        warehouse serves its marts; otherwise everything stays a lazy view.
+        """
+        if materialize is None:
+            materialize = os.environ.get("DEALFLOW_MATERIALIZE", "1") != "0"
+        key = (id(spark._jsparkSession), sf_dir, as_of, cfg, materialize)
+        m = cls._cache.get(key)
+        if m is None:
+            m = cls(spark, sf_dir, as_of, cfg)
+            if materialize:
+                m.materialize()
+            cls._cache[key] = m
+        return m
+
+    def fingerprint(self) -> str:
+        """Inputs (path, size, modification time), as_of, config and format version."""
+        parts = [FORMAT_VERSION, self.sf_dir, str(self.as_of), repr(self.cfg)]
+        for name in INPUTS:
+            path = f"{self.sf_dir}/{name}.parquet"
+            fs, p = _fs_status(self.spark, path)
+            st = fs.getContentSummary(p)
+            parts.append(f"{name}:{st.getLength()}:{fs.getFileStatus(p).getModificationTime()}")
+        return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
+
+    def materialize(self, root: str | None = None) -> str:
+        """Write landed tables and models once (skipped when already written for the same
+        inputs) and re-point this graph at them. Writes go through the job commit
+        protocol, so a lost executor only retries its tasks; a table counts as present
+        only once its ``_SUCCESS`` marker exists."""
+        from dealflow.session import ensure_checkpoint_dir
+
+        root = root or os.path.join(ensure_checkpoint_dir(self.spark), "dealflow-tables", self.fingerprint())
+        for name in LANDED + MODELS:
+            path = f"{root}/{name}"
+            if not exists(self.spark, f"{path}/_SUCCESS"):
+                df = getattr(self, name)
+                if name in CLUSTER_BY:
+                    df = df.sortWithinPartitions(CLUSTER_BY[name])
+                df.write.mode("overwrite").parquet(path)
+            self.__dict__[name] = self.spark.read.parquet(path)
+        self.materialized_at = root
+        return root
+
+    # second system (reconciliation)
+    @cached_property
+    def other_deals(self) -> DataFrame:
+        return S.other_deals(self.spark, self.sf_dir, self.raw_deal)
+
+    @cached_property
+    def other_meetings(self) -> DataFrame:
+        return S.other_meetings(self.spark, self.sf_dir, self.raw_meeting)
 
     # raw landed tables (stand-ins)
     @cached_property

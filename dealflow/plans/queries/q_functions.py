@@ -33,7 +33,7 @@ DAILY_SQL = ("(SELECT closer_owner_id, meeting_date_et, count_if(meeting_categor
 
 @register("f1_et_date", sql(f"SELECT deal_id, property_closedate, {et('property_closedate')} AS close_day_et FROM raw_deal"))
 def f1_et_date(spark, sf_dir):
-    r = Models(spark, sf_dir).raw_deal
+    r = Models.of(spark, sf_dir).raw_deal
     return r.select("deal_id", "property_closedate", D.et_date("property_closedate").alias("close_day_et"))
 
 
@@ -41,7 +41,7 @@ def f1_et_date(spark, sf_dir):
     "SELECT deal_id, CAST(property_upsell_close_date AS DATE) AS close_day, "
     "CAST(property_membership_expiration_date AS DATE) AS expiration_day FROM raw_deal"))
 def f2_date_only(spark, sf_dir):
-    r = Models(spark, sf_dir).raw_deal
+    r = Models.of(spark, sf_dir).raw_deal
     return r.select("deal_id", D.date_only("property_upsell_close_date").alias("close_day"),
                     D.date_only("property_membership_expiration_date").alias("expiration_day"))
 
@@ -49,7 +49,7 @@ def f2_date_only(spark, sf_dir):
 @register("f3_effective_cash", sql("SELECT deal_id, COALESCE(NULLIF(cash_collected, 0), ap1_amount) AS effective_cash "
                                    "FROM stg_deals"))
 def f3_effective_cash(spark, sf_dir):
-    d = Models(spark, sf_dir).deals
+    d = Models.of(spark, sf_dir).deals
     return d.select("deal_id", FL.effective_cash("cash_collected", "ap1_amount").alias("effective_cash"))
 
 
@@ -57,7 +57,7 @@ def f3_effective_cash(spark, sf_dir):
     "SELECT CAST(deal_id AS VARCHAR) AS deal_key, CAST(owner_id AS VARCHAR) AS owner_key, "
     "CAST(property_upsell_close_date AS DATE) AS close_day, CAST(property_cash_collected AS DOUBLE) AS cash FROM raw_deal"))
 def f4_casts(spark, sf_dir):
-    r = Models(spark, sf_dir).raw_deal
+    r = Models.of(spark, sf_dir).raw_deal
     return r.select(F.col("deal_id").cast("string").alias("deal_key"), F.col("owner_id").cast("string").alias("owner_key"),
                     F.col("property_upsell_close_date").cast("date").alias("close_day"),
                     F.col("property_cash_collected").cast("double").alias("cash"))
@@ -67,7 +67,7 @@ def f4_casts(spark, sf_dir):
     "SELECT deal_id, COALESCE(renewal_traffic_source, 'none') AS source_or_none, "
     "NULLIF(renewal_traffic_source, '') AS source_or_null, renewal_traffic_source IS NULL AS source_missing FROM stg_deals"))
 def f5_null_handling(spark, sf_dir):
-    d = Models(spark, sf_dir).deals
+    d = Models.of(spark, sf_dir).deals
     s = F.col("renewal_traffic_source")
     return d.select("deal_id", F.coalesce(s, F.lit("none")).alias("source_or_none"),
                     F.nullif(s, F.lit("")).alias("source_or_null"), s.isNull().alias("source_missing"))
@@ -79,7 +79,7 @@ _start = f"COALESCE(CAST(d.close_date AS DATE), {et('d.close_date_fallback')}, {
 @register("f6_start_date", sql(f"SELECT d.deal_id, {_start} AS start_date_et FROM stg_deals d "
                                "LEFT JOIN stg_deal_contacts tc ON d.deal_id = tc.deal_id"))
 def f6_start_date(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     d = m.deals.join(m.contact_flags, "deal_id", "left")
     return d.select("deal_id", D.start_date("close_date", "close_date_fallback",
                                             "contact_true_renewal_close_date").alias("start_date_et"))
@@ -89,7 +89,7 @@ def f6_start_date(spark, sf_dir):
     "SELECT deal_id, CAST(close_date AS DATE) + CAST(floor(date_diff('day', CAST(close_date AS DATE), "
     "CAST(membership_expiration_date AS DATE)) / 2) AS INTEGER) AS midpoint_et FROM stg_deals"))
 def f7_midpoint(spark, sf_dir):
-    d = Models(spark, sf_dir).deals
+    d = Models.of(spark, sf_dir).deals
     return d.select("deal_id", D.midpoint(D.date_only("close_date"), D.date_only("membership_expiration_date"))
                     .alias("midpoint_et"))
 
@@ -98,7 +98,7 @@ def f7_midpoint(spark, sf_dir):
     "SELECT deal_id, CAST(close_date AS DATE) + 45 AS plus_45, CAST(close_date AS DATE) - 15 AS minus_15, "
     "CAST(CAST(close_date AS DATE) - INTERVAL 1 MONTH AS DATE) AS minus_1_month FROM stg_deals"))
 def f8_date_shift(spark, sf_dir):
-    d = Models(spark, sf_dir).deals
+    d = Models.of(spark, sf_dir).deals
     c = D.date_only("close_date")
     return d.select("deal_id", D.add_days(c, 45).alias("plus_45"), D.add_days(c, -15).alias("minus_15"),
                     F.add_months(c, -1).alias("minus_1_month"))
@@ -109,7 +109,7 @@ def f8_date_shift(spark, sf_dir):
     "last_day(CAST(close_date AS DATE)) AS month_end, CAST(day(CAST(close_date AS DATE)) AS INTEGER) AS day_of_month, "
     "LEAST(CAST(close_date AS DATE), CAST(membership_expiration_date AS DATE)) AS earlier FROM stg_deals"))
 def f9_month_parts(spark, sf_dir):
-    d = Models(spark, sf_dir).deals
+    d = Models.of(spark, sf_dir).deals
     c, e = D.date_only("close_date"), D.date_only("membership_expiration_date")
     return d.select("deal_id", F.trunc(c, "MM").alias("month_start"), F.last_day(c).alias("month_end"),
                     F.dayofmonth(c).alias("day_of_month"), F.least(c, e).alias("earlier"))
@@ -122,7 +122,7 @@ def f9_month_parts(spark, sf_dir):
     "last_day(CAST(d - INTERVAL 1 MONTH AS DATE))) AS prior_mtd_end "
     "FROM (SELECT DISTINCT CAST(close_date AS DATE) AS d FROM stg_deals WHERE close_date IS NOT NULL)"))
 def f10_month_bounds(spark, sf_dir):
-    d = Models(spark, sf_dir).deals.filter(F.col("close_date").isNotNull()).select(
+    d = Models.of(spark, sf_dir).deals.filter(F.col("close_date").isNotNull()).select(
         D.date_only("close_date").alias("as_of")).distinct()
     b = D.month_bounds(F.col("as_of"))
     return d.select("as_of", b["yesterday_et"].alias("yesterday_et"), b["mtd_start"].alias("mtd_start"),
@@ -133,7 +133,7 @@ def f10_month_bounds(spark, sf_dir):
     "SELECT deal_id, s - 1 - CAST(date_diff('day', s, e) AS INTEGER) AS prior_start, s - 1 AS prior_end FROM ("
     "SELECT deal_id, CAST(close_date AS DATE) AS s, CAST(membership_expiration_date AS DATE) AS e FROM stg_deals)"))
 def f11_prior_window(spark, sf_dir):
-    d = Models(spark, sf_dir).deals
+    d = Models.of(spark, sf_dir).deals
     ps, pe = D.prior_window(D.date_only("close_date"), D.date_only("membership_expiration_date"))
     return d.select("deal_id", ps.alias("prior_start"), pe.alias("prior_end"))
 
@@ -143,7 +143,7 @@ def f11_prior_window(spark, sf_dir):
     "CAST(date_trunc('month', d - 1) AS DATE) AS mtd_start, d - 1 AS window_end "
     "FROM (SELECT DISTINCT meeting_date_et AS d FROM fct_meetings WHERE meeting_date_et IS NOT NULL)"))
 def f12_window_bounds(spark, sf_dir):
-    d = Models(spark, sf_dir).meetings_fct.filter(F.col("meeting_date_et").isNotNull()).select(
+    d = Models.of(spark, sf_dir).meetings_fct.filter(F.col("meeting_date_et").isNotNull()).select(
         F.col("meeting_date_et").alias("as_of")).distinct()
     a = F.col("as_of")
     y = D.window_bounds("yesterday", a)
@@ -158,7 +158,7 @@ def f12_window_bounds(spark, sf_dir):
     "SELECT deal_id, cash_component, round(cash_amount / 7, 2) AS seventh, floor(cash_amount / 7) AS seventh_floor "
     "FROM fct_cash"))
 def f13_round_floor(spark, sf_dir):
-    c = Models(spark, sf_dir).cash
+    c = Models.of(spark, sf_dir).cash
     return c.select("deal_id", "cash_component", F.round(F.col("cash_amount") / 7, 2).alias("seventh"),
                     F.floor(F.col("cash_amount") / 7).cast("double").alias("seventh_floor"))
 
@@ -167,7 +167,7 @@ def f13_round_floor(spark, sf_dir):
     "SELECT deal_id, upper(trim(active_product_snapshot_at_won)) AS tier_key, 'plan:' || upsell_plan AS plan_label, "
     f"upsell_plan IN ({lst(('Gold', 'Bronze', 'Platinum'))}) AS is_metal FROM stg_deals"))
 def f14_string_ops(spark, sf_dir):
-    d = Models(spark, sf_dir).deals
+    d = Models.of(spark, sf_dir).deals
     return d.select("deal_id", F.upper(F.trim("active_product_snapshot_at_won")).alias("tier_key"),
                     F.concat(F.lit("plan:"), F.col("upsell_plan")).alias("plan_label"),
                     F.col("upsell_plan").isin("Gold", "Bronze", "Platinum").alias("is_metal"))
@@ -178,7 +178,7 @@ def f14_string_ops(spark, sf_dir):
     f"WHEN pipeline_id IN ({lst(C.PipelineConfig().renewal_pipeline_ids)}) THEN 'RENEWAL' ELSE 'OTHER' END AS pipeline_kind "
     "FROM stg_deals"))
 def f15_case(spark, sf_dir):
-    d = Models(spark, sf_dir).deals
+    d = Models.of(spark, sf_dir).deals
     p = F.col("pipeline_id")
     kind = (F.when(p == C.WINBACK_PIPELINE_ID, F.lit("WINBACK"))
             .when(p.isin(*C.PipelineConfig().renewal_pipeline_ids), F.lit("RENEWAL")).otherwise(F.lit("OTHER")))
@@ -189,7 +189,7 @@ def f15_case(spark, sf_dir):
     "SELECT deal_id, CASE WHEN length(t) >= 10 THEN CAST(substring(t, 1, 10) AS DATE) END AS iso_day FROM ("
     "SELECT deal_id, CASE WHEN deal_id % 5 = 0 THEN '' ELSE CAST(property_closedate AS VARCHAR) END AS t FROM raw_deal)"))
 def f16_iso_day(spark, sf_dir):
-    r = Models(spark, sf_dir).raw_deal
+    r = Models.of(spark, sf_dir).raw_deal
     t = F.when(F.col("deal_id") % 5 == 0, F.lit("")).otherwise(F.col("property_closedate").cast("string"))
     return r.select("deal_id", D.iso_day(t).alias("iso_day"))
 
@@ -197,7 +197,7 @@ def f16_iso_day(spark, sf_dir):
 @register("f17_safe_pct", sql(
     f"SELECT closer_owner_id, meeting_date_et, {safe_pct('pc_booked', 'pc_invited')} AS pc_book_pct FROM {DAILY_SQL}"))
 def f17_safe_pct(spark, sf_dir):
-    d = _daily(Models(spark, sf_dir))
+    d = _daily(Models.of(spark, sf_dir))
     return d.select("closer_owner_id", "meeting_date_et", RT.safe_pct("pc_booked", "pc_invited").alias("pc_book_pct"))
 
 
@@ -205,14 +205,14 @@ def f17_safe_pct(spark, sf_dir):
     "SELECT closer_owner_id, meeting_date_et, CASE WHEN pc_booked > 0 THEN pc_completed / pc_booked ELSE 0.0 END "
     f"AS show_ratio FROM {DAILY_SQL}"))
 def f18_ratio_or_zero(spark, sf_dir):
-    d = _daily(Models(spark, sf_dir))
+    d = _daily(Models.of(spark, sf_dir))
     return d.select("closer_owner_id", "meeting_date_et", RT.ratio_or_zero("pc_completed", "pc_booked").alias("show_ratio"))
 
 
 @register("f19_report_pct", sql(
     f"SELECT closer_owner_id, meeting_date_et, {report_pct('pc_completed', 'pc_invited')} AS pc_done_pct FROM {DAILY_SQL}"))
 def f19_report_pct(spark, sf_dir):
-    d = _daily(Models(spark, sf_dir))
+    d = _daily(Models.of(spark, sf_dir))
     return d.select("closer_owner_id", "meeting_date_et",
                     RT.report_pct("pc_completed", "pc_invited").alias("pc_done_pct"))
 
@@ -221,7 +221,7 @@ def f19_report_pct(spark, sf_dir):
     f"SELECT closer_owner_id, meeting_date_et, CASE WHEN p > 1 THEN p / 100.0 ELSE p END AS book_ratio FROM ("
     f"SELECT closer_owner_id, meeting_date_et, {safe_pct('pc_booked', 'pc_invited')} AS p FROM {DAILY_SQL})"))
 def f20_to_ratio(spark, sf_dir):
-    d = _daily(Models(spark, sf_dir))
+    d = _daily(Models.of(spark, sf_dir))
     return d.select("closer_owner_id", "meeting_date_et", RT.to_ratio(RT.safe_pct("pc_booked", "pc_invited")).alias("book_ratio"))
 
 
@@ -241,7 +241,7 @@ def _money_k(x: str) -> str:
     f"{_int_txt('(CASE WHEN cash_amount / 100000.0 > 1 THEN cash_amount / 100000.0 / 100.0 ELSE cash_amount / 100000.0 END) * 100.0')} || '%' AS pct "
     "FROM fct_cash"))
 def f21_labels(spark, sf_dir):
-    c = Models(spark, sf_dir).cash
+    c = Models.of(spark, sf_dir).cash
     a = F.col("cash_amount")
     return c.select("deal_id", "cash_component", RT.money_k(a).alias("money_k"),
                     RT.money_k_signed(a - 5000).alias("money_k_signed"), RT.money(a).alias("money"),
@@ -253,21 +253,21 @@ def f21_labels(spark, sf_dir):
     f"WHEN r >= {C.STATUS_YELLOW_FROM} THEN 'yellow' ELSE 'red' END AS status FROM ("
     f"SELECT closer_owner_id, meeting_date_et, pc_completed / NULLIF(2.0, 0) AS r FROM {DAILY_SQL})"))
 def f22_status(spark, sf_dir):
-    d = _daily(Models(spark, sf_dir))
+    d = _daily(Models.of(spark, sf_dir))
     return d.select("closer_owner_id", "meeting_date_et", RT.status("pc_completed", F.lit(2.0)).alias("status"))
 
 
 @register("f23_progress", sql(
     "SELECT closer_owner_id, cash_date_et, SUM(cash_amount) / 1000.0 AS progress FROM fct_cash GROUP BY 1, 2"))
 def f23_progress(spark, sf_dir):
-    c = Models(spark, sf_dir).cash.groupBy("closer_owner_id", "cash_date_et").agg(F.sum("cash_amount").alias("cash"))
+    c = Models.of(spark, sf_dir).cash.groupBy("closer_owner_id", "cash_date_et").agg(F.sum("cash_amount").alias("cash"))
     return c.select("closer_owner_id", "cash_date_et", RT.progress("cash", F.lit(1000.0)).alias("progress"))
 
 
 @register("f24_is_inactive", sql(
     f"SELECT closer_owner_id, meeting_date_et, COALESCE(pc_completed, 0) = 0 AS is_inactive FROM {DAILY_SQL}"))
 def f24_is_inactive(spark, sf_dir):
-    d = _daily(Models(spark, sf_dir))
+    d = _daily(Models.of(spark, sf_dir))
     return d.select("closer_owner_id", "meeting_date_et", RT.is_inactive("pc_completed").alias("is_inactive"))
 
 

@@ -42,7 +42,7 @@ def base(m: Models, first_only: bool = False):
 
 
 def kpis(spark, sf_dir, first_only: bool = False):
-    return A.funnel_kpis(base(Models(spark, sf_dir), first_only))
+    return A.funnel_kpis(base(Models.of(spark, sf_dir), first_only))
 
 
 # ---------------------------------------------------------------- J
@@ -51,14 +51,14 @@ def kpis(spark, sf_dir, first_only: bool = False):
 @register("j1_only_roster", sql("SELECT d.deal_id, d.closer_owner_id FROM stg_deals d "
                                 "WHERE d.closer_owner_id IN (SELECT owner_id FROM closers)"))
 def j1_only_roster(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.only_roster(m.deals, m.closers).select("deal_id", "closer_owner_id")
 
 
 @register("j2_with_closer_name", sql("SELECT w.deal_id, c.closer_name FROM int_won w "
                                      "LEFT JOIN closers c ON w.closer_owner_id = c.owner_id"))
 def j2_with_closer_name(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.with_closer_name(m.won, m.closers).select("deal_id", "closer_name")
 
 
@@ -67,7 +67,7 @@ def j2_with_closer_name(spark, sf_dir):
     "ELSE COALESCE(pm.product_column, 'UNMAPPED') END AS product_column "
     "FROM int_won w LEFT JOIN product_map pm ON w.upsell_plan = pm.upsell_plan"))
 def j3_product_column(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.product_column(m.won, m.product_map).select("deal_id", "upsell_plan", "product_column")
 
 
@@ -76,7 +76,7 @@ def j3_product_column(spark, sf_dir):
     "FROM int_won w LEFT JOIN tier_map tm "
     "ON upper(trim(w.active_product_snapshot_at_won)) = upper(trim(tm.active_product_snapshot_at_won))"))
 def j4_tier_of_origin(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.tier_of_origin(m.won, m.tier_map).select("deal_id", "active_product_snapshot_at_won",
                                                       "tier_of_origin_column")
 
@@ -85,58 +85,58 @@ def j4_tier_of_origin(spark, sf_dir):
     "SELECT c.deal_id, c.cash_component, c.cash_amount, w.pipeline_id, w.upsell_plan, w.renewal_year_count "
     "FROM int_cash c LEFT JOIN int_won w ON c.deal_id = w.deal_id"))
 def j5_cash_with_attrs(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.cash_with_attrs(m.deal_cash, m.won).select("deal_id", "cash_component", "cash_amount", "pipeline_id",
                                                         "upsell_plan", "renewal_year_count")
 
 
 @register("j6_contact_flags", sql("SELECT deal_id, is_test_contact FROM stg_deal_contacts"))
 def j6_contact_flags(spark, sf_dir):
-    return Models(spark, sf_dir).contact_flags.select("deal_id", "is_test_contact")
+    return Models.of(spark, sf_dir).contact_flags.select("deal_id", "is_test_contact")
 
 
 @register("j7_with_deal", sql("SELECT m.meeting_id, md.deal_id FROM stg_meetings m "
                               "LEFT JOIN stg_meeting_deals md ON m.meeting_id = md.meeting_id"))
 def j7_with_deal(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return m.stg_meetings.join(m.meeting_deals, "meeting_id", "left").select("meeting_id", "deal_id")
 
 
 @register("j8_assoc_priority", sql("SELECT meeting_id, deal_id, priority FROM assoc_priority"))
 def j8_assoc_priority(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return ST.assoc_priority(m.raw_engagement_deal, m.deals, m.cfg)
 
 
 @register("j9_with_stage", sql("SELECT d.deal_id, s.snapshot_col, s.stage_group FROM stg_deals d "
                                "JOIN stages s ON d.dealstage_id = s.stage_id"))
 def j9_with_stage(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.with_stage(m.deals, m.stages).select("deal_id", "snapshot_col", "stage_group")
 
 
 @register("j10_not_in", sql("SELECT deal_id FROM stg_deals WHERE deal_id NOT IN (SELECT deal_id FROM int_won)"))
 def j10_not_in(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.not_in(m.deals, m.won).select("deal_id")
 
 
 @register("j11_with_first_call", sql("SELECT meeting_id, is_first_call FROM int_meetings"))
 def j11_with_first_call(spark, sf_dir):
-    return Models(spark, sf_dir).meetings.select("meeting_id", "is_first_call")
+    return Models.of(spark, sf_dir).meetings.select("meeting_id", "is_first_call")
 
 
 @register("j12_with_bounds", sql(
     "SELECT c.deal_id, c.cash_component, b.today_et, b.yesterday_et, b.mtd_start, b.mtd_end, b.prior_month_start, "
     "b.prior_mtd_end FROM fct_cash c CROSS JOIN bounds b"))
 def j12_with_bounds(spark, sf_dir):
-    c = Models(spark, sf_dir).cash.select("deal_id", "cash_component")
+    c = Models.of(spark, sf_dir).cash.select("deal_id", "cash_component")
     return R.with_bounds(c, S.AS_OF)
 
 
 @register("j13_wide_report", sql("SELECT closer_owner_id, closer_name, cash_mtd, deals_won_mtd, goal_total_cash FROM rpt"))
 def j13_wide_report(spark, sf_dir):
-    return Models(spark, sf_dir).report().select("closer_owner_id", "closer_name", "cash_mtd", "deals_won_mtd",
+    return Models.of(spark, sf_dir).report().select("closer_owner_id", "closer_name", "cash_mtd", "deals_won_mtd",
                                                  "goal_total_cash")
 
 
@@ -149,7 +149,7 @@ _start_sql = f"COALESCE(CAST(d.close_date AS DATE), {et('d.close_date_fallback')
     "CAST(d.membership_expiration_date AS DATE)) / 2) AS INTEGER) AS pc_due_midpoint_et "
     "FROM snap_deals d JOIN closers cl ON d.closer_owner_id = cl.owner_id JOIN stages s ON d.dealstage_id = s.stage_id"))
 def j14_with_midpoint(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     d = M.snapshot_candidates(m.deals, m.contact_flags, m.stages, m.closers, m.cfg)
     return d.select("deal_id", "membership_start_date_et", "membership_expiration_date_et", "pc_due_midpoint_et")
 
@@ -158,14 +158,18 @@ def sides(spark, sf_dir):
     """(side A long, side B long, metrics) for the stand-in window."""
     from dealflow.sources.dims import seed_rows
 
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
+    cached = getattr(m, "_sides", None)
+    if cached is not None:
+        return cached
     snap_defs = RC.snapshot_metrics_defs(seed_rows("dim_renewal_stages"))
     cols = [d.id.split(".", 1)[1] for d in snap_defs]
     metrics = RC.BASE_METRICS + snap_defs
     a = RC.warehouse_side(m.cash, m.won_fct, m.meetings_fct, m.snapshot, m.closers, *S.WINDOW, snapshot_cols=cols)
-    b = RC.other_side(S.other_deals(spark, sf_dir), S.other_meetings(spark, sf_dir), m.closers, metrics,
+    b = RC.other_side(m.other_deals, m.other_meetings, m.closers, metrics,
                       S.WINDOW[0].isoformat(), S.WINDOW[1].isoformat())
-    return a, b, metrics
+    m._sides = (a, b, metrics)
+    return m._sides
 
 
 @register("j15_align", sql("SELECT metric_id, owner_id, a_value, b_value FROM aligned"))
@@ -179,7 +183,7 @@ def j15_align(spark, sf_dir):
 
 @register("a1_contact_agg", sql("SELECT deal_id, contact_true_renewal_close_date FROM stg_deal_contacts"))
 def a1_contact_agg(spark, sf_dir):
-    return Models(spark, sf_dir).contact_flags.select("deal_id", "contact_true_renewal_close_date")
+    return Models.of(spark, sf_dir).contact_flags.select("deal_id", "contact_true_renewal_close_date")
 
 
 @register("a2_cash_agg", sql(
@@ -190,7 +194,7 @@ def a1_contact_agg(spark, sf_dir):
     "SUM(CASE WHEN c.cash_date_et = b.yesterday_et THEN c.cash_amount ELSE 0 END) AS cash_yesterday "
     f"FROM fct_cash c CROSS JOIN {BOUNDS} b WHERE c.cash_date_et BETWEEN b.prior_month_start AND b.today_et GROUP BY 1"))
 def a2_cash_agg(spark, sf_dir):
-    return R.cash_agg(Models(spark, sf_dir).cash, S.AS_OF)
+    return R.cash_agg(Models.of(spark, sf_dir).cash, S.AS_OF)
 
 
 @register("a3_deals_agg", sql(
@@ -199,7 +203,7 @@ def a2_cash_agg(spark, sf_dir):
     "count_if(w.close_date_et = b.today_et) AS deals_today "
     f"FROM int_won w CROSS JOIN {BOUNDS} b WHERE w.close_date_et BETWEEN b.prior_month_start AND b.today_et GROUP BY 1"))
 def a3_deals_agg(spark, sf_dir):
-    return R.deals_agg(Models(spark, sf_dir).won, S.AS_OF)
+    return R.deals_agg(Models.of(spark, sf_dir).won, S.AS_OF)
 
 
 @register("a4_meetings_agg", sql(
@@ -208,19 +212,19 @@ def a3_deals_agg(spark, sf_dir):
     "count_if(m.meeting_category IN ('RC', 'PWC', 'WB') AND m.is_completed AND m.meeting_date_et BETWEEN b.prior_month_start AND b.prior_mtd_end) AS live_meetings_prior_mtd "
     f"FROM fct_meetings m CROSS JOIN {BOUNDS} b WHERE m.meeting_date_et BETWEEN b.prior_month_start AND b.today_et GROUP BY 1"))
 def a4_meetings_agg(spark, sf_dir):
-    return R.meetings_agg(Models(spark, sf_dir).meetings_fct, S.AS_OF)
+    return R.meetings_agg(Models.of(spark, sf_dir).meetings_fct, S.AS_OF)
 
 
 @register("a5_total_cash", sql(f"SELECT closer_owner_id, SUM(cash_amount) AS total_cash FROM fct_cash "
                                f"WHERE cash_date_et {WIN} GROUP BY 1"))
 def a5_total_cash(spark, sf_dir):
-    return A.total_cash(Models(spark, sf_dir).cash, *S.WINDOW)
+    return A.total_cash(Models.of(spark, sf_dir).cash, *S.WINDOW)
 
 
 @register("a6_deals_won", sql(f"SELECT closer_owner_id, count(*) AS deals_won, count_if(is_post_webinar_close) AS pwc_deals_won "
                               f"FROM fct_won WHERE close_date_et {WIN} GROUP BY 1"))
 def a6_deals_won(spark, sf_dir):
-    return A.deals_won(Models(spark, sf_dir).won_fct, *S.WINDOW)
+    return A.deals_won(Models.of(spark, sf_dir).won_fct, *S.WINDOW)
 
 
 @register("a7_call_outcomes", sql(
@@ -230,7 +234,7 @@ def a6_deals_won(spark, sf_dir):
     "count_if(meeting_category = 'RC' AND is_completed) AS rc_completed, "
     f"count_if(meeting_category = 'PWC' AND is_completed) AS pwc_completed FROM fct_meetings WHERE meeting_date_et {WIN} GROUP BY 1"))
 def a7_call_outcomes(spark, sf_dir):
-    return A.call_outcomes(Models(spark, sf_dir).meetings_fct, *S.WINDOW)
+    return A.call_outcomes(Models.of(spark, sf_dir).meetings_fct, *S.WINDOW)
 
 
 @register("a8_completed", sql(
@@ -238,7 +242,7 @@ def a7_call_outcomes(spark, sf_dir):
         f"count_if(meeting_category = '{c}' AND is_completed) AS {c.lower()}_completed" for c in ("PC", "RC", "PWC", "WB"))
     + f" FROM fct_meetings WHERE meeting_date_et {WIN} GROUP BY 1"))
 def a8_completed(spark, sf_dir):
-    return A.completed_counts(Models(spark, sf_dir).meetings_fct, *S.WINDOW)
+    return A.completed_counts(Models.of(spark, sf_dir).meetings_fct, *S.WINDOW)
 
 
 @register("a9_cash_by_product", sql(
@@ -246,20 +250,20 @@ def a8_completed(spark, sf_dir):
         f"SUM(CASE WHEN product_column = '{p}' THEN cash_amount ELSE 0.0 END) AS {p.lower()}" for p in C.PRODUCT_COLUMNS)
     + f", SUM(cash_amount) AS total_cash FROM fct_cash WHERE cash_date_et {WIN} GROUP BY 1"))
 def a9_cash_by_product(spark, sf_dir):
-    return A.cash_by_product(Models(spark, sf_dir).cash, *S.WINDOW)
+    return A.cash_by_product(Models.of(spark, sf_dir).cash, *S.WINDOW)
 
 
 @register("a10_cash_by_origin", sql(f"SELECT closer_owner_id, tier_of_origin_column, SUM(cash_amount) AS cash FROM fct_cash "
                                     f"WHERE cash_date_et {WIN} GROUP BY 1, 2"))
 def a10_cash_by_origin(spark, sf_dir):
-    return A.cash_by_origin(Models(spark, sf_dir).cash, *S.WINDOW)
+    return A.cash_by_origin(Models.of(spark, sf_dir).cash, *S.WINDOW)
 
 
 @register("a11_snapshot_counts", sql(
     "SELECT closer_owner_id, " + ", ".join(f"count_if(snapshot_col = '{c}') AS {c}" for c in C.SNAPSHOT_COLS)
     + ", count(*) AS total FROM fct_snapshot GROUP BY 1"))
 def a11_snapshot_counts(spark, sf_dir):
-    return A.snapshot_counts(Models(spark, sf_dir).snapshot)
+    return A.snapshot_counts(Models.of(spark, sf_dir).snapshot)
 
 
 @register("a12_snapshot_metrics", sql(
@@ -267,7 +271,7 @@ def a11_snapshot_counts(spark, sf_dir):
     "FROM (SELECT DISTINCT snapshot_col FROM stages) s "
     "LEFT JOIN (SELECT snapshot_col, count(*) AS deals FROM fct_snapshot GROUP BY 1) x ON s.snapshot_col = x.snapshot_col"))
 def a12_snapshot_metrics(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return A.snapshot_metrics(m.snapshot, m.stages)
 
 
@@ -276,19 +280,19 @@ def a12_snapshot_metrics(spark, sf_dir):
     "count_if(stage_entry_type = 'pc_scheduled') AS pc_booked, count_if(stage_entry_type = 'rc_invited') AS rc_invited, "
     f"count_if(stage_entry_type = 'rc_scheduled') AS rc_booked FROM fct_stage_entries WHERE entry_date_et {WIN} GROUP BY 1"))
 def a13_stage_entry_counts(spark, sf_dir):
-    return A.stage_entry_counts(Models(spark, sf_dir).entries, *S.WINDOW)
+    return A.stage_entry_counts(Models.of(spark, sf_dir).entries, *S.WINDOW)
 
 
 @register("a14_pwc_deals_won", sql(f"SELECT closer_owner_id, count_if(is_post_webinar_close) AS pwc_deals_won FROM fct_won "
                                    f"WHERE close_date_et {WIN} GROUP BY 1"))
 def a14_pwc_deals_won(spark, sf_dir):
-    return A.pwc_deals_won(Models(spark, sf_dir).won_fct, *S.WINDOW)
+    return A.pwc_deals_won(Models.of(spark, sf_dir).won_fct, *S.WINDOW)
 
 
 @register("a15_stage_bucket_count", sql("SELECT closer_owner_id, count(*) AS wb_booked FROM fct_snapshot "
                                         "WHERE snapshot_col = 'wb_booked' GROUP BY 1"))
 def a15_stage_bucket_count(spark, sf_dir):
-    return A.stage_bucket_count(Models(spark, sf_dir).snapshot, "wb_booked")
+    return A.stage_bucket_count(Models.of(spark, sf_dir).snapshot, "wb_booked")
 
 
 def _components_sql() -> str:
@@ -304,7 +308,7 @@ _WON_BASE_SQL = f"pipeline IN ({lst(RC.TRACKED_PIPELINES)}) AND dealstage IN ({l
     f"SELECT COALESCE(SUM({_components_sql()}), 0.0) AS value, count(*) AS matched FROM other_deals WHERE {_WON_BASE_SQL}"))
 def a16_sum_dated_components(spark, sf_dir):
     spec = next(m for m in RC.BASE_METRICS if m.id == "total_cash")
-    return RC.sum_dated_components(S.other_deals(spark, sf_dir), spec.filters, spec.components,
+    return RC.sum_dated_components(Models.of(spark, sf_dir).other_deals, spec.filters, spec.components,
                                    S.WINDOW[0].isoformat(), S.WINDOW[1].isoformat())
 
 
@@ -313,7 +317,7 @@ def a16_sum_dated_components(spark, sf_dir):
     f"AND CAST(upsell___close_date AS DATE) {WIN}"))
 def a17_count_matching(spark, sf_dir):
     spec = next(m for m in RC.BASE_METRICS if m.id == "deals_won")
-    return RC.count_matching(S.other_deals(spark, sf_dir), spec.filters, S.WINDOW[0].isoformat(),
+    return RC.count_matching(Models.of(spark, sf_dir).other_deals, spec.filters, S.WINDOW[0].isoformat(),
                              S.WINDOW[1].isoformat())
 
 
@@ -322,7 +326,7 @@ def a17_count_matching(spark, sf_dir):
     "CAST(SUM(deals_won_mtd) AS BIGINT) AS deals_won_mtd, CAST(SUM(deals_today) AS BIGINT) AS deals_today, "
     "CAST(SUM(live_meetings_mtd) AS BIGINT) AS live_meetings_mtd FROM rpt"))
 def a18_team_total(spark, sf_dir):
-    r = Models(spark, sf_dir).report()
+    r = Models.of(spark, sf_dir).report()
     return A.team_total(r, ["cash_mtd", "cash_today", "cash_today_vs_yesterday", "deals_won_mtd", "deals_today",
                             "live_meetings_mtd"])
 
@@ -334,7 +338,7 @@ def a18_team_total(spark, sf_dir):
     "count_if(meeting_category = 'PC' AND is_booked) AS pc_booked "
     f"FROM fct_meetings WHERE meeting_date_et {WIN} GROUP BY 1)"))
 def a19_pooled_ratio(spark, sf_dir):
-    co = A.call_outcomes(Models(spark, sf_dir).meetings_fct, *S.WINDOW)
+    co = A.call_outcomes(Models.of(spark, sf_dir).meetings_fct, *S.WINDOW)
     return A.pooled_ratio(co, "pc_booked", "pc_invited", "pc_book_pct")
 
 
@@ -343,14 +347,14 @@ def a19_pooled_ratio(spark, sf_dir):
     "FROM fct_meetings WHERE is_completed AND meeting_category IN ('RC', 'PWC', 'WB') AND deal_id IS NOT NULL "
     "GROUP BY 1, 2 HAVING count_if(is_first_call) <> 1"))
 def a20_having_count_if(spark, sf_dir):
-    return Q.check_first_call(Models(spark, sf_dir).meetings_fct)
+    return Q.check_first_call(Models.of(spark, sf_dir).meetings_fct)
 
 
 @register("a21_on_fire", sql(
     "SELECT closer_owner_id, closer_name, deals_today, cash_today FROM rpt WHERE cash_today > 0 "
     "ORDER BY cash_today DESC, closer_owner_id LIMIT 1"))
 def a21_on_fire(spark, sf_dir):
-    return A.on_fire(Models(spark, sf_dir).report())
+    return A.on_fire(Models.of(spark, sf_dir).report())
 
 
 _TD, _YD = f"DATE '{TODAY_CALLS_AS_OF.isoformat()}'", f"DATE '{(TODAY_CALLS_AS_OF - _dt.timedelta(days=1)).isoformat()}'"
@@ -365,14 +369,14 @@ _TD, _YD = f"DATE '{TODAY_CALLS_AS_OF.isoformat()}'", f"DATE '{(TODAY_CALLS_AS_O
     f"count_if(meeting_category = 'PC' AND is_completed AND meeting_date_et = {_YD}) AS my "
     f"FROM fct_meetings WHERE meeting_date_et BETWEEN {_YD} AND {_TD} GROUP BY 1)"))
 def a22_today_calls(spark, sf_dir):
-    return A.today_calls(Models(spark, sf_dir).meetings_fct, TODAY_CALLS_AS_OF)
+    return A.today_calls(Models.of(spark, sf_dir).meetings_fct, TODAY_CALLS_AS_OF)
 
 
 @register("a23_assigned_deals", sql(
     f"SELECT d.closer_owner_id, count(*) AS assigned_deals FROM stg_deals d JOIN closers c ON d.closer_owner_id = c.owner_id "
     f"WHERE d.pipeline_id IN ({lst(C.PipelineConfig().renewal_pipeline_ids)}) GROUP BY 1"))
 def a23_assigned_deals(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return A.assigned_deals(m.deals, m.closers)
 
 
@@ -381,7 +385,7 @@ def a23_assigned_deals(spark, sf_dir):
 
 @register("w1_one_deal_per_meeting", sql("SELECT meeting_id, deal_id FROM stg_meeting_deals"))
 def w1_one_deal_per_meeting(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return ST.one_deal_per_meeting(m.raw_engagement_deal, m.deals, m.cfg)
 
 
@@ -389,13 +393,13 @@ def w1_one_deal_per_meeting(spark, sf_dir):
     "SELECT meeting_id, deal_id, meeting_category, is_first_call FROM int_meetings "
     "WHERE is_completed AND meeting_category IN ('RC', 'PWC', 'WB') AND deal_id IS NOT NULL"))
 def w2_first_call(spark, sf_dir):
-    mt = Models(spark, sf_dir).meetings
+    mt = Models.of(spark, sf_dir).meetings
     return mt.filter(F.col("is_completed") & F.col("meeting_category").isin("RC", "PWC", "WB")
                      & F.col("deal_id").isNotNull()).select("meeting_id", "deal_id", "meeting_category", "is_first_call")
 
 
 def _board(spark, sf_dir):
-    return base(Models(spark, sf_dir)).select("closer_owner_id", "total_cash")
+    return base(Models.of(spark, sf_dir)).select("closer_owner_id", "total_cash")
 
 
 @register("w3_rank_closers", sql(
@@ -428,7 +432,7 @@ def t1_leaderboard(spark, sf_dir):
 @register("t2_top_closer", sql(
     "SELECT closer_owner_id, closer_name, cash_mtd FROM rpt WHERE cash_mtd > 0 ORDER BY cash_mtd DESC, closer_owner_id LIMIT 1"))
 def t2_top_closer(spark, sf_dir):
-    return A.top_closer(Models(spark, sf_dir).report(), "cash_mtd", 0, cols=("closer_owner_id", "closer_name"))
+    return A.top_closer(Models.of(spark, sf_dir).report(), "cash_mtd", 0, cols=("closer_owner_id", "closer_name"))
 
 
 # ---------------------------------------------------------------- K
@@ -480,7 +484,7 @@ def k11_first_call_variants(spark, sf_dir):
 @register("k12_vs_prior_mtd", sql(
     "SELECT closer_owner_id, cash_vs_prior_mtd, deals_vs_prior_mtd, cash_today_vs_yesterday FROM rpt"))
 def k12_vs_prior_mtd(spark, sf_dir):
-    return Models(spark, sf_dir).report().select("closer_owner_id", "cash_vs_prior_mtd", "deals_vs_prior_mtd",
+    return Models.of(spark, sf_dir).report().select("closer_owner_id", "cash_vs_prior_mtd", "deals_vs_prior_mtd",
                                                  "cash_today_vs_yesterday")
 
 
@@ -495,7 +499,7 @@ _PS, _PE = f"DATE '{(_pe - _dt.timedelta(days=_n - 1)).isoformat()}'", f"DATE '{
     f"SUM(CASE WHEN cash_date_et BETWEEN {_PS} AND {_PE} THEN cash_amount ELSE 0.0 END) AS cash_prior_window "
     f"FROM fct_cash WHERE cash_date_et BETWEEN {_PS} AND DATE '{W_END}' GROUP BY 1)"))
 def k13_cash_vs_prior_window(spark, sf_dir):
-    return A.cash_vs_prior_window(Models(spark, sf_dir).cash, *S.WINDOW)
+    return A.cash_vs_prior_window(Models.of(spark, sf_dir).cash, *S.WINDOW)
 
 
 @register("k14_close_pct_assigned", sql(
@@ -508,7 +512,7 @@ def k13_cash_vs_prior_window(spark, sf_dir):
 def k14_close_pct_assigned(spark, sf_dir):
     from dealflow.functions.ratios import safe_pct as spct
 
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     a = A.assigned_deals(m.deals, m.closers)
     w = A.deals_won(m.won_fct, *S.WINDOW).select("closer_owner_id", "deals_won")
     j = a.join(w, "closer_owner_id", "left").fillna(0, subset=["deals_won"])
@@ -520,7 +524,7 @@ def k14_close_pct_assigned(spark, sf_dir):
     "SELECT closer_owner_id, live_close_pct - live_close_pct_prior_mtd AS live_close_pct_change, "
     "avg_dpl - avg_dpl_prior_mtd AS avg_dpl_change FROM rpt"))
 def k15_change_vs_prior(spark, sf_dir):
-    return Models(spark, sf_dir).report(extended=True).select("closer_owner_id", "live_close_pct_change", "avg_dpl_change")
+    return Models.of(spark, sf_dir).report(extended=True).select("closer_owner_id", "live_close_pct_change", "avg_dpl_change")
 
 
 # ---------------------------------------------------------------- B
@@ -540,7 +544,7 @@ def _bucket_sql() -> str:
 
 @register("b1_classify", sql(f"SELECT deal_id, cash_component, {_bucket_sql()} AS product_bucket FROM fct_cash"))
 def b1_classify(spark, sf_dir):
-    return B.classify(Models(spark, sf_dir).cash).select("deal_id", "cash_component", "product_bucket")
+    return B.classify(Models.of(spark, sf_dir).cash).select("deal_id", "cash_component", "product_bucket")
 
 
 @register("b2_bucket_pivot", sql(
@@ -549,7 +553,7 @@ def b1_classify(spark, sf_dir):
     + ", SUM(CASE WHEN product_bucket IS NOT NULL THEN cash_amount ELSE 0.0 END) AS bucketed_cash, "
     f"SUM(cash_amount) AS total_cash FROM (SELECT *, {_bucket_sql()} AS product_bucket FROM fct_cash) GROUP BY 1"))
 def b2_bucket_pivot(spark, sf_dir):
-    return B.bucket_pivot(B.classify(Models(spark, sf_dir).cash))
+    return B.bucket_pivot(B.classify(Models.of(spark, sf_dir).cash))
 
 
 _ = (AS_OF, LIVE_SQL, report_pct)

@@ -20,67 +20,67 @@ STG_DEAL_COLS = (
 
 @register("m1_deals", sql(f"SELECT {STG_DEAL_COLS} FROM stg_deals"))
 def m1_deals(spark, sf_dir):
-    return Models(spark, sf_dir).deals
+    return Models.of(spark, sf_dir).deals
 
 
 @register("m2_meetings_staging", sql("SELECT * FROM stg_meetings"))
 def m2_meetings_staging(spark, sf_dir):
-    return Models(spark, sf_dir).stg_meetings
+    return Models.of(spark, sf_dir).stg_meetings
 
 
 @register("m3_meeting_deals", sql("SELECT meeting_id, deal_id FROM stg_meeting_deals"))
 def m3_meeting_deals(spark, sf_dir):
-    return Models(spark, sf_dir).meeting_deals
+    return Models.of(spark, sf_dir).meeting_deals
 
 
 @register("m4_deal_contacts", sql("SELECT * FROM stg_deal_contacts"))
 def m4_deal_contacts(spark, sf_dir):
-    return Models(spark, sf_dir).contact_flags
+    return Models.of(spark, sf_dir).contact_flags
 
 
 @register("m5_won_deals", sql("SELECT * FROM int_won"))
 def m5_won_deals(spark, sf_dir):
-    return Models(spark, sf_dir).won
+    return Models.of(spark, sf_dir).won
 
 
 @register("m6_deal_cash", sql("SELECT * FROM int_cash"))
 def m6_deal_cash(spark, sf_dir):
-    return Models(spark, sf_dir).deal_cash
+    return Models.of(spark, sf_dir).deal_cash
 
 
 @register("m7_meetings", sql("SELECT * FROM int_meetings"))
 def m7_meetings(spark, sf_dir):
-    return Models(spark, sf_dir).meetings
+    return Models.of(spark, sf_dir).meetings
 
 
 @register("m8_cash", sql("SELECT * FROM fct_cash"))
 def m8_cash(spark, sf_dir):
-    return Models(spark, sf_dir).cash
+    return Models.of(spark, sf_dir).cash
 
 
 @register("m9_won_deals_fct", sql("SELECT * FROM fct_won"))
 def m9_won_deals_fct(spark, sf_dir):
-    return Models(spark, sf_dir).won_fct
+    return Models.of(spark, sf_dir).won_fct
 
 
 @register("m10_meetings_fct", sql("SELECT * FROM fct_meetings"))
 def m10_meetings_fct(spark, sf_dir):
-    return Models(spark, sf_dir).meetings_fct
+    return Models.of(spark, sf_dir).meetings_fct
 
 
 @register("m11_stage_entries", sql("SELECT * FROM fct_stage_entries"))
 def m11_stage_entries(spark, sf_dir):
-    return Models(spark, sf_dir).entries
+    return Models.of(spark, sf_dir).entries
 
 
 @register("m12_pipeline_snapshot", sql("SELECT * FROM fct_snapshot"))
 def m12_pipeline_snapshot(spark, sf_dir):
-    return Models(spark, sf_dir).snapshot
+    return Models.of(spark, sf_dir).snapshot
 
 
 @register("m13_closer_report", sql(f"SELECT {RPT_BASE_COLS} FROM rpt"))
 def m13_closer_report(spark, sf_dir):
-    return Models(spark, sf_dir).report()
+    return Models.of(spark, sf_dir).report()
 
 
 # ---------------------------------------------------------------- U1-U4
@@ -88,7 +88,7 @@ def m13_closer_report(spark, sf_dir):
 
 @register("u1_unpivot_components", sql("SELECT * FROM int_cash"))
 def u1_unpivot_components(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.unpivot_components(m.won, cfg=m.cfg)
 
 
@@ -100,7 +100,7 @@ def u1_unpivot_components(spark, sf_dir):
         f"FROM stg_deals WHERE date_entered_{e} IS NOT NULL"
         for e in ("pc_invited", "pc_scheduled", "rc_invited", "rc_scheduled")) + ")"))
 def u2_unpivot_entries(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return M.unpivot_entries(m.deals, m.cfg)
 
 
@@ -108,6 +108,6 @@ def u2_unpivot_entries(spark, sf_dir):
     "SELECT snapshot_col, count(*) AS deals, count(DISTINCT deal_id) AS distinct_deals FROM fct_snapshot GROUP BY 1"))
 def u3_pipeline_snapshot(spark, sf_dir):
     """One bucket per deal: bucket sizes and distinct deals per bucket agree."""
-    s = Models(spark, sf_dir).snapshot
+    s = Models.of(spark, sf_dir).snapshot
     return s.groupBy("snapshot_col").agg(F.count(F.lit(1)).alias("deals"),
                                          F.countDistinct("deal_id").alias("distinct_deals"))

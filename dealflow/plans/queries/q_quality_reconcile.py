@@ -37,12 +37,12 @@ def reconcile_report(spark, sf_dir) -> DataFrame:
 @register("q1_unique", sql("SELECT engagement_id, count(*) AS n_records FROM raw_engagement_deal "
                            "WHERE engagement_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"))
 def q1_unique(spark, sf_dir):
-    return Q.check_unique(Models(spark, sf_dir).raw_engagement_deal, "engagement_id")
+    return Q.check_unique(Models.of(spark, sf_dir).raw_engagement_deal, "engagement_id")
 
 
 @register("q2_not_null", sql("SELECT engagement_id, deal_id FROM raw_engagement_deal WHERE deal_id IS NULL"))
 def q2_not_null(spark, sf_dir):
-    return Q.check_not_null(Models(spark, sf_dir).raw_engagement_deal, "deal_id")
+    return Q.check_not_null(Models.of(spark, sf_dir).raw_engagement_deal, "deal_id")
 
 
 _ALL_TYPES = C.PC_ACTIVITY_TYPES + C.RC_ACTIVITY_TYPES + C.PWC_ACTIVITY_TYPES + C.WB_ACTIVITY_TYPES
@@ -51,7 +51,7 @@ _ALL_TYPES = C.PC_ACTIVITY_TYPES + C.RC_ACTIVITY_TYPES + C.PWC_ACTIVITY_TYPES +
 @register("q3_values", sql(f"SELECT meeting_id, activity_type FROM stg_meetings WHERE activity_type IS NOT NULL "
                            f"AND activity_type NOT IN ({lst(_ALL_TYPES)})"))
 def q3_values(spark, sf_dir):
-    return Q.check_values(Models(spark, sf_dir).stg_meetings, "activity_type", _ALL_TYPES).select(
+    return Q.check_values(Models.of(spark, sf_dir).stg_meetings, "activity_type", _ALL_TYPES).select(
         "meeting_id", "activity_type")
 
 
@@ -61,7 +61,7 @@ def q3_values(spark, sf_dir):
     "UNION ALL SELECT 'stg_meetings.activity_type accepted', 'warn', count(*) FROM stg_meetings "
     f"WHERE activity_type IS NOT NULL AND activity_type NOT IN ({lst(_ALL_TYPES)})"))
 def q4_values_warn(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     return Q.run_checks([
         ("fct_meetings.meeting_outcome accepted", "warn", Q.check_values(m.meetings_fct, "meeting_outcome", Q.KNOWN_OUTCOMES)),
         ("stg_meetings.activity_type accepted", "warn", Q.check_values(m.stg_meetings, "activity_type", _ALL_TYPES)),
@@ -73,7 +73,7 @@ def q4_values_warn(spark, sf_dir):
     "FROM fct_meetings WHERE is_completed AND meeting_category IN ('RC', 'PWC', 'WB') AND deal_id IS NOT NULL "
     "GROUP BY 1, 2 HAVING count_if(is_first_call) <> 1"))
 def q5_first_call(spark, sf_dir):
-    return Q.check_first_call(Models(spark, sf_dir).meetings_fct)
+    return Q.check_first_call(Models.of(spark, sf_dir).meetings_fct)
 
 
 def _components_sql() -> str:
@@ -84,7 +84,7 @@ def _components_sql() -> str:
 
 @register("q6_nonneg", sql(f"SELECT deal_id, cash_component, cash_amount FROM ({_components_sql()}) WHERE cash_amount < 0"))
 def q6_nonneg(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     u = M.unpivot_components(m.won, keep=("deal_id",), cfg=m.cfg, only_valid=False)
     return Q.check_nonneg(u)
 
@@ -92,7 +92,7 @@ def q6_nonneg(spark, sf_dir):
 @register("q7_check_summary")
 def q7_check_summary(spark, sf_dir):
     """All column tests of the models as one (check, severity, failing_rows) table."""
-    return Q.run_checks(Q.model_checks(Models(spark, sf_dir)))
+    return Q.run_checks(Q.model_checks(Models.of(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- R
@@ -146,7 +146,7 @@ def r5_by_owner(spark, sf_dir):
 
 def audit_ids(spark, sf_dir):
     """(metric_id, id) on both sides for the audit-supported metrics, team scope."""
-    m = Models(spark, sf_dir)
+    m = Models.of(spark, sf_dir)
     s, e = S.WINDOW
     won = m.won_fct.filter(F.col("close_date_et").between(s, e)).select(F.lit("deals_won").alias("metric_id"),
                                                                         F.col("deal_id").alias("id"))
@@ -155,7 +155,7 @@ def audit_ids(spark, sf_dir):
         parts_a.append(m.meetings_fct.filter((F.col("meeting_category") == cat) & F.col("is_completed")
                                              & F.col("meeting_date_et").between(s, e))
                        .select(F.lit(mid).alias("metric_id"), F.col("meeting_id").alias("id")))
-    deals, meets = S.other_deals(spark, sf_dir), S.other_meetings(spark, sf_dir)
+    deals, meets = Models.of(spark, sf_dir).other_deals, Models.of(spark, sf_dir).other_meetings
     parts_b = []
     for mt in RC.BASE_METRICS:
         if mt.id not in RC.AUDIT_SUPPORTED:

@@ -60,9 +60,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(idx: Column, values) -> Column:
-    """values[idx] (0-based) for a Column index; NULL for a NULL index."""
-    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in values]), (idx + 1).cast("int")))
+def _sql_str(v) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _pick_sql(idx_sql: str, values) -> Column:
+    """values[idx] (0-based) as one SQL CASE expression (one JVM call, not one per literal)."""
+    whens = " ".join(f"WHEN {i} THEN {_sql_str(v)}" for i, v in enumerate(values))
+    return F.expr(f"CASE {idx_sql} {whens} END")
 
 
 def _case(key: Column, mapping: dict, default: Column | None = None) -> Column:
@@ -102,13 +107,16 @@ def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
     pipe = _case(F.col("o_orderpriority"), {
         "1-URGENT": C.OLD_RENEWAL_PIPELINE_ID, "2-HIGH": C.NEW_RENEWAL_PIPELINE_ID,
         "3-MEDIUM": C.WINBACK_PIPELINE_ID, "4-NOT SPECIFIED": "100000001"})
-    slot = (k * 7 + c) % STAGE_SLOTS
     slots = stage_slots()
-    stage_map = F.create_map(*[x for (p, i), s in slots.items() for x in (F.lit(f"{p}:{i}"), F.lit(s))])
-    stage = F.coalesce(stage_map[F.concat(pipe, F.lit(":"), slot.cast("string"))],
-                       F.concat(F.lit("x-"), slot.cast("string")))
+    pipe_sql = ("CASE o_orderpriority WHEN '1-URGENT' THEN '%s' WHEN '2-HIGH' THEN '%s' WHEN '3-MEDIUM' THEN '%s' "
+                "WHEN '4-NOT SPECIFIED' THEN '100000001' END" % (C.OLD_RENEWAL_PIPELINE_ID, C.NEW_RENEWAL_PIPELINE_ID,
+                                                                C.WINBACK_PIPELINE_ID))
+    slot_sql = f"((o_orderkey * 7 + o_custkey) % {STAGE_SLOTS})"
+    stage = F.expr("CASE " + " ".join(
+        f"WHEN ({pipe_sql}) = {_sql_str(p)} AND {slot_sql} = {i} THEN {_sql_str(st)}" for (p, i), st in slots.items())
+        + f" ELSE concat('x-', CAST({slot_sql} AS STRING)) END")
     tiers = tier_values()
-    tier = _pick(c % len(tiers), tiers)
+    tier = _pick_sql(f"o_custkey % {len(tiers)}", tiers)
     tier = F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(
         _case(k % 3, {0: tier, 1: F.upper(tier)}, F.concat(F.lit("  "), F.lower(tier), F.lit(" "))))
     cols = [
@@ -134,7 +142,7 @@ def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
         _case(c % 4, {0: "1st Year", 1: "2nd Year", 2: "3rd Year+"}).alias("property_renewal_year_count"),
         _case(c % 3, {0: "Mastermind", 1: "Accelerator"}).alias(
             "property_renewal_product_category_originally_purchased"),
-        _pick(F.col("min_partkey") % 27, plan_values()).alias("property_upsell_plan"),
+        _pick_sql("min_partkey % 27", plan_values()).alias("property_upsell_plan"),
         F.col("o_orderpriority").alias("property_renewal_product_pitched"),
         tier.alias("property_active_product_snapshot_at_won"),
         _case(k % 6, {0: "Webinar", 1: "", 2: F.lit(None).cast("string")}, F.lit("Organic")).alias(
@@ -147,7 +155,7 @@ def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols += [
         _shift(od, k % 45, (k * 3) % 24).alias("property_hs_v_2_date_entered_current_stage"),
         F.when(k % 13 != 0, _shift(od, F.lit(180) + k % 240, 0)).alias("property_membership_expiration_date"),
-        _pick(F.col("min_partkey") % 9, RENEWAL_PRODUCTS).alias("property_renewal_product"),
+        _pick_sql("min_partkey % 9", RENEWAL_PRODUCTS).alias("property_renewal_product"),
         F.when(k % 9 == 0, F.lit("Referral")).otherwise(F.lit("Renewal")).alias("property_renewal_pipeline_type"),
         _case(F.col("o_orderstatus"), {"P": k % 5 == 2, "F": F.lit(False)}).alias("_fivetran_deleted"),
     ]
@@ -247,12 +255,12 @@ def tier_map(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
 # ---------------------------------------------------------------- second system (R*)
 
 
-def other_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def other_deals(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Second system's deal records: live deals under its own property names, with ids
     % 97 = 0 missing and the base cash of ids % 89 = 0 shifted by 100."""
     from dealflow.sources.scans import live_rows
 
-    d = live_rows(raw_deal(spark, sf_dir)).filter(F.col("deal_id") % 97 != 0)
+    d = live_rows(raw if raw is not None else raw_deal(spark, sf_dir)).filter(F.col("deal_id") % 97 != 0)
     k = F.col("deal_id")
     return d.select(
         k.cast("string").alias("id"),
@@ -275,10 +283,10 @@ def other_deals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def other_meetings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def other_meetings(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     from dealflow.sources.scans import live_rows
 
-    m = live_rows(raw_meeting(spark, sf_dir)).filter(F.col("engagement_id") % 97 != 0)
+    m = live_rows(raw if raw is not None else raw_meeting(spark, sf_dir)).filter(F.col("engagement_id") % 97 != 0)
     return m.select(
         F.col("engagement_id").cast("string").alias("id"),
         F.col("property_hs_activity_type").alias("hs_activity_type"),
