@@ -14,7 +14,7 @@ from dealflow.operators import reconcile as RC
 from dealflow.plans import standins as S
 from dealflow.plans.context import Models
 from dealflow.plans.oracle import W_END, W_START, lst, sql
-from dealflow.plans.queries.q_joins_aggs import sides
+from dealflow.plans.queries.q_joins_aggs import aligned, sides
 from dealflow.plans.registry import register
 
 REPORT_COLS = ("metric_id", "metric_name", "owner_id", "verdict", "a_value", "b_value", "detail")
@@ -23,7 +23,7 @@ WIN = f"BETWEEN DATE '{W_START}' AND DATE '{W_END}'"
 
 def reconcile_full(spark, sf_dir, requested=None) -> DataFrame:
     a, b, metrics = sides(spark, sf_dir)
-    return RC.reconcile(a, b, metrics, requested=requested)
+    return RC.reconcile(a, b, metrics, requested=requested, aligned=aligned(spark, sf_dir))
 
 
 def reconcile_report(spark, sf_dir) -> DataFrame:
@@ -104,8 +104,7 @@ def q7_check_summary(spark, sf_dir):
     "CASE WHEN a_value IS NULL OR b_value IS NULL THEN 'one side returned no data' WHEN abs(a_value - b_value) <= 0 THEN '' "
     "ELSE printf('diff=%+.2f (tolerance=0)', a_value - b_value) END AS detail FROM aligned"))
 def r1_exact(spark, sf_dir):
-    a, b, _ = sides(spark, sf_dir)
-    al = RC.align(a, b)
+    al = aligned(spark, sf_dir)
     v, d = RC.verdict_exact(F.col("a_value"), F.col("b_value"), 0)
     return al.select("metric_id", "owner_id", v.alias("verdict"), d.alias("detail"))
 
@@ -115,8 +114,7 @@ def r1_exact(spark, sf_dir):
     "WHEN a_value = 0 AND b_value = 0 THEN 'confirmed' WHEN a_value = 0 OR b_value = 0 THEN 'discrepancy' "
     f"WHEN abs(a_value / b_value - 1) <= {C.RATIO_TOLERANCE} THEN 'confirmed' ELSE 'discrepancy' END AS verdict FROM aligned"))
 def r2_ratio(spark, sf_dir):
-    a, b, _ = sides(spark, sf_dir)
-    al = RC.align(a, b)
+    al = aligned(spark, sf_dir)
     v, _d = RC.verdict_ratio(F.col("a_value"), F.col("b_value"))
     return al.select("metric_id", "owner_id", v.alias("verdict"))
 
