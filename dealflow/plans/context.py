@@ -44,6 +44,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def code_hash() -> str:
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for dirpath, _dirs, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith((".py", ".csv")):
+                with open(os.path.join(dirpath, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()
+
+
 class Models:
     _cache: dict = {}
 
@@ -74,8 +85,9 @@ class Models:
         return m
 
     def fingerprint(self) -> str:
-        """Inputs (path, size, modification time), as_of, config and format version."""
-        parts = [FORMAT_VERSION, self.sf_dir, str(self.as_of), repr(self.cfg)]
+        """Inputs (path, size, modification time), as_of, config, format version and a hash
+        of this package's code and seeds (a code change never reuses old tables)."""
+        parts = [FORMAT_VERSION, code_hash(), self.sf_dir, str(self.as_of), repr(self.cfg)]
         for name in INPUTS:
             path = f"{self.sf_dir}/{name}.parquet"
             fs, p = _fs_status(self.spark, path)
