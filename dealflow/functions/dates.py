@@ -21,13 +21,19 @@ from pyspark.sql import functions as F
 from dealflow.config import TIMEZONE
 
 
+def ntz_lit(x: _dt.datetime) -> Column:
+    """A naive datetime as a TIMESTAMP_NTZ literal - no session or process time zone is
+    involved (``F.lit(datetime)`` would be an instant in the Python process's zone)."""
+    return F.expr(f"TIMESTAMP_NTZ '{x.replace(tzinfo=None).isoformat(sep=' ')}'")
+
+
 def _col(x) -> Column:
     if isinstance(x, Column):
         return x
     if isinstance(x, str):
         return F.col(x)
-    if isinstance(x, (_dt.date, _dt.datetime)):
-        return F.lit(x)
+    if isinstance(x, _dt.datetime):
+        return ntz_lit(x)
     return F.lit(x)
 
 

@@ -212,7 +212,7 @@ def raw_deal_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read(spark, sf_dir, "customer")
     ck = F.col("c_custkey")
-    base = F.lit(_dt.datetime(1999, 1, 1, 2, 0, 0)).cast("timestamp_ntz")
+    base = F.expr("TIMESTAMP_NTZ '1999-01-01 02:00:00'")
     return cu.select(
         ck.alias("id"),
         _case(F.col("c_mktsegment"), {"MACHINERY": F.lit(C.TEST_LEAD_STATUS), "BUILDING": F.lit(None).cast("string")},

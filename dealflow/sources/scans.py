@@ -39,12 +39,15 @@ def assoc(df: DataFrame, left: str, right: str, left_as: str | None = None,
 def freshness(df: DataFrame, ts_col: str, now, warn_hours: float = FRESHNESS_WARN_HOURS,
               error_hours: float = FRESHNESS_ERROR_HOURS, by=None) -> DataFrame:
     """Newest load time, its age in hours and pass / warn / error (one row, or one
-    per ``by`` group)."""
-    now_c = F.lit(now) if not isinstance(now, Column) else now
+    per ``by`` group). ``now`` is a wall-clock time in the column's zone (naive datetime or
+    Column); the difference is taken between wall clocks, independent of the session zone."""
+    from dealflow.functions.dates import ntz_lit
+
+    now_c = ntz_lit(now) if isinstance(now, _dt.datetime) else (now if isinstance(now, Column) else F.lit(now))
     by = list(by or [])
     mx = F.max(F.col(ts_col)).alias("max_loaded_at")
     agg = df.groupBy(*by).agg(mx) if by else df.agg(mx)
-    age = (F.unix_timestamp(now_c.cast("timestamp")) - F.unix_timestamp(F.col("max_loaded_at").cast("timestamp"))) / 3600.0
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at").cast("timestamp_ntz"), now_c.cast("timestamp_ntz")) / 3600.0
     return agg.select(
         *by, "max_loaded_at",
         F.round(age, 2).alias("age_hours"),
