@@ -76,13 +76,30 @@ def targets(spark: SparkSession, table: str = "dim_renewal_targets") -> DataFram
     return spark.table(table).select(*[f.name for f in TARGETS_SCHEMA.fields])
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+MAX_BROADCAST_BYTES = 8 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of the optimized plan (an upper bound for scans, filters
+    and projections of files or local rows), or None when unavailable."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # pragma: no cover - estimate not available
+        return None
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only when the table is proven small.
 
-    The check runs ``limit(max_rows + 1).count()`` - it stops early on large inputs - and
-    falls back to the un-hinted frame (shuffle join chosen by the planner / AQE) beyond
-    the bound, so a dimension that grows with the data never gets pinned in memory.
+    First Catalyst's own size estimate is consulted (no job): under ``max_bytes`` the side
+    is broadcast. Otherwise ``limit(max_rows + 1).count()`` runs - it stops early on large
+    inputs - and beyond the row bound the frame is returned un-hinted (shuffle join chosen
+    by the planner / AQE), so a dimension that grows with the data never gets pinned in
+    memory.
     """
+    est = estimated_bytes(df)
+    if est is not None and est <= max_bytes:
+        return F.broadcast(df)
     try:
         key = (df.semanticHash(), max_rows)
     except Exception:  # pragma: no cover - plans without a semantic hash

@@ -295,3 +295,42 @@ def test_check_summary_shape(spark):
     s = {r.check: r.failing_rows for r in Q.run_checks([("u", "error", Q.check_unique(df, "k")),
                                                           ("n", "error", Q.check_not_null(df, "k"))]).collect()}
     assert s == {"u": 1, "n": 1}
+
+
+def test_empty_inputs_give_empty_facts_and_a_zero_report(spark):
+    d = deals(spark, [])
+    cl = closers(spark)
+    won = M.won_deals(d, cl)
+    cash = M.fct_cash(won, dims.load_dim(spark, "dim_product_map"), dims.load_dim(spark, "dim_member_tier_map"), cl)
+    mt = M.fct_meetings(M.meetings(meetings(spark, []), meeting_deals(spark, []), cl), cl)
+    assert cash.count() == 0 and mt.count() == 0
+    snap = M.fct_pipeline_snapshot(d, flags(spark, []), stages(spark, []), cl, dt.date(2026, 8, 17))
+    assert snap.count() == 0
+    tg = spark.createDataFrame([], "closer_name string, goal_total_cash double, goal_deals_won double, "
+                                   "goal_live_close_pct double, goal_avg_dpl double")
+    rep = R.closer_report(cash, won, mt, tg, cl, dt.date(2026, 8, 17)).collect()
+    assert len(rep) == 2 and all(r.cash_mtd == 0.0 and r.deals_won_mtd == 0 and r.live_close_pct is None for r in rep)
+
+
+def test_winback_overrides_a_mapped_plan_and_unmapped_plans_default(spark):
+    pm = dims.load_dim(spark, "dim_product_map")
+    df = spark.createDataFrame([("917643668", "Winback - Acc Plus"), ("95211801", "Winback - Acc Plus"),
+                                ("95211801", "No Such Plan"), ("898243912", None)],
+                               "pipeline_id string, upsell_plan string")
+    out = [r.product_column for r in M.product_column(df, pm).orderBy("pipeline_id", "upsell_plan").collect()]
+    assert sorted(out) == sorted(["WINBACK", "ACC_TIER", "UNMAPPED", "UNMAPPED"])
+    got = {(r.pipeline_id, r.upsell_plan): r.product_column for r in M.product_column(df, pm).collect()}
+    assert got[("917643668", "Winback - Acc Plus")] == "WINBACK"
+    assert got[("95211801", "Winback - Acc Plus")] == "ACC_TIER"
+
+
+def test_first_call_plan_has_no_window_over_deal_groups(spark):
+    m = meetings(spark, [{"meeting_id": i, "owner_id": A, "activity_type": "Renewal Strategy",
+                          "meeting_outcome": "COMPLETED", "meeting_start_at": f"2026-08-{1 + i % 28:02d} 10:00:00"}
+                         for i in range(60)])
+    md = meeting_deals(spark, [{"meeting_id": i, "deal_id": 1 if i < 20 else i} for i in range(60)])  # one hot deal
+    out = M.meetings(m, md, closers(spark))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    flags_ = dict(out.select("meeting_id", "is_first_call").collect())
+    assert sum(flags_[i] for i in range(20)) == 1 and all(flags_[i] for i in range(20, 60))
