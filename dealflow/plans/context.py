@@ -58,9 +58,15 @@ def code_hash() -> str:
 class Models:
     _cache: dict = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of=S.AS_OF, cfg: PipelineConfig = DEFAULT):
+    def __init__(self, spark: SparkSession, sf_dir: str | None, as_of=S.AS_OF, cfg: PipelineConfig = DEFAULT,
+                 sources: dict | None = None):
+        """``sources`` overrides any node by name (e.g. real landed ``raw_deal`` ... tables,
+        the real roster as ``closers``, ``targets``); without it the stand-ins derived from
+        the driver tables in ``sf_dir`` are used."""
         self.spark, self.sf_dir, self.as_of, self.cfg = spark, sf_dir, as_of, cfg
         self.materialized_at: str | None = None
+        for name, df in (sources or {}).items():
+            self.__dict__[name] = df
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, as_of=S.AS_OF, cfg: PipelineConfig = DEFAULT,
