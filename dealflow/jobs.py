@@ -9,8 +9,6 @@ targets are read from the catalog when present.
 from __future__ import annotations
 
 import datetime as _dt
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,5 +127,3 @@ def write(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """S8 / S9 with the R8 allow-list."""
     scans.write_report(RC.assert_no_pii(df), path, fmt)
 
-
-_ = reduce

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,6 +58,7 @@ def code_hash() -> str:
 
 class Models:
     _cache: dict = {}
+    _lock = threading.Lock()
 
     def __init__(self, spark: SparkSession, sf_dir: str | None, as_of=S.AS_OF, cfg: PipelineConfig = DEFAULT,
                  sources: dict | None = None):
@@ -82,12 +84,13 @@ class Models:
         if materialize is None:
             materialize = os.environ.get("DEALFLOW_MATERIALIZE", "1") != "0"
         key = (id(spark._jsparkSession), sf_dir, as_of, cfg, materialize)
-        m = cls._cache.get(key)
-        if m is None:
-            m = cls(spark, sf_dir, as_of, cfg)
-            if materialize:
-                m.materialize()
-            cls._cache[key] = m
+        with cls._lock:
+            m = cls._cache.get(key)
+            if m is None:
+                m = cls(spark, sf_dir, as_of, cfg)
+                if materialize:
+                    m.materialize()
+                cls._cache[key] = m
         return m
 
     def fingerprint(self) -> str:

@@ -3,8 +3,6 @@ meeting day or cash row), so time-zone, month-end and rounding edge cases all oc
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import functions as F
 
 from dealflow import config as C
@@ -270,5 +268,3 @@ def f24_is_inactive(spark, sf_dir):
     d = _daily(Models.of(spark, sf_dir))
     return d.select("closer_owner_id", "meeting_date_et", RT.is_inactive("pc_completed").alias("is_inactive"))
 
-
-_ = _dt

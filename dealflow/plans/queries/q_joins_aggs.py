@@ -17,17 +17,7 @@ from dealflow.operators import report as R
 from dealflow.operators import staging as ST
 from dealflow.plans import standins as S
 from dealflow.plans.context import Models
-from dealflow.plans.oracle import (
-    AS_OF,
-    LIVE_SQL,
-    W_END,
-    W_START,
-    et,
-    lst,
-    report_pct,
-    safe_pct,
-    sql,
-)
+from dealflow.plans.oracle import W_END, W_START, et, lst, safe_pct, sql
 from dealflow.plans.registry import register
 
 WIN = f"BETWEEN DATE '{W_START}' AND DATE '{W_END}'"
@@ -568,5 +558,3 @@ def b1_classify(spark, sf_dir):
 def b2_bucket_pivot(spark, sf_dir):
     return B.bucket_pivot(B.classify(Models.of(spark, sf_dir).cash))
 
-
-_ = (AS_OF, LIVE_SQL, report_pct)

@@ -13,7 +13,6 @@ from dealflow.functions import dates as D
 from dealflow.functions import flags as FL
 from dealflow.operators import models as M
 from dealflow.operators import reconcile as RC
-from dealflow.operators import staging as ST
 from dealflow.plans import standins as S
 from dealflow.plans.context import Models
 from dealflow.plans.oracle import AS_OF, W_END, W_START, et, live, lst, sql
@@ -293,6 +292,3 @@ def p18_pc_due(spark, sf_dir):
                      D.date_only("membership_expiration_date"))
     return d.select("deal_id", mid.alias("midpoint_et"), FL.pc_due_pred(S.AS_OF, mid).alias("is_pc_due"))
 
-
-# keep the staging helper import used (assoc priority lives in staging)
-_ = ST
