@@ -36,6 +36,15 @@ def test_build_quality_reconcile_audit(spark, landed, tmp_path):
     m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers)
     paths = jobs.build(m, str(tmp_path / "marts"))
     assert spark.read.parquet(paths["rpt_renewal_closer_dashboard"]).count() == 5
+    from pyspark.sql import functions as F
+
+    cash = spark.read.parquet(paths["fct_renewal_cash"])
+    win = cash.filter(F.col("cash_date_et").between(*S.WINDOW))
+    plan = win._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cash_date_et" in plan
+    lazy_win = m.cash.filter(F.col("cash_date_et").between(*S.WINDOW))
+    assert sorted(map(tuple, win.select(*lazy_win.columns).collect()), key=str) == \
+        sorted(map(tuple, lazy_win.collect()), key=str)
     q = {r.check: r.failing_rows for r in jobs.quality(m).collect()}
     assert q["first call dedup"] == 0 and q["stg_deals.deal_id unique"] == 0
     od = S.other_deals(spark, SF, lazy.raw_deal)
