@@ -60,9 +60,14 @@ def with_closer_name(df: DataFrame, closers: DataFrame, key: str = "closer_owner
 
 
 def exclude_flagged(df: DataFrame, flags: DataFrame, key: str = "deal_id",
-                    flag: str = "is_test_contact") -> DataFrame:
-    """Drop rows linked to a flagged contact; rows without a link are kept."""
-    return df.join(flags.filter(F.col(flag)).select(key), key, "left_anti")
+                    flag: str = "is_test_contact", cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """Drop rows linked to a flagged contact; rows without a link are kept.
+
+    The flagged ids (internal test records) are few, so the anti join broadcasts them when
+    their count is proven under the bound and the large side is not shuffled; otherwise it
+    is a shuffle anti join."""
+    flagged = bounded_broadcast(flags.filter(F.col(flag)).select(key), cfg.max_broadcast_rows)
+    return df.join(flagged, key, "left_anti")
 
 
 def product_column(df: DataFrame, product_map: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
@@ -286,7 +291,7 @@ def fct_stage_entries(deals: DataFrame, closers: DataFrame, flags: DataFrame,
     """M11 (P5, J1, P6, U2, F1)."""
     d = in_pipelines(deals, cfg.renewal_pipeline_ids)
     d = only_roster(d, closers, cfg=cfg)
-    d = exclude_flagged(d, flags)
+    d = exclude_flagged(d, flags, cfg=cfg)
     return unpivot_entries(d, cfg)
 
 
@@ -297,11 +302,24 @@ def snapshot_candidates(deals: DataFrame, flags: DataFrame, stages: DataFrame, c
                         cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Deals of roster closers, not flagged, on a known stage, with the derived dates the
     due rules need (F6, F7, J9, J14: the midpoint is a column, no join)."""
-    d = deals.join(flags.select("deal_id", "is_test_contact", "contact_true_renewal_close_date"), "deal_id", "left")
-    d = d.filter(~F.coalesce(F.col("is_test_contact"), F.lit(False)))
+    from dealflow import config as C
+
     r = roster(closers, cfg, with_name=True)
-    d = d.join(r, d["closer_owner_id"] == r["owner_id"], "inner").drop("owner_id")
+    d = deals.join(r, deals["closer_owner_id"] == r["owner_id"], "inner").drop("owner_id")
     d = with_stage(d, stages, cfg)
+    d = exclude_flagged(d, flags, cfg=cfg)
+    # The contact's close date only matters for a pc_due candidate without either deal-level
+    # close date; only those rows are joined to the contact flags (a small shuffle instead of
+    # one over every deal).
+    needs_contact = F.coalesce(
+        (F.col("pipeline_id") == F.lit(cfg.new_pipeline_id)) & (F.col("stage_pipeline_id") == F.lit(cfg.new_pipeline_id))
+        & F.col("snapshot_col").isin(*C.PRE_PC_SNAPSHOT_COLS) & F.col("close_date").isNull()
+        & F.col("close_date_fallback").isNull(), F.lit(False))
+    contact_type = flags.schema["contact_true_renewal_close_date"].dataType
+    with_contact = d.filter(needs_contact).join(
+        flags.select("deal_id", "contact_true_renewal_close_date"), "deal_id", "left")
+    without = d.filter(~needs_contact).withColumn("contact_true_renewal_close_date", F.lit(None).cast(contact_type))
+    d = with_contact.unionByName(without)
     start = start_date("close_date", "close_date_fallback", "contact_true_renewal_close_date", cfg.timezone)
     exp = date_only("membership_expiration_date")
     return d.withColumn("membership_start_date_et", start).withColumn(

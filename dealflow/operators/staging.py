@@ -83,10 +83,12 @@ def stage_meetings(raw: DataFrame) -> DataFrame:
 def assoc_priority(assoc: DataFrame, deals: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Association rows with the priority of their deal (0 = tracked pipeline)."""
     a = _assoc(assoc, "engagement_id", "deal_id", "meeting_id", "deal_id")
-    d = deals.select("deal_id", "pipeline_id")
-    j = a.join(d, "deal_id", "left")
-    prio = F.when(F.col("pipeline_id").isin(*cfg.tracked_pipeline_ids), F.lit(0)).otherwise(F.lit(1))
-    return j.select("meeting_id", "deal_id", prio.alias("priority"))
+    # Only deals of a tracked pipeline can raise the priority, so only their ids take part
+    # in the join (the filter reaches the deal scan; fewer rows cross the shuffle).
+    tracked = deals.filter(F.col("pipeline_id").isin(*cfg.tracked_pipeline_ids)).select(
+        "deal_id", F.lit(0).alias("_tracked"))
+    j = a.join(tracked, "deal_id", "left")
+    return j.select("meeting_id", "deal_id", F.coalesce(F.col("_tracked"), F.lit(1)).alias("priority"))
 
 
 def one_deal_per_meeting(assoc: DataFrame, deals: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

@@ -137,10 +137,15 @@ _start_sql = f"COALESCE(CAST(d.close_date AS DATE), {et('d.close_date_fallback')
     f"SELECT d.deal_id, {_start_sql} AS membership_start_date_et, CAST(d.membership_expiration_date AS DATE) "
     f"AS membership_expiration_date_et, {_start_sql} + CAST(floor(date_diff('day', {_start_sql}, "
     "CAST(d.membership_expiration_date AS DATE)) / 2) AS INTEGER) AS pc_due_midpoint_et "
-    "FROM snap_deals d JOIN closers cl ON d.closer_owner_id = cl.owner_id JOIN stages s ON d.dealstage_id = s.stage_id"))
+    "FROM snap_deals d JOIN closers cl ON d.closer_owner_id = cl.owner_id JOIN stages s ON d.dealstage_id = s.stage_id "
+    f"WHERE d.pipeline_id = '{C.NEW_RENEWAL_PIPELINE_ID}' AND s.pipeline_id = '{C.NEW_RENEWAL_PIPELINE_ID}' "
+    f"AND s.snapshot_col IN ({lst(C.PRE_PC_SNAPSHOT_COLS)})"))
 def j14_with_midpoint(spark, sf_dir):
+    """The midpoint on the pc_due candidates' own rows (the reference joins it there)."""
     m = Models.of(spark, sf_dir)
     d = M.snapshot_candidates(m.deals, m.contact_flags, m.stages, m.closers, m.cfg)
+    d = d.filter((F.col("pipeline_id") == C.NEW_RENEWAL_PIPELINE_ID) & (F.col("stage_pipeline_id") == C.NEW_RENEWAL_PIPELINE_ID)
+                 & F.col("snapshot_col").isin(*C.PRE_PC_SNAPSHOT_COLS))
     return d.select("deal_id", "membership_start_date_et", "membership_expiration_date_et", "pc_due_midpoint_et")
 
 
