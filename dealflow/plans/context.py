@@ -20,11 +20,17 @@ from dealflow.operators import staging as ST
 from dealflow.plans import standins as S
 
 
-# Tables written by ``materialize``: landed raw tables first, then the models in
-# dependency order (each later one is built from the already written ones).
-LANDED = ("raw_deal", "raw_meeting", "raw_engagement_deal", "raw_deal_contact", "raw_contact")
-MODELS = ("deals", "stg_meetings", "meeting_deals", "contact_flags", "won", "cash", "meetings", "won_fct",
-          "meetings_fct", "entries", "snapshot")
+# Tables written by ``materialize``, in dependency levels: the tables of one level only read
+# tables of earlier levels, so each level is written by concurrent jobs.
+LEVELS = (
+    ("raw_deal", "raw_meeting", "raw_engagement_deal", "raw_deal_contact", "raw_contact"),
+    ("deals", "stg_meetings", "contact_flags"),
+    ("meeting_deals", "won", "entries", "snapshot"),
+    ("cash", "won_fct", "meetings"),
+    ("meetings_fct",),
+)
+LANDED = LEVELS[0]
+MODELS = tuple(n for level in LEVELS[1:] for n in level)
 # Date column each table is clustered on inside its files (row-group min/max pruning).
 CLUSTER_BY = {"cash": "cash_date_et", "won": "close_date_et", "won_fct": "close_date_et",
               "meetings": "meeting_date_et", "meetings_fct": "meeting_date_et", "entries": "entry_date_et",
@@ -112,14 +118,24 @@ class Models:
         from dealflow.session import ensure_checkpoint_dir
 
         root = root or os.path.join(ensure_checkpoint_dir(self.spark), "dealflow-tables", self.fingerprint())
-        for name in LANDED + MODELS:
+
+        def write(name: str) -> None:
             path = f"{root}/{name}"
             if not exists(self.spark, f"{path}/_SUCCESS"):
                 df = getattr(self, name)
                 if name in CLUSTER_BY:
                     df = df.sortWithinPartitions(CLUSTER_BY[name])
                 df.write.mode("overwrite").parquet(path)
-            self.__dict__[name] = self.spark.read.parquet(path)
+
+        from concurrent.futures import ThreadPoolExecutor
+
+        for shared in ("closers", "stages", "product_map", "tier_map"):  # built once, before the threads
+            getattr(self, shared)
+        for level in LEVELS:
+            with ThreadPoolExecutor(max_workers=len(level)) as pool:
+                list(pool.map(write, level))
+            for name in level:
+                self.__dict__[name] = self.spark.read.parquet(f"{root}/{name}")
         self.materialized_at = root
         return root
 
