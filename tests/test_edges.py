@@ -334,3 +334,23 @@ def test_first_call_plan_has_no_window_over_deal_groups(spark):
     assert "Window" not in plan
     flags_ = dict(out.select("meeting_id", "is_first_call").collect())
     assert sum(flags_[i] for i in range(20)) == 1 and all(flags_[i] for i in range(20, 60))
+
+
+def test_filter_sql_equals_filter_column(spark):
+    df = spark.createDataFrame(
+        [(str(i), ["a", "b", "c", None][i % 4], str(i % 3), dt.datetime(2026, 8, 1 + i % 20, i % 24), float(i))
+         for i in range(60)], "id string, dealstage string, hubspot_owner_id string, d timestamp_ntz, amt double")
+    specs = [
+        [RC.f("dealstage", "IN", ["a", "b"]), RC.f("d", "BETWEEN", ["2026-08-03", "2026-08-10"])],
+        [RC.f("dealstage", "EQ", "c"), RC.f("amt", "GTE", 10.0), RC.f("amt", "LT", 40.0)],
+        [RC.f("hubspot_owner_id", "EQ", "1"), RC.f("dealstage", "HAS_PROPERTY")],
+        [RC.f("d", "GT", "2026-08-15"), RC.f("id", "LTE", "5")],
+    ]
+    for spec in specs:
+        a = sorted(r.id for r in df.filter(RC.filter_column(df, spec)).collect())
+        b = sorted(r.id for r in df.filter(F.expr(RC.filter_sql(df, spec))).collect())
+        assert a == b and a, spec
+    comps = [("amt", "d")]
+    x = df.agg(F.sum(RC.dated_components_sum(df, comps, "2026-08-02", "2026-08-09"))).collect()[0][0]
+    y = df.agg(F.expr(f"sum({RC.dated_components_sql(df, comps, '2026-08-02', '2026-08-09')})")).collect()[0][0]
+    assert x == y and x > 0
