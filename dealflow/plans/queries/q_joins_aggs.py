@@ -182,8 +182,7 @@ def aligned(spark, sf_dir):
 
 @register("j15_align", sql("SELECT metric_id, owner_id, a_value, b_value FROM aligned"))
 def j15_align(spark, sf_dir):
-    a, b, _ = sides(spark, sf_dir)
-    return RC.align(a, b)
+    return aligned(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- A
