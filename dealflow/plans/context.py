@@ -51,6 +51,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identifies a live session: a new SparkContext has a new application id."""
+    return (spark.sparkContext.applicationId, id(spark._jsparkSession))
+
+
 def code_hash() -> str:
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
@@ -89,7 +94,7 @@ class Models:
         """
         if materialize is None:
             materialize = os.environ.get("DEALFLOW_MATERIALIZE", "1") != "0"
-        key = (id(spark._jsparkSession), sf_dir, as_of, cfg, materialize)
+        key = session_key(spark) + (sf_dir, as_of, cfg, materialize)
         with cls._lock:
             m = cls._cache.get(key)
             if m is None:
