@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dealflow import config as C
 from dealflow.config import DEFAULT, PipelineConfig
 from dealflow.functions.dates import date_only, et_date, midpoint, start_date
 from dealflow.functions.flags import (
@@ -302,8 +303,6 @@ def snapshot_candidates(deals: DataFrame, flags: DataFrame, stages: DataFrame, c
                         cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Deals of roster closers, not flagged, on a known stage, with the derived dates the
     due rules need (F6, F7, J9, J14: the midpoint is a column, no join)."""
-    from dealflow import config as C
-
     r = roster(closers, cfg, with_name=True)
     d = deals.join(r, deals["closer_owner_id"] == r["owner_id"], "inner").drop("owner_id")
     d = with_stage(d, stages, cfg)
@@ -329,8 +328,6 @@ def snapshot_candidates(deals: DataFrame, flags: DataFrame, stages: DataFrame, c
 
 def due_flags(as_of, cfg: PipelineConfig = DEFAULT) -> tuple[Column, Column]:
     """(rc_due, pc_due) predicates on snapshot candidates; rc_due wins ties."""
-    from dealflow import config as C
-
     new_pipe = (F.col("pipeline_id") == F.lit(cfg.new_pipeline_id)) & (
         F.col("stage_pipeline_id") == F.lit(cfg.new_pipeline_id))
     exp = F.col("membership_expiration_date_et")
@@ -350,7 +347,9 @@ def fct_pipeline_snapshot(deals: DataFrame, flags: DataFrame, stages: DataFrame,
 
     One pass with a precedence CASE instead of three branches glued by NOT IN: equal to the
     union + anti-join form because deal_id is unique in staging and the candidate stages
-    are a subset of the stage dimension. Only the flags join shuffles.
+    are a subset of the stage dimension. Roster, stages and the flagged ids are broadcast
+    (size-checked); only the contact-date join of the few pc_due candidates without a deal
+    close date shuffles.
     """
     d = snapshot_candidates(deals, flags, stages, closers, cfg)
     rc, pc = due_flags(as_of, cfg)
