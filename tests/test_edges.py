@@ -354,3 +354,34 @@ def test_filter_sql_equals_filter_column(spark):
     x = df.agg(F.sum(RC.dated_components_sum(df, comps, "2026-08-02", "2026-08-09"))).collect()[0][0]
     y = df.agg(F.expr(f"sum({RC.dated_components_sql(df, comps, '2026-08-02', '2026-08-09')})")).collect()[0][0]
     assert x == y and x > 0
+
+
+def test_load_dim_from_csv_path_with_declared_types(spark):
+    path = str(dims.SEED_DIR / "dim_renewal_stages.csv")
+    a = dims.load_dim(spark, "dim_renewal_stages", path=path)
+    b = dims.load_dim(spark, "dim_renewal_stages")
+    def names_types(df):
+        return [(f.name, f.dataType) for f in df.schema.fields]  # the CSV reader marks every column nullable
+
+    assert names_types(a) == names_types(b) and sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert a.count() == 36 and [f.dataType.typeName() for f in a.schema.fields] == ["string"] * 5
+
+
+def test_publish_view_and_table_in_a_layer_database(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "deal_id long, x string")
+    v = scans.publish(df, "fct_example_view", "view")
+    assert v.count() == 2 and spark.table("fct_example_view").count() == 2
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS marts_layer LOCATION '{tmp_path}/marts_layer'")
+    t = scans.publish(df, "fct_example", "table", database="marts_layer")
+    assert sorted(r.deal_id for r in t.collect()) == [1, 2]
+    assert spark.catalog.tableExists("marts_layer.fct_example")
+    with pytest.raises(ValueError):
+        scans.publish(df, "x", "materialized_view")
+
+
+def test_freshness_statuses(spark):
+    df = spark.createDataFrame([("a", dt.datetime(2026, 8, 17, 1, 0)), ("b", dt.datetime(2026, 8, 16, 20, 0)),
+                                ("c", dt.datetime(2026, 8, 16, 23, 0))], "src string, loaded timestamp_ntz")
+    out = {r.src: (r.age_hours, r.status) for r in scans.freshness(df, "loaded", dt.datetime(2026, 8, 17, 5, 0),
+                                                                    by=["src"]).collect()}
+    assert out == {"a": (4.0, "pass"), "b": (9.0, "error"), "c": (6.0, "warn")}
