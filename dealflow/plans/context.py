@@ -78,6 +78,7 @@ class Models:
         the driver tables in ``sf_dir`` are used."""
         self.spark, self.sf_dir, self.as_of, self.cfg = spark, sf_dir, as_of, cfg
         self.materialized_at: str | None = None
+        self.given = frozenset(sources or {})
         for name, df in (sources or {}).items():
             self.__dict__[name] = df
 
@@ -107,12 +108,15 @@ class Models:
     def fingerprint(self) -> str:
         """Inputs (path, size, modification time), as_of, config, format version and a hash
         of this package's code and seeds (a code change never reuses old tables)."""
-        parts = [FORMAT_VERSION, code_hash(), self.sf_dir, str(self.as_of), repr(self.cfg)]
-        for name in INPUTS:
-            path = f"{self.sf_dir}/{name}.parquet"
+        parts = [FORMAT_VERSION, code_hash(), str(self.sf_dir), str(self.as_of), repr(self.cfg)]
+        if self.sf_dir is not None:
+            paths = [f"{self.sf_dir}/{name}.parquet" for name in INPUTS]
+        else:  # a graph over given tables: the files behind them (metadata only)
+            paths = sorted({f for name in LANDED if name in self.given for f in self.__dict__[name].inputFiles()})
+        for path in paths:
             fs, p = _fs_status(self.spark, path)
             st = fs.getContentSummary(p)
-            parts.append(f"{name}:{st.getLength()}:{fs.getFileStatus(p).getModificationTime()}")
+            parts.append(f"{path}:{st.getLength()}:{fs.getFileStatus(p).getModificationTime()}")
         return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
     def materialize(self, root: str | None = None) -> str:
@@ -125,6 +129,8 @@ class Models:
         root = root or os.path.join(ensure_checkpoint_dir(self.spark), "dealflow-tables", self.fingerprint())
 
         def write(name: str) -> None:
+            if name in self.given:  # already a table (e.g. a real landing)
+                return
             path = f"{root}/{name}"
             if not exists(self.spark, f"{path}/_SUCCESS"):
                 df = getattr(self, name)
@@ -140,7 +146,8 @@ class Models:
             with ThreadPoolExecutor(max_workers=len(level)) as pool:
                 list(pool.map(write, level))
             for name in level:
-                self.__dict__[name] = self.spark.read.parquet(f"{root}/{name}")
+                if name not in self.given:
+                    self.__dict__[name] = self.spark.read.parquet(f"{root}/{name}")
         self.materialized_at = root
         return root
 

@@ -59,6 +59,17 @@ def test_build_quality_reconcile_audit(spark, landed, tmp_path):
     assert {r.side for r in diff.collect()} <= {"missing_in_other", "extra_in_other"}
 
 
+def test_landing_graph_materializes_models_only(spark, landed, tmp_path):
+    root, lazy = landed
+    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers)
+    out = m.materialize(str(tmp_path / "tables"))
+    assert not os.path.exists(f"{out}/raw_deal") and os.path.exists(f"{out}/cash/_SUCCESS")
+    assert len(m.fingerprint()) == 16
+    a = sorted(map(tuple, m.snapshot.collect()), key=str)
+    b = sorted(map(tuple, lazy.snapshot.collect()), key=str)
+    assert a == b
+
+
 def test_window_dates():
     assert jobs.window_dates("mtd", dt.date(2026, 3, 1)) == (dt.date(2026, 2, 1), dt.date(2026, 2, 28))
     assert jobs.window_dates("last7d", dt.date(2026, 8, 17)) == (dt.date(2026, 8, 10), dt.date(2026, 8, 16))
