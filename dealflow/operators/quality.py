@@ -88,4 +88,12 @@ def model_checks(m) -> list:
          check_values(m.entries, "stage_entry_type", STAGE_ENTRY_TYPES)),
         ("first call dedup", "error", check_first_call(m.meetings_fct)),
         ("cash nonnegative", "error", check_nonneg(m.cash)),
+        ("rpt.closer_owner_id unique", "error", check_unique(m.report(), "closer_owner_id")),
+        ("dim_closers.owner_id unique", "error", check_unique(m.closers, "owner_id")),
+        ("dim_closers.owner_id not_null", "error", check_not_null(m.closers, "owner_id")),
+        ("dim_renewal_stages.stage_id unique", "error", check_unique(m.stages, "stage_id")),
+        ("dim_product_map.upsell_plan unique", "error", check_unique(m.product_map, "upsell_plan")),
+        ("dim_member_tier_map key unique after normalising", "error",
+         normalised_key_conflicts(m.tier_map, "active_product_snapshot_at_won")),
+        ("deals on stages missing from dim_renewal_stages", "warn", unmapped_stages(m.deals, m.stages)),
     ]
