@@ -51,7 +51,10 @@ def check_nonneg(df: DataFrame, col: str = "cash_amount", keep=("deal_id", "cash
 
 def unmapped_stages(deals: DataFrame, stages: DataFrame) -> DataFrame:
     """Stage ids carried by deals but absent from the stage dimension, with counts."""
-    return (deals.join(stages.select(F.col("stage_id").alias("dealstage_id")), "dealstage_id", "left_anti")
+    from dealflow.sources.dims import bounded_broadcast
+
+    known = bounded_broadcast(stages.select(F.col("stage_id").alias("dealstage_id")))
+    return (deals.join(known, "dealstage_id", "left_anti")
             .groupBy("pipeline_id", "dealstage_id").agg(F.count(F.lit(1)).alias("deals")))
 
 
