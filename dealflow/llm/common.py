@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,7 +88,7 @@ def add_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
                 texts = ["" if t is None else t for t in part.column(part.schema.get_field_index("__text")).to_pylist()]
                 out = compute(texts)
                 old = [part.column(i) for i in range(len(names))]
-                yield pa.RecordBatch.from_arrays(old + [pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names + new)
+                yield pa.RecordBatch.from_arrays(old + [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names + new)
 
     return source.mapInArrow(run, schema)
 
@@ -97,7 +98,7 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 4_000_000) -> Iterator[
     col = batch.column(batch.schema.get_field_index(text))
     if not len(col):
         return
-    ends = np.cumsum([0 if n is None else n for n in pa.compute.binary_length(col).to_pylist()])
+    ends = np.cumsum([0 if n is None else n for n in pc.binary_length(col).to_pylist()])
     start, base = 0, 0
     while start < len(col):
         stop = max(start + 1, int(np.searchsorted(ends, base + most, "right")))
@@ -105,15 +106,18 @@ def slices(batch: pa.RecordBatch, text: str, most: int = 4_000_000) -> Iterator[
         start, base = stop, int(ends[stop - 1])
 
 
+_HASHES: dict[int, dict[str, int]] = {}
+
+
 class Words:
-    """64-bit hashes of words, cached for the most recent ``size`` distinct words or fewer."""
+    """64-bit hashes of words. Those met are kept for the later tasks of the Python process;
+    beyond ``size`` words the cache is emptied."""
 
-    def __init__(self, seed: int = 0, size: int = 200_000):
-        self.seed, self.size, self.cache = seed, size, {}
+    def __init__(self, seed: int = 0, size: int = 400_000):
+        self.seed, self.size, self.cache = seed, size, _HASHES.setdefault(seed, {})
 
     def hashes(self, words: list[str]) -> np.ndarray:
-        get, found = self.cache.get, None
-        found = [get(w) for w in words]
+        found = list(map(self.cache.get, words))
         if None in found:
             for i, v in enumerate(found):
                 if v is None:

@@ -23,6 +23,32 @@ def sha(col):
     return F.sha2(F.encode(col, "UTF-8"), 256)
 
 
+def digest(spans, kinds=None):
+    """Lowercase hex of the spans as kind:start:end, comma-joined."""
+    own = F.col(spans) if kinds is None else F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(own, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+@query
+def op1_secret_scan(spark, sf_dir):
+    from dealflow.llm.secrets import KINDS, find_secrets, fit
+
+    docs = table(spark, sf_dir, "documents")
+    found = find_secrets(docs, fit(docs), keep=["doc_id"])
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select("doc_id", *[n(k) for k in KINDS[:3]], sha(digest("spans", KINDS[:3])).alias("base_sha256"), digest("spans").alias("spans"))
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    from dealflow.llm.toxicity import fit, score_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    got = score_toxicity(docs, fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                      F.size("passages").cast("bigint").alias("n_passages"))
+
+
 @query
 def op3_line_dedup(spark, sf_dir):
     from dealflow.llm.line_dedup import dedup_lines
@@ -43,3 +69,28 @@ SELECT doc_id, count(*) AS n_lines,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (first_doc IS NULL OR first_doc = doc_id), '')) AS kept_sha256
 FROM keyed LEFT JOIN held USING (k) GROUP BY doc_id
 """
+
+
+@query
+def op5_url_filter(spark, sf_dir):
+    from dealflow.llm.url_filter import filter_urls, page_links
+
+    pages = table(spark, sf_dir, "pages")
+    return filter_urls(pages, page_links(pages))
+
+
+def vocabulary(name="byte_bpe_50k.json"):
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query
+def op8_bpe(spark, sf_dir):
+    from dealflow.llm.bpe import decode, encode
+
+    path = vocabulary()
+    got = decode(encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"]), path)
+    return got.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                      F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256).alias("ids_sha256"),
+                      sha("decoded").alias("decoded_sha256"))
