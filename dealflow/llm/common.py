@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 #: The white space of the contracts, ``[\x20\x09-\x0D]``.
 WS = " \t\n\x0b\x0c\r"
 MAX_ID = 2**63 - 1
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +42,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: its lineage
-    ends there, and a lost executor costs only a re-read."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    ends there, and a lost executor costs only a re-read. The shuffle files of the write go
+    when it ends, as nothing reads them again."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -128,6 +136,25 @@ class Words:
         return np.array(found, np.uint64) if found else np.zeros(0, np.uint64)
 
 
+class ByteWords(Words):
+    """As ``Words``, for words that are bytes."""
+
+    def hashes(self, words: list[bytes]) -> np.ndarray:
+        found = list(map(self.cache.get, words))
+        if None in found:
+            for i, v in enumerate(found):
+                if v is None:
+                    found[i] = self.cache[words[i]] = xxhash.xxh64_intdigest(words[i], self.seed)
+            if len(self.cache) > self.size:
+                self.cache.clear()
+        return np.array(found, np.uint64) if found else np.zeros(0, np.uint64)
+
+
+def byte_words(text: str) -> list[bytes]:
+    """Words between [\\x20\\x09-\\x0D]: exactly what bytes are split at."""
+    return text.encode("utf-8", "surrogatepass").split()
+
+
 def flat_words(texts: list[str], words: Words, split: Callable[[str], list[str]]) -> tuple[np.ndarray, np.ndarray]:
     """The word hashes of all texts one after another, and where each text starts (and the end)."""
     parts = [split(t) for t in texts]

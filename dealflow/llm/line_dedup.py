@@ -17,8 +17,9 @@ def line_key(line: Column) -> Column:
     return F.when(F.octet_length(bare) == F.length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars: int = 10) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept) for every row of ``docs``.
+def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars: int = 10, carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_lines, n_dropped, kept) for every row of ``docs``, or the columns ``carry``
+    instead of the id.
 
     Lines are exploded and normalised, their keys hashed to 128 bits, and each hash gets the
     smallest and the largest document that holds it (an aggregate with partial combine, so a
@@ -34,7 +35,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     columns of ``docs``, whatever their names, are not looked at. No rows give no rows.
     """
     base = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(MAX_ID)).alias("__id"),
-                       F.col(doc_id).alias("__own"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+                       F.struct(*[F.col(f"`{c}`") for c in carry or [doc_id]]).alias("__own"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     base = base.withColumn("__version", F.xxhash64("__text")).withColumn("__lines", F.split("__text", "\n", -1))
     at = base.select("__id", "__version", F.posexplode("__lines").alias("pos", "line"))
     at = at.withColumn("key", line_key(F.col("line"))).where(F.length("key") >= min_chars)
@@ -48,7 +49,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     lines = F.col("__lines")
     return (base.drop("__text").join(gone, ["__id", "__version"], "left")
             .withColumn("__stay", F.when(F.col("gone").isNotNull(), stay))
-            .select(F.col("__own").alias(doc_id), n.cast("bigint").alias("n_lines"),
+            .select("__own.*", n.cast("bigint").alias("n_lines"),
                     F.when(F.col("__stay").isNull(), 0).otherwise(n - F.size("__stay")).cast("bigint").alias("n_dropped"),
                     F.when(F.col("__stay").isNull(), F.array_join(lines, "\n"))
                     .otherwise(F.array_join(F.transform("__stay", lambda p: lines[p]), "\n")).alias("kept")))

@@ -71,6 +71,13 @@ FROM keyed LEFT JOIN held USING (k) GROUP BY doc_id
 """
 
 
+@query
+def op4_substring_dedup(spark, sf_dir):
+    from dealflow.llm.substring_dedup import dedup_substrings
+
+    return dedup_substrings(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", sha("kept").alias("kept_sha256"))
+
+
 @query
 def op5_url_filter(spark, sf_dir):
     from dealflow.llm.url_filter import filter_urls, page_links
@@ -79,6 +86,24 @@ def op5_url_filter(spark, sf_dir):
     return filter_urls(pages, page_links(pages))
 
 
+@query
+def op6_benchmark_decontamination(spark, sf_dir):
+    from dealflow.llm.decontaminate import find_leaks
+
+    got = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return got.select("doc_id", F.inline("leaks"))
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    from dealflow.llm.quality import fit, score_quality
+
+    docs = table(spark, sf_dir, "documents")
+    got = score_quality(docs, fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                      F.size("lines").cast("bigint").alias("n_lines"))
+
+
 def vocabulary(name="byte_bpe_50k.json"):
     import public_tokenizers
 
@@ -94,3 +119,19 @@ def op8_bpe(spark, sf_dir):
     return got.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256).alias("ids_sha256"),
                       sha("decoded").alias("decoded_sha256"))
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    from dealflow.llm.quality_rules import MEASURES, fit, judge
+
+    docs = table(spark, sf_dir, "documents")
+    got = judge(docs, fit(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return got.select("doc_id", *MEASURES, "base_failed", "kept", "content_share")
+
+
+@query
+def op9_ngram_jaccard_join(spark, sf_dir):
+    from dealflow.llm.near_dup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
