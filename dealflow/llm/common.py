@@ -49,10 +49,20 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``cut`` wrote, once all that was made of them is written itself."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        where = jvm.org.apache.hadoop.fs.Path(df.written_at)
+        where.getFileSystem(conf).delete(where, True)
 
 
 def held_out(doc_id: Column) -> Column:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealflow.llm.common import MAX_ID, ByteWords, byte_words, cut, flat_words, grams, mix, slices
+from dealflow.llm.common import MAX_ID, ByteWords, byte_words, cut, discard, flat_words, grams, mix, slices
 
 GRAM, DEPTH, ROOM = 11, 2, 8
 _BASE = np.uint64(0xD6E8FEB86659FD93)
@@ -128,7 +128,8 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
        the minimizer 128 bits from two independent word hashes, are counted exactly.
     4. What occurs twice or more goes back to the texts as window starts.
     Every table that a hot minimizer or window meets again is written first, so that adaptive
-    execution can split that join; the counts combine before they are shuffled.
+    execution can split that join; the counts combine before they are shuffled. A table goes
+    when the next one is written.
 
     A null or empty text has no words; one shorter than ``window`` loses none. Rows that repeat are
     documents of their own: each loses all its windows. A null id is carried along. Other
@@ -141,15 +142,18 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     for depth in range(DEPTH):
         cell = F.shiftrightunsigned(F.xxhash64(F.lit(depth), "key"), 64 - bits).alias("cell")
         row = cut(runs.select(cell).groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell"), "sketch")
-        kept = runs.withColumn("cell", cell).join(row, "cell", "left_semi").drop("cell")
-        runs = cut(kept, "repeated-runs") if depth < DEPTH - 1 else kept
+        kept = cut(runs.withColumn("cell", cell).join(row, "cell", "left_semi").drop("cell"), "repeated-runs")
+        discard(runs, row)
+        runs = kept
     mine = runs.groupBy("id", "version").agg(F.collect_set(F.struct("at", "n", "key")).alias("runs"))
     rows = base.select("id", "version", "t").join(mine, ["id", "version"])
     held = cut(rows.mapInArrow(_windows(window), "id bigint, version int, at int, key bigint, hashes array<bigint>"), "windows")
+    discard(runs)
     each = held.select("id", "version", "key", F.posexplode("hashes").alias("i", "hash"), "at")
     again = cut(each.groupBy("key", "hash").agg(F.count("*").alias("n")).where("n > 1").select("key", "hash"), "repeated-windows")
-    gone = (each.join(again, ["key", "hash"], "left_semi").groupBy("id", "version")
-            .agg(F.collect_set((F.col("at") + F.col("i")).cast("int")).alias("starts")))
+    gone = cut(each.join(again, ["key", "hash"], "left_semi").groupBy("id", "version")
+               .agg(F.collect_set((F.col("at") + F.col("i")).cast("int")).alias("starts")), "removed")
+    discard(held, again)
     return (base.join(gone, ["id", "version"], "left").select("own", "t", "starts")
             .mapInArrow(_remove(window), f"own {docs.schema[doc_id].dataType.simpleString()}, n_words bigint, n_removed bigint, kept string")
             .withColumnRenamed("own", doc_id))
