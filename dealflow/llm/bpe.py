@@ -37,7 +37,7 @@ class Bpe:
     """``spec``: the JSON text of a byte-level BPE tokenizer file. ``cached``: after this many
     words the caches are emptied, so that memory stays bounded."""
 
-    def __init__(self, spec: str, cached: int = 400_000):
+    def __init__(self, spec: str, cached: int = 300_000):
         j, to_byte = json.loads(spec), byte_of_char()
         pre = j["pre_tokenizer"]
         if j["model"]["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or j["normalizer"] or j["model"]["ignore_merges"]:
@@ -52,6 +52,14 @@ class Bpe:
             a, b = m.split(" ") if isinstance(m, str) else m
             a, b = raw(a), raw(b)
             self.rank.setdefault(self.id_of[a] << 32 | self.id_of[b], (r, self.id_of[a + b]))
+        self.last = len(self.rank)
+        self.pair_keys = np.array(sorted(self.rank), np.int64)
+        by = sorted(self.rank.items())
+        order = np.argsort([v[0] for _, v in by])
+        self.pair_ranks = np.empty(len(by), np.int64)
+        self.pair_ranks[order] = np.arange(len(by))
+        self.made = np.array([by[i][1][1] for i in order], np.int64)
+        self.byte_ids = np.array([-1 if i is None else i for i in self.id_of_byte], np.int64)
         self.prefixes = {b[:k] for b in self.id_of for k in range(1, len(b) + 1)}
         self.split = regex.compile(PATTERN).findall
         self.apart = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")").split if self.special else lambda t: [t]
@@ -118,8 +126,8 @@ class Bpe:
 
     def learn(self, words: list[str]) -> None:
         """Put the tokens of new words into the cache. The adjacent pairs of all proposals, and
-        lone tokens as pairs with nothing, are looked up as one array; a pair met for the
-        first time is merged once."""
+        lone tokens as pairs with nothing, are looked up as one array; pairs met for the
+        first time are merged, once and together, as the words that fail are."""
         raw = [w.encode("utf-8", "replace") for w in words]
         got = [self.propose(b) for b in raw]
         sizes = np.array([len(g) for g in got])
@@ -132,27 +140,74 @@ class Bpe:
         keep = inner | np.repeat(sizes == 1, sizes)
         distinct, where = np.unique(keys[keep], return_inverse=True)
         fine = np.ones(len(flat), bool)
-        fine[keep] = np.array([self.compatible(int(k)) for k in distinct], bool)[where]
-        good = np.logical_and.reduceat(fine, ends - sizes)
-        for w, b, g, ok in zip(words, raw, got, good, strict=True):
-            if not ok:
-                g = self.merge(b)
-                self.exact += 1
+        fine[keep] = self.compatible(distinct.tolist())[where]
+        failed = np.flatnonzero(~np.logical_and.reduceat(fine, ends - sizes)).tolist()
+        for i, g in zip(failed, self.merge_all([raw[i] for i in failed]), strict=True):
+            got[i] = g
+        self.exact += len(failed)
+        for w, g in zip(words, got, strict=True):
             self.words[w] = array("i", g).tobytes()
 
-    def compatible(self, key: int) -> bool:
-        v = self.pairs.get(key)
-        if v is None:
-            a, b = key >> 32, (key & 0xFFFFFFFF) - 1
-            own = [a] if b < 0 else [a, b]
-            v = self.pairs[key] = self.merge(b"".join(self.bytes_of[t] for t in own)) == own
-        return v
+    def compatible(self, keys: list[int]) -> np.ndarray:
+        """Whether each pair (first token in the high half, second plus one in the low) is what
+        merging gives for its bytes."""
+        new = [k for k in keys if k not in self.pairs]
+        own = [[k >> 32, (k & 0xFFFFFFFF) - 1][: 1 + bool(k & 0xFFFFFFFF)] for k in new]
+        for k, o, g in zip(new, own, self.merge_all([b"".join([self.bytes_of[t] for t in o]) for o in own]), strict=True):
+            self.pairs[k] = o == g
+        return np.array([self.pairs[k] for k in keys], bool)
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """Exact merging of many words at a time: in every round each word merges its lowest-ranked
+        pair, the leftmost among equals. Long words go one by one."""
+        out: list = [None] * len(words)
+        short = [i for i, w in enumerate(words) if len(w) <= 40]
+        for i, w in enumerate(words):
+            if len(w) > 40:
+                out[i] = self.merge(w)
+        if not short:
+            return out
+        sizes = np.array([len(words[i]) for i in short])
+        ids = self.byte_ids[np.frombuffer(b"".join([words[i] for i in short]), np.uint8)]
+        owner = np.repeat(np.arange(len(short)), sizes)
+        rank = self.ranks(ids, owner)
+        done = np.flatnonzero(sizes > 0)
+        while True:
+            begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            low = np.minimum.reduceat(rank, begin)
+            live = low < self.last
+            if not live.any():
+                break
+            at = np.flatnonzero((rank == np.repeat(low, np.diff(np.append(begin, len(rank))))) & (rank < self.last))
+            at = at[np.concatenate([[True], owner[at[1:]] != owner[at[:-1]]])]
+            ids[at] = self.made[rank[at]]
+            stay = np.ones(len(ids), bool)
+            stay[at + 1] = False
+            new = np.cumsum(stay) - 1
+            ids, owner, rank = ids[stay], owner[stay], rank[stay]
+            at = new[at]
+            touched = np.unique(np.concatenate([at, at[at > 0] - 1]))
+            rank[touched] = self.ranks_at(ids, owner, touched)
+        parts = np.split(ids, np.flatnonzero(owner[1:] != owner[:-1]) + 1)
+        for k, g in zip(done, parts, strict=True):
+            out[short[k]] = g.tolist()
+        return [[] if g is None else g for g in out]
+
+    def ranks(self, ids: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        return self.ranks_at(ids, owner, np.arange(len(ids)))
+
+    def ranks_at(self, ids: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The rank of the pair that begins at each place; ``last`` if it can't merge."""
+        after = np.minimum(at + 1, len(ids) - 1)
+        key = ids[at] << 32 | ids[after]
+        where = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[where] == key) & (owner[after] == owner[at]) & (after > at), self.pair_ranks[where], self.last)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         if len(self.words) > self.cached:
             self.words.clear()
-        if len(self.pairs) > 10 * self.cached:
+        if len(self.pairs) > 2 * self.cached:
             self.pairs.clear()
         parts = [self.apart(t) for t in texts]
         split = [[(p,) if p in self.special else self.split(p) for p in ps if p] for ps in parts]
