@@ -130,6 +130,6 @@ def window_bounds(preset: str, as_of, start=None, end=None) -> tuple[Column, Col
 
 
 def iso_day(s) -> Column:
-    """F16: ISO date/datetime text -> date of its first 10 characters; empty -> NULL."""
+    """F16: ISO date/datetime text -> date of its first 10 characters; empty or malformed -> NULL."""
     c = _col(s)
-    return F.when(F.length(c) >= 10, F.to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))
+    return F.when(F.length(c) >= 10, F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd"))

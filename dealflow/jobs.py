@@ -123,20 +123,11 @@ def audit(models: Models, other_deals: DataFrame, other_meetings: DataFrame, met
     if metric_id not in RC.AUDIT_SUPPORTED:
         raise ValueError(f"audit not wired for {metric_id!r}; supported: {RC.AUDIT_SUPPORTED}")
     s, e = window_dates(window, models.as_of, start, end)
-    if metric_id == "deals_won":
-        a = models.won_fct.filter(F.col("close_date_et").between(s, e))
-        a = a if owner is None else a.filter(F.col("closer_owner_id") == str(owner))
-        a = a.select(F.col("deal_id").alias("id"))
-    else:
-        cat = metric_id.split("_")[0].upper()
-        a = models.meetings_fct.filter((F.col("meeting_category") == cat) & F.col("is_completed")
-                                       & F.col("meeting_date_et").between(s, e))
-        a = a if owner is None else a.filter(F.col("closer_owner_id") == str(owner))
-        a = a.select(F.col("meeting_id").alias("id"))
-    m = next(x for x in RC.BASE_METRICS if x.id == metric_id)
-    src = other_deals if m.obj == "deals" else other_meetings
-    b = RC.filter_by_spec(src, m.filters, s.isoformat(), e.isoformat(), owner).select("id")
-    return RC.sorted_diff(RC.audit_diff(a, b))
+    own = lambda df, col: df if owner is None else df.filter(F.col(col) == str(owner))
+    a, b = RC.audit_ids(own(models.won_fct, "closer_owner_id"), own(models.meetings_fct, "closer_owner_id"),
+                        own(other_deals, RC.OWNER_PROP), own(other_meetings, RC.OWNER_PROP), s, e)
+    one = F.col("metric_id") == metric_id
+    return RC.sorted_diff(RC.audit_diff(a.filter(one), b.filter(one)))
 
 
 def write(df: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -43,7 +43,7 @@ def in_pipelines(df: DataFrame, ids, col: str = "pipeline_id") -> DataFrame:
 
 def roster(closers: DataFrame, cfg: PipelineConfig = DEFAULT, with_name: bool = False) -> DataFrame:
     cols = ["owner_id", "closer_name"] if with_name else ["owner_id"]
-    return bounded_broadcast(closers.select(*cols), cfg.max_broadcast_rows)
+    return bounded_broadcast(closers.select(*cols))
 
 
 def only_roster(df: DataFrame, closers: DataFrame, key: str = "closer_owner_id",
@@ -62,21 +62,15 @@ def with_closer_name(df: DataFrame, closers: DataFrame, key: str = "closer_owner
 
 def exclude_flagged(df: DataFrame, flags: DataFrame, key: str = "deal_id",
                     flag: str = "is_test_contact", cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Drop rows linked to a flagged contact; rows without a link are kept.
-
-    The flagged ids (internal test records) are few, so the anti join broadcasts them when
-    their count is proven under the bound and the large side is not shuffled; otherwise it
-    is a shuffle anti join."""
-    flagged = bounded_broadcast(flags.filter(F.col(flag)).select(key), cfg.max_broadcast_rows)
-    return df.join(flagged, key, "left_anti")
+    """Drop rows linked to a flagged contact; rows without a link are kept. Flagged deals
+    grow with the data, so this is a plain anti join: the planner picks the strategy."""
+    return df.join(flags.filter(F.col(flag)).select(key), key, "left_anti")
 
 
 def product_column(df: DataFrame, product_map: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Win-back pipeline -> WINBACK, else the mapped column, else UNMAPPED."""
     pm = bounded_broadcast(
-        product_map.select(F.col("upsell_plan").alias("_pm_plan"), F.col("product_column").alias("_pm_col")),
-        cfg.max_broadcast_rows,
-    )
+        product_map.select(F.col("upsell_plan").alias("_pm_plan"), F.col("product_column").alias("_pm_col")))
     j = df.join(pm, df["upsell_plan"] == pm["_pm_plan"], "left")
     col = F.when(F.col("pipeline_id") == F.lit(cfg.winback_pipeline_id), F.lit("WINBACK")).otherwise(
         F.coalesce(F.col("_pm_col"), F.lit("UNMAPPED")))
@@ -92,9 +86,7 @@ def tier_of_origin(df: DataFrame, tier_map: DataFrame, cfg: PipelineConfig = DEF
     normalised once so the join stays an equi (hash) join."""
     tm = bounded_broadcast(
         tier_map.select(_norm(F.col("active_product_snapshot_at_won")).alias("_tm_key"),
-                        F.col("tier_of_origin_column").alias("_tm_col")),
-        cfg.max_broadcast_rows,
-    )
+                        F.col("tier_of_origin_column").alias("_tm_col")))
     j = df.withColumn("_tm_probe", _norm(F.col("active_product_snapshot_at_won")))
     j = j.join(tm, j["_tm_probe"] == tm["_tm_key"], "left")
     return j.withColumn("tier_of_origin_column", F.coalesce(F.col("_tm_col"), F.lit("UNMAPPED"))).drop(
@@ -106,9 +98,7 @@ def with_stage(df: DataFrame, stages: DataFrame, cfg: PipelineConfig = DEFAULT,
     """Inner join to the stage dimension; unknown stages drop out."""
     s = bounded_broadcast(
         stages.select(F.col("stage_id").alias("_st_id"), F.col("pipeline_id").alias("stage_pipeline_id"),
-                      "stage_group", "snapshot_col"),
-        cfg.max_broadcast_rows,
-    )
+                      "stage_group", "snapshot_col"))
     return df.join(s, df[key] == s["_st_id"], "inner").drop("_st_id")
 
 
@@ -139,11 +129,11 @@ def won_deals(deals: DataFrame, closers: DataFrame, cfg: PipelineConfig = DEFAUL
 # ---------------------------------------------------------------- M6 / U1 deal cash
 
 
-def _component_date(comp) -> Column:
+def _component_date(comp, tz: str) -> Column:
     if comp.date_rule == "close":
         return F.col("close_date_et")
     if comp.date_rule == "instant":
-        return et_date(comp.date_col)
+        return et_date(comp.date_col, tz)
     return date_only(comp.date_col)
 
 
@@ -159,7 +149,7 @@ def unpivot_components(won: DataFrame, components=None, keep=("deal_id", "closer
     structs = [
         F.struct(
             F.lit(c.name).alias("cash_component"),
-            _component_date(c).alias("cash_date_et"),
+            _component_date(c, cfg.timezone).alias("cash_date_et"),
             F.col(c.amount_col).cast("double").alias("cash_amount"),
         )
         for c in comps
@@ -306,19 +296,9 @@ def snapshot_candidates(deals: DataFrame, flags: DataFrame, stages: DataFrame, c
     r = roster(closers, cfg, with_name=True)
     d = deals.join(r, deals["closer_owner_id"] == r["owner_id"], "inner").drop("owner_id")
     d = with_stage(d, stages, cfg)
-    d = exclude_flagged(d, flags, cfg=cfg)
-    # The contact's close date only matters for a pc_due candidate without either deal-level
-    # close date; only those rows are joined to the contact flags (a small shuffle instead of
-    # one over every deal).
-    needs_contact = F.coalesce(
-        (F.col("pipeline_id") == F.lit(cfg.new_pipeline_id)) & (F.col("stage_pipeline_id") == F.lit(cfg.new_pipeline_id))
-        & F.col("snapshot_col").isin(*C.PRE_PC_SNAPSHOT_COLS) & F.col("close_date").isNull()
-        & F.col("close_date_fallback").isNull(), F.lit(False))
-    contact_type = flags.schema["contact_true_renewal_close_date"].dataType
-    with_contact = d.filter(needs_contact).join(
-        flags.select("deal_id", "contact_true_renewal_close_date"), "deal_id", "left")
-    without = d.filter(~needs_contact).withColumn("contact_true_renewal_close_date", F.lit(None).cast(contact_type))
-    d = with_contact.unionByName(without)
+    # One join gives both the test flag and the contact's close date.
+    linked = flags.select("deal_id", F.col("is_test_contact").alias("_test"), "contact_true_renewal_close_date")
+    d = d.join(linked, "deal_id", "left").filter(~F.coalesce("_test", F.lit(False))).drop("_test")
     start = start_date("close_date", "close_date_fallback", "contact_true_renewal_close_date", cfg.timezone)
     exp = date_only("membership_expiration_date")
     return d.withColumn("membership_start_date_et", start).withColumn(
@@ -347,9 +327,8 @@ def fct_pipeline_snapshot(deals: DataFrame, flags: DataFrame, stages: DataFrame,
 
     One pass with a precedence CASE instead of three branches glued by NOT IN: equal to the
     union + anti-join form because deal_id is unique in staging and the candidate stages
-    are a subset of the stage dimension. Roster, stages and the flagged ids are broadcast
-    (size-checked); only the contact-date join of the few pc_due candidates without a deal
-    close date shuffles.
+    are a subset of the stage dimension. Deals are read once: roster and stages are broadcast
+    (size-checked), and one join on deal_id gives the test flag and the contact's close date.
     """
     d = snapshot_candidates(deals, flags, stages, closers, cfg)
     rc, pc = due_flags(as_of, cfg)

@@ -34,14 +34,18 @@ def check_values(df: DataFrame, col: str, values) -> DataFrame:
     return df.filter(F.col(col).isNotNull() & ~F.col(col).isin(*values))
 
 
+def groups_where(df: DataFrame, keys, condition, having, n: str = "n", hits: str = "hits") -> DataFrame:
+    """Groups by ``keys`` with their rows ``n`` and the rows ``hits`` that meet ``condition``,
+    where ``having(n, hits)`` holds."""
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n), F.count_if(condition).alias(hits))
+    return g.filter(having(F.col(n), F.col(hits)))
+
+
 def check_first_call(meetings: DataFrame) -> DataFrame:
-    """Q5 (A20): among completed, linked live calls exactly one first call per
-    (deal, category); catches both 0 and > 1."""
-    m = meetings.filter(F.col("is_completed") & F.col("meeting_category").isin(*C.LIVE_CATEGORIES)
-                        & F.col("deal_id").isNotNull())
-    return (m.groupBy("deal_id", "meeting_category")
-            .agg(F.count(F.lit(1)).alias("completed_calls"), F.count_if(F.col("is_first_call")).alias("flagged_first"))
-            .filter(F.col("flagged_first") != 1))
+    """Q5: among completed, linked live calls exactly one first call per (deal, category);
+    catches both 0 and > 1."""
+    m = meetings.filter(F.col("is_completed") & F.col("meeting_category").isin(*C.LIVE_CATEGORIES) & F.col("deal_id").isNotNull())
+    return groups_where(m, ["deal_id", "meeting_category"], F.col("is_first_call"), lambda n, hits: hits != 1, "completed_calls", "flagged_first")
 
 
 def check_nonneg(df: DataFrame, col: str = "cash_amount", keep=("deal_id", "cash_component")) -> DataFrame:

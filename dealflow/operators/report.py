@@ -22,12 +22,19 @@ def with_bounds(df: DataFrame, as_of) -> DataFrame:
     return df.select("*", *[b[k].alias(k) for k in ("today_et", "yesterday_et") + BOUND_COLS[1:]])
 
 
-def cash_agg(cash: DataFrame, as_of) -> DataFrame:
+def _scoped(df: DataFrame, day: str, as_of, recent: bool) -> DataFrame:
+    """Rows that the windows can count. Only ``recent`` rows are read where a caller fills in
+    the closers that then have no row; else every closer with any row keeps its row of zeros."""
+    b = month_bounds(as_of)
+    return df.filter(F.col(day).between(b["prior_month_start"], b["today_et"])) if recent else df
+
+
+def cash_agg(cash: DataFrame, as_of, recent: bool = False) -> DataFrame:
     """A2: MTD / prior-MTD / today / yesterday cash per closer in one pass."""
     b = month_bounds(as_of)
     d = F.col("cash_date_et")
     amt = F.col("cash_amount")
-    c = cash.filter(d.between(b["prior_month_start"], b["today_et"]))
+    c = _scoped(cash, "cash_date_et", as_of, recent)
 
     def s(cond):
         return F.sum(F.when(cond, amt).otherwise(F.lit(0.0)))
@@ -40,11 +47,11 @@ def cash_agg(cash: DataFrame, as_of) -> DataFrame:
     )
 
 
-def deals_agg(won: DataFrame, as_of) -> DataFrame:
+def deals_agg(won: DataFrame, as_of, recent: bool = False) -> DataFrame:
     """A3."""
     b = month_bounds(as_of)
     d = F.col("close_date_et")
-    w = won.filter(d.between(b["prior_month_start"], b["today_et"]))
+    w = _scoped(won, "close_date_et", as_of, recent)
     return w.groupBy(OWNER).agg(
         count_if(d.between(b["mtd_start"], b["mtd_end"])).alias("deals_won_mtd"),
         count_if(d.between(b["prior_month_start"], b["prior_mtd_end"])).alias("deals_won_prior_mtd"),
@@ -52,14 +59,14 @@ def deals_agg(won: DataFrame, as_of) -> DataFrame:
     )
 
 
-def meetings_agg(meetings: DataFrame, as_of, first_only: bool = False) -> DataFrame:
+def meetings_agg(meetings: DataFrame, as_of, first_only: bool = False, recent: bool = False) -> DataFrame:
     """A4 (K11 with ``first_only``): completed live calls MTD / prior MTD."""
     b = month_bounds(as_of)
     d = F.col("meeting_date_et")
     live = F.col("meeting_category").isin("RC", "PWC", "WB") & F.col("is_completed")
     if first_only:
         live = live & F.col("is_first_call")
-    m = meetings.filter(d.between(b["prior_month_start"], b["today_et"]))
+    m = _scoped(meetings, "meeting_date_et", as_of, recent)
     return m.groupBy(OWNER).agg(
         count_if(live & d.between(b["mtd_start"], b["mtd_end"])).alias("live_meetings_mtd"),
         count_if(live & d.between(b["prior_month_start"], b["prior_mtd_end"])).alias("live_meetings_prior_mtd"),
@@ -80,10 +87,11 @@ def closer_report(cash: DataFrame, won: DataFrame, meetings: DataFrame, targets:
     """One row per roster closer (even without activity); targets joined by
     name. ``extended`` adds the prior-MTD live metrics (K15)."""
     b = month_bounds(as_of)
-    ca, da, ma = cash_agg(cash, as_of), deals_agg(won, as_of), meetings_agg(meetings, as_of, first_only)
+    ca, da = cash_agg(cash, as_of, recent=True), deals_agg(won, as_of, recent=True)
+    ma = meetings_agg(meetings, as_of, first_only, recent=True)
     t = bounded_broadcast(targets.select("closer_name", "goal_total_cash", "goal_deals_won",
                                          "goal_live_close_pct", "goal_avg_dpl").withColumnRenamed(
-        "closer_name", "_t_name"), cfg.max_broadcast_rows)
+        "closer_name", "_t_name"))
     r = closers.select(F.col("owner_id").alias(OWNER), "closer_name")
     j = r.join(ca, OWNER, "left").join(da, OWNER, "left").join(ma, OWNER, "left")
     j = j.join(t, j["closer_name"] == t["_t_name"], "left")

@@ -87,8 +87,10 @@ def assoc_priority(assoc: DataFrame, deals: DataFrame, cfg: PipelineConfig = DEF
     # in the join (the filter reaches the deal scan; fewer rows cross the shuffle).
     tracked = deals.filter(F.col("pipeline_id").isin(*cfg.tracked_pipeline_ids)).select(
         "deal_id", F.lit(0).alias("_tracked"))
-    j = a.join(tracked, "deal_id", "left")
-    return j.select("meeting_id", "deal_id", F.coalesce(F.col("_tracked"), F.lit(1)).alias("priority"))
+    # A NULL deal has priority 1 by definition; kept out of the join, those rows don't meet in one task.
+    j = a.filter(F.col("deal_id").isNotNull()).join(tracked, "deal_id", "left").select(
+        "meeting_id", "deal_id", F.coalesce(F.col("_tracked"), F.lit(1)).alias("priority"))
+    return j.unionByName(a.filter(F.col("deal_id").isNull()).select("meeting_id", "deal_id", F.lit(1).alias("priority")))
 
 
 def one_deal_per_meeting(assoc: DataFrame, deals: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
@@ -109,8 +111,6 @@ def one_deal_per_meeting(assoc: DataFrame, deals: DataFrame, cfg: PipelineConfig
     return p.groupBy("meeting_id").agg(F.min(order)["deal_id"].alias("deal_id"))
 
 
-meeting_deals = one_deal_per_meeting
-
 
 def contact_flags(assoc: DataFrame, contacts: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """J6 + A1 / M4: per deal, whether any live associated contact is a test record and
@@ -130,5 +130,3 @@ def contact_flags(assoc: DataFrame, contacts: DataFrame, cfg: PipelineConfig = D
         )
     )
 
-
-deal_contacts = contact_flags

@@ -84,17 +84,14 @@ class Models:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str, as_of=S.AS_OF, cfg: PipelineConfig = DEFAULT,
-           materialize: bool | None = None) -> "Models":
+           materialize: bool = False) -> "Models":
         """One model graph per (live session, data dir, as_of, config).
 
         DataFrames are immutable descriptions of work, so queries of one session share
-        them. With ``materialize`` (default: on, ``DEALFLOW_MATERIALIZE=0`` turns it off)
-        the landed tables and the models are written once as parquet tables under the
-        session's checkpoint folder and every query reads those tables, the way the
-        warehouse serves its marts; otherwise everything stays a lazy view.
+        them. Everything is a lazy view over the given tables; with ``materialize`` the
+        landed tables and the models are first written as parquet tables in the session's
+        shared checkpoint folder and read from there, the way the warehouse serves its marts.
         """
-        if materialize is None:
-            materialize = os.environ.get("DEALFLOW_MATERIALIZE", "1") != "0"
         key = session_key(spark) + (sf_dir, as_of, cfg, materialize)
         with cls._lock:
             m = cls._cache.get(key)

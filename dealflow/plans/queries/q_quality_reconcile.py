@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,12 +66,18 @@ def q4_values_warn(spark, sf_dir):
     ])
 
 
-@register("q5_first_call", sql(
-    "SELECT deal_id, meeting_category, count(*) AS completed_calls, count_if(is_first_call) AS flagged_first "
-    "FROM fct_meetings WHERE is_completed AND meeting_category IN ('RC', 'PWC', 'WB') AND deal_id IS NOT NULL "
-    "GROUP BY 1, 2 HAVING count_if(is_first_call) <> 1"))
+def broken_meetings(spark, sf_dir) -> DataFrame:
+    """The meetings with every fifth flag turned round, so that the first-call check has rows to find."""
+    m = Models.of(spark, sf_dir).meetings_fct
+    return m.withColumn("is_first_call", F.col("is_first_call") != (F.col("meeting_id") % 5 == 0))
+
+
+@register("q5_first_call", sql("""SELECT deal_id, meeting_category, count(*) AS completed_calls,
+    CAST(sum(CAST(is_first_call <> (meeting_id % 5 = 0) AS INTEGER)) AS BIGINT) AS flagged_first
+  FROM fct_meetings WHERE is_completed AND deal_id IS NOT NULL AND meeting_category <> 'PC'
+  GROUP BY ALL HAVING flagged_first <> 1"""))
 def q5_first_call(spark, sf_dir):
-    return Q.check_first_call(Models.of(spark, sf_dir).meetings_fct)
+    return Q.check_first_call(broken_meetings(spark, sf_dir))
 
 
 def _components_sql() -> str:
@@ -145,52 +149,24 @@ def r5_by_owner(spark, sf_dir):
 def audit_ids(spark, sf_dir):
     """(metric_id, id) on both sides for the audit-supported metrics, team scope."""
     m = Models.of(spark, sf_dir)
-    s, e = S.WINDOW
-    won = m.won_fct.filter(F.col("close_date_et").between(s, e)).select(F.lit("deals_won").alias("metric_id"),
-                                                                        F.col("deal_id").alias("id"))
-    parts_a = [won]
-    for cat, mid in (("PC", "pc_completed"), ("RC", "rc_completed"), ("PWC", "pwc_completed")):
-        parts_a.append(m.meetings_fct.filter((F.col("meeting_category") == cat) & F.col("is_completed")
-                                             & F.col("meeting_date_et").between(s, e))
-                       .select(F.lit(mid).alias("metric_id"), F.col("meeting_id").alias("id")))
-    deals, meets = Models.of(spark, sf_dir).other_deals, Models.of(spark, sf_dir).other_meetings
-    parts_b = []
-    for mt in RC.BASE_METRICS:
-        if mt.id not in RC.AUDIT_SUPPORTED:
-            continue
-        src = deals if mt.obj == "deals" else meets
-        parts_b.append(RC.filter_by_spec(src, mt.filters, s.isoformat(), e.isoformat(), None)
-                       .select(F.lit(mt.id).alias("metric_id"), "id"))
-    return reduce(DataFrame.unionByName, parts_a), reduce(DataFrame.unionByName, parts_b)
+    return RC.audit_ids(m.won_fct, m.meetings_fct, m.other_deals, m.other_meetings, *S.WINDOW)
 
 
 def _audit_sql() -> str:
     from dealflow.plans.oracle import _spec_sql
 
-    a = [f"SELECT 'deals_won' AS metric_id, CAST(deal_id AS VARCHAR) AS id FROM fct_won WHERE close_date_et {WIN}"]
-    for cat, mid in (("PC", "pc_completed"), ("RC", "rc_completed"), ("PWC", "pwc_completed")):
-        a.append(f"SELECT '{mid}', CAST(meeting_id AS VARCHAR) FROM fct_meetings WHERE meeting_category = '{cat}' "
-                 f"AND is_completed AND meeting_date_et {WIN}")
-    b = []
-    for mt in RC.BASE_METRICS:
-        if mt.id in RC.AUDIT_SUPPORTED:
-            src = "other_deals" if mt.obj == "deals" else "other_meetings"
-            b.append(f"SELECT '{mt.id}' AS metric_id, id FROM {src} WHERE {_spec_sql(mt.filters)}")
-    return (f"SELECT DISTINCT x.metric_id, 'missing_in_other' AS side, x.id FROM ({' UNION ALL '.join(a)}) x "
-            f"WHERE NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(b)}) y WHERE y.metric_id = x.metric_id AND y.id = x.id) "
-            f"UNION ALL SELECT DISTINCT y.metric_id, 'extra_in_other', y.id FROM ({' UNION ALL '.join(b)}) y "
-            f"WHERE NOT EXISTS (SELECT 1 FROM ({' UNION ALL '.join(a)}) x WHERE y.metric_id = x.metric_id AND y.id = x.id)")
+    mine = f"""SELECT 'deals_won' AS metric_id, deal_id::VARCHAR AS id FROM fct_won WHERE close_date_et {WIN}
+  UNION ALL SELECT lower(meeting_category) || '_completed', meeting_id::VARCHAR FROM fct_meetings
+    WHERE is_completed AND meeting_category <> 'WB' AND meeting_date_et {WIN}"""
+    theirs = "\n  UNION ALL ".join(f"SELECT '{x.id}' AS metric_id, id FROM other_{x.obj} WHERE {_spec_sql(x.filters)}"
+                                  for x in RC.BASE_METRICS if x.id in RC.AUDIT_SUPPORTED)
+    return (f"SELECT metric_id, 'missing_in_other' AS side, id FROM (({mine}) EXCEPT ({theirs})) "
+            f"UNION ALL SELECT metric_id, 'extra_in_other', id FROM (({theirs}) EXCEPT ({mine}))")
 
 
 def audit(spark, sf_dir) -> DataFrame:
-    """Record-level audit of every supported metric in one pass (anti joins keyed by
-    metric and id)."""
-    a, b = audit_ids(spark, sf_dir)
-    a = a.select("metric_id", F.col("id").cast("string").alias("id")).distinct()
-    b = b.select("metric_id", F.col("id").cast("string").alias("id")).distinct()
-    missing = a.join(b, ["metric_id", "id"], "left_anti").select("metric_id", F.lit("missing_in_other").alias("side"), "id")
-    extra = b.join(a, ["metric_id", "id"], "left_anti").select("metric_id", F.lit("extra_in_other").alias("side"), "id")
-    return missing.unionByName(extra)
+    """Record-level audit of every supported metric in one join by metric and id."""
+    return RC.audit_diff(*audit_ids(spark, sf_dir), by=("metric_id",))
 
 
 @register("r6_audit", sql(_audit_sql()))

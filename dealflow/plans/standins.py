@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 from dealflow import config as C
 from dealflow.sources.dims import load_dim, seed_rows
 
-AS_OF = _dt.date(2001, 3, 31)
-WINDOW = (_dt.date(2000, 4, 1), _dt.date(2001, 3, 30))
+#: A day with cash on it and on the day before (sf0.01), inside the span of the meetings, so that windows cut some.
+AS_OF = _dt.date(2001, 3, 13)
+WINDOW = (_dt.date(2000, 4, 1), _dt.date(2001, 3, 12))
 EVENT_SHIFT_DAYS = 8355
 STAGE_SLOTS = 16
 
@@ -255,6 +256,11 @@ def tier_map(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
 # ---------------------------------------------------------------- second system (R*)
 
 
+def iso_text(col: str) -> Column:
+    """A time as the second system writes it."""
+    return F.date_format(F.col(col), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def other_deals(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Second system's deal records: live deals under its own property names, with ids
     % 97 = 0 missing and the base cash of ids % 89 = 0 shifted by 100."""
@@ -267,7 +273,7 @@ def other_deals(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None)
         F.col("deal_pipeline_id").alias("pipeline"),
         F.col("deal_pipeline_stage_id").alias("dealstage"),
         F.col("owner_id").cast("string").alias("hubspot_owner_id"),
-        F.col("property_upsell_close_date").alias("upsell___close_date"),
+        iso_text("property_upsell_close_date").alias("upsell___close_date"),
         F.when(k % 89 == 0, F.col("property_cash_collected") + 100.0).otherwise(
             F.col("property_cash_collected")).alias("cash_collected"),
         F.col("property_additional_payment_1_amount").alias("additional_payment_1_amount"),
@@ -292,5 +298,5 @@ def other_meetings(spark: SparkSession, sf_dir: str, raw: DataFrame | None = Non
         F.col("property_hs_activity_type").alias("hs_activity_type"),
         F.col("property_hs_meeting_outcome").alias("hs_meeting_outcome"),
         F.col("property_hubspot_owner_id").cast("string").alias("hubspot_owner_id"),
-        F.col("property_hs_meeting_start_time").alias("hs_meeting_start_time"),
+        iso_text("property_hs_meeting_start_time").alias("hs_meeting_start_time"),
     )

@@ -1,6 +1,6 @@
-"""SparkSession defaults for local runs and tests.
+"""SparkSession for local runs, tests and the benchmark, with the options that they need.
 
-On a cluster the session is created by the platform; only unset options are filled here.
+On a cluster the session is created by the platform, and nothing here is used to make it.
 ``spark.checkpoint.dir`` is read from the session and set only when absent (tests).
 """
 
@@ -39,10 +39,16 @@ def get_spark(master: str | None = None, app: str = "dealflow", shuffle_partitio
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's ``spark.checkpoint.dir`` when set,
-    otherwise (local tests only) a fresh scratch folder."""
+    """The shared checkpoint folder: the one already set on the context, else the cluster's
+    ``spark.checkpoint.dir``. Only a local session without either (tests) gets a fresh scratch
+    folder; a cluster without one is an error, as executors can't see the driver's disk."""
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
+    if not d and not spark.sparkContext.master.startswith(("local[", "local*")) and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="dealflow-ckpt-")
     spark.sparkContext.setCheckpointDir(d)

@@ -79,38 +79,15 @@ def targets(spark: SparkSession, table: str = "dim_renewal_targets") -> DataFram
 MAX_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
+def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (an upper bound for scans, filters
-    and projections of files or local rows), or None when unavailable."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - estimate not available
-        return None
+    and projections of files or local rows)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when the table is proven small.
-
-    First Catalyst's own size estimate is consulted (no job): under ``max_bytes`` the side
-    is broadcast. Otherwise ``limit(max_rows + 1).count()`` runs - it stops early on large
-    inputs - and beyond the row bound the frame is returned un-hinted (shuffle join chosen
-    by the planner / AQE), so a dimension that grows with the data never gets pinned in
-    memory.
-    """
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when Catalyst's own size estimate (no job) is within ``max_bytes``;
+    beyond it the frame is returned without a hint, and the planner and adaptive execution
+    choose the join by the sizes that they see."""
     est = estimated_bytes(df)
-    if est is not None and est <= max_bytes:
-        return F.broadcast(df)
-    try:
-        key = (df.semanticHash(), max_rows)
-    except Exception:  # pragma: no cover - plans without a semantic hash
-        key = None
-    n = _SIZE_CHECKS.get(key) if key is not None else None
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-        if key is not None:
-            _SIZE_CHECKS[key] = n
-    return F.broadcast(df) if n <= max_rows else df
-
-
-# semantic plan hash -> checked row count (a dimension is counted once per session)
-_SIZE_CHECKS: dict = {}
+    return F.broadcast(df) if est <= max_bytes else df

@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from dealflow.config import FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS
 
 
-def live_rows(df: DataFrame, flag: str = "_fivetran_deleted") -> DataFrame:
-    """Drop soft-deleted rows; a NULL flag counts as live.
+def live_rows(df: DataFrame, flag: str = "_fivetran_deleted", required: bool = True) -> DataFrame:
+    """Drop soft-deleted rows; a NULL flag counts as live. The flag is found whatever its
+    case; a table without it is an error unless ``required`` is False.
 
     Written as ``flag IS NULL OR NOT flag`` (not ``coalesce(flag, false) = false``) so the
     predicate reaches the parquet reader as a pushed filter.
     """
-    if flag not in df.columns:
+    found = [c for c in df.columns if c.lower() == flag.lower()]
+    if not found:
+        if required:
+            raise ValueError(f"no soft-delete flag {flag!r} among {df.columns}")
         return df
-    c = F.col(flag)
+    c = F.col(f"`{found[0]}`")
     return df.filter(c.isNull() | ~c)
 
 

@@ -193,20 +193,18 @@ def test_report_keeps_idle_closers_and_ignores_unknown_targets(spark):
 
 
 def test_bounded_broadcast_falls_back_above_bound(spark):
-    small = spark.range(5)
-    big = spark.range(50)
-    assert "broadcast" in dims.bounded_broadcast(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in dims.bounded_broadcast(big, 10)._jdf.queryExecution().logical().toString().lower()
+    plan = lambda df: df._jdf.queryExecution().logical().toString().lower()
+    assert "hint" in plan(dims.bounded_broadcast(spark.range(5), 1_000_000))
+    assert "hint" not in plan(dims.bounded_broadcast(spark.range(5), 1))
 
 
 def test_filter_spec_placeholders_and_owner_drop(spark):
     df = spark.createDataFrame([("1", "a", "2", dt.datetime(2026, 8, 3)), ("2", "b", "3", dt.datetime(2026, 9, 3))],
                                "id string, dealstage string, hubspot_owner_id string, d timestamp_ntz")
-    spec = [RC.f("dealstage", "IN", ["a", "b"]), RC.f("hubspot_owner_id", "EQ", ":owner_id"),
-            RC.f("d", "BETWEEN", [":start", ":end"]), RC.f("id", "HAS_PROPERTY")]
+    spec = [RC.f("dealstage", "IN", ["a", "b"]), RC.f("hubspot_owner_id", "EQ", RC.Bound.OWNER),
+            RC.f("d", "BETWEEN", (RC.Bound.START, RC.Bound.END)), RC.f("id", "HAS_PROPERTY")]
     assert [r.id for r in RC.filter_by_spec(df, spec, "2026-08-01", "2026-08-31", None).collect()] == ["1"]
     assert RC.filter_by_spec(df, spec, "2026-08-01", "2026-09-30", "3").count() == 1
-    assert RC.resolve([":start", [":end", "x"]], "s", "e", None) == ["s", ["e", "x"]]
 
 
 def test_verdicts(spark):
@@ -336,24 +334,60 @@ def test_first_call_plan_has_no_window_over_deal_groups(spark):
     assert sum(flags_[i] for i in range(20)) == 1 and all(flags_[i] for i in range(20, 60))
 
 
-def test_filter_sql_equals_filter_column(spark):
-    df = spark.createDataFrame(
-        [(str(i), ["a", "b", "c", None][i % 4], str(i % 3), dt.datetime(2026, 8, 1 + i % 20, i % 24), float(i))
-         for i in range(60)], "id string, dealstage string, hubspot_owner_id string, d timestamp_ntz, amt double")
-    specs = [
-        [RC.f("dealstage", "IN", ["a", "b"]), RC.f("d", "BETWEEN", ["2026-08-03", "2026-08-10"])],
-        [RC.f("dealstage", "EQ", "c"), RC.f("amt", "GTE", 10.0), RC.f("amt", "LT", 40.0)],
-        [RC.f("hubspot_owner_id", "EQ", "1"), RC.f("dealstage", "HAS_PROPERTY")],
-        [RC.f("d", "GT", "2026-08-15"), RC.f("id", "LTE", "5")],
+def test_filter_rules_against_python(spark):
+    rows = [(str(i), ["a", "b", "c", None][i % 4], str(i % 3), dt.datetime(2026, 8, 1 + i % 20, i % 24), float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, dealstage string, hubspot_owner_id string, d timestamp_ntz, amt double")
+    day = lambda r: r[3].date().isoformat()
+    cases = [
+        ([RC.f("dealstage", "IN", ["a", "b"]), RC.f("d", "BETWEEN", ["2026-08-03", "2026-08-10"])],
+         lambda r: r[1] in ("a", "b") and "2026-08-03" <= day(r) <= "2026-08-10"),
+        ([RC.f("dealstage", "EQ", "c"), RC.f("amt", "GTE", 10.0), RC.f("amt", "LT", 40.0)], lambda r: r[1] == "c" and 10 <= r[4] < 40),
+        ([RC.f("hubspot_owner_id", "EQ", "1"), RC.f("dealstage", "HAS_PROPERTY")], lambda r: r[2] == "1" and r[1] is not None),
+        ([RC.f("d", "GT", "2026-08-15"), RC.f("id", "LTE", "5")], lambda r: day(r) > "2026-08-15" and r[0] <= "5"),
     ]
-    for spec in specs:
-        a = sorted(r.id for r in df.filter(RC.filter_column(df, spec)).collect())
-        b = sorted(r.id for r in df.filter(F.expr(RC.filter_sql(df, spec))).collect())
-        assert a == b and a, spec
-    comps = [("amt", "d")]
-    x = df.agg(F.sum(RC.dated_components_sum(df, comps, "2026-08-02", "2026-08-09"))).collect()[0][0]
-    y = df.agg(F.expr(f"sum({RC.dated_components_sql(df, comps, '2026-08-02', '2026-08-09')})")).collect()[0][0]
-    assert x == y and x > 0
+    for rules, holds in cases:
+        want = sorted(r[0] for r in rows if holds(r))
+        assert want and sorted(r.id for r in RC.filter_by_spec(df, rules).collect()) == want, rules
+    with pytest.raises(ValueError):
+        RC.filter_sql(df, [RC.f("id", "LIKE", "x")])
+    total = df.agg(F.expr(f"sum({RC.dated_components_sql(df, [('amt', 'd')], '2026-08-02', '2026-08-09')})")).collect()[0][0]
+    assert total == sum(r[4] for r in rows if "2026-08-02" <= day(r) <= "2026-08-09")
+
+
+def test_text_dates_and_instants_of_the_second_system(spark):
+    """Text days keep the window's last day; an instant counts on its New York day; malformed text never matches or fails."""
+    df = spark.createDataFrame([("a", "2001-03-30T15:00:00Z", "2001-03-31T01:00:00Z"), ("b", "2001-03-31T00:00:00Z", "2001-03-31T05:00:00Z"),
+                                ("c", "2026-13-45T00:00", "nonsense"), ("d", "2001-03-30", "2001-03-30 23:30:00")],
+                               "id string, upsell___close_date string, hs_meeting_start_time string")
+    window = (RC.Bound.START, RC.Bound.END)
+    got = lambda prop, frame: sorted(r.id for r in RC.filter_by_spec(frame, [RC.f(prop, "BETWEEN", window)], "2001-03-30", "2001-03-30").collect())
+    assert got("upsell___close_date", df) == ["a", "d"]
+    assert got("hs_meeting_start_time", df) == ["a", "d"]
+    stamped = df.filter("id <> 'c'").select("id", F.expr("CAST(replace(replace(hs_meeting_start_time, 'T', ' '), 'Z', '') AS TIMESTAMP_NTZ)").alias("hs_meeting_start_time"))
+    assert got("hs_meeting_start_time", stamped) == ["a", "d"]
+    paid = spark.createDataFrame([(5.0, "2026-13-45T00:00"), (7.0, "2001-03-30T00:00:00Z"), (None, "2001-03-30")], "amt double, upsell___close_date string")
+    assert paid.agg(F.expr(f"sum({RC.dated_components_sql(paid, [('amt', 'upsell___close_date')], '2001-03-30', '2001-03-30')})")).collect()[0][0] == 7.0
+
+
+def test_soft_delete_flag_in_any_case_and_missing(spark):
+    df = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, _FIVETRAN_DELETED boolean")
+    assert sorted(r.id for r in scans.live_rows(df).collect()) == [2, 3]
+    with pytest.raises(ValueError):
+        scans.live_rows(df.select("id"))
+    assert scans.live_rows(df.select("id"), required=False).count() == 3
+
+
+def test_reconcile_mode_per_metric_and_unknown_ids(spark):
+    from dataclasses import replace
+
+    long = lambda v: spark.createDataFrame([("deals_won", None, v)], "metric_id string, owner_id string, value double")
+    m = replace(RC.BASE_METRICS[0], mode="ratio", tolerance=0.02)
+    assert RC.reconcile(long(101.0), long(100.0), [m], derived=()).collect()[0].verdict == "confirmed"
+    assert RC.reconcile(long(101.0), long(100.0), [replace(m, mode="exact")], derived=()).collect()[0].verdict == "discrepancy"
+    with pytest.raises(ValueError):
+        RC.reconcile(long(1.0), long(1.0), [replace(m, mode="fuzzy")], derived=())
+    with pytest.raises(ValueError):
+        RC.reconcile(long(1.0), long(1.0), [m], derived=(), requested=["no_such_metric"])
 
 
 def test_load_dim_from_csv_path_with_declared_types(spark):
