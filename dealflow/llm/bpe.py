@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealflow.llm.common import add_columns
+from dealflow.llm.common import add_columns, fresh
 
 #: Fixed: the split pattern of byte-level vocabularies, white space by its Unicode property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -280,4 +280,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", kee
                 texts = [None if x is None else bpe.decode(x) for x in part.column(len(names)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in range(len(names))] + [pa.array(texts, pa.string())], names=[*names, out])
 
-    return df.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{ids}`").alias("__ids")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{ids}`").alias(fresh("__ids", names))).mapInArrow(run, schema)

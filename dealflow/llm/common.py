@@ -97,13 +97,14 @@ def add_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     from pyspark.sql.pandas.types import to_arrow_type
 
     kinds = [to_arrow_type(t) for _, t in fields]
-    source = df.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text}`").alias("__text"))
+    # The text goes last, under a name of its own; columns are then taken by place.
+    source = df.select(*[F.col(f"`{n}`") for n in names], F.col(f"`{text}`").alias(fresh("text", names)))
 
     def run(batches):
         compute = make()
         for batch in batches:
-            for part in slices(batch, "__text"):
-                texts = ["" if t is None else t for t in part.column(part.schema.get_field_index("__text")).to_pylist()]
+            for part in slices(batch, len(names)):
+                texts = ["" if t is None else t for t in part.column(len(names)).to_pylist()]
                 out = compute(texts)
                 old = [part.column(i) for i in range(len(names))]
                 yield pa.RecordBatch.from_arrays(old + [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=names + new)
@@ -111,9 +112,16 @@ def add_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
     return source.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def fresh(name: str, taken: list[str]) -> str:
+    """``name`` with as many underscores before it as it takes to be new, in any case of letters."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
+def slices(batch: pa.RecordBatch, text: str | int, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows of about ``most`` bytes of text; a longer text is alone."""
-    col = batch.column(batch.schema.get_field_index(text))
+    col = batch.column(text)
     if not len(col):
         return
     ends = np.cumsum([0 if n is None else n for n in pc.binary_length(col).to_pylist()])
