@@ -2,13 +2,14 @@
 
 The landing folder holds the landed tables under their warehouse names (``DEAL``,
 ``ENGAGEMENT_MEETING``, ``ENGAGEMENT_DEAL``, ``DEAL_CONTACT``, ``CONTACT``), in any format
-Spark reads. The roster, stage, product and tier dimensions default to the packaged seeds;
-targets are read from the catalog when present.
+Spark reads. The roster, stage, product and tier dimensions default to the packaged seeds.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,45 +60,67 @@ def landing(spark: SparkSession, landing_dir: str, fmt: str = "parquet") -> dict
 
 def models_from_landing(spark: SparkSession, landing_dir: str, as_of: _dt.date | None = None,
                         cfg: PipelineConfig = DEFAULT, fmt: str = "parquet", targets_table: str | None = None,
-                        closers: DataFrame | None = None) -> Models:
+                        closers: DataFrame | None = None, without_targets: bool = False) -> Models:
+    """The model graph over a landing. Goals come from ``targets_table``; a report without goals
+    must be asked for by ``without_targets``."""
+    if (targets_table is None) != without_targets:
+        raise ValueError("give targets_table, or without_targets=True for a report without goals")
     src = landing(spark, landing_dir, fmt)
     src["closers"] = closers if closers is not None else dims.load_dim(spark, "dim_closers")
     src["stages"] = dims.load_dim(spark, "dim_renewal_stages")
     src["product_map"] = dims.load_dim(spark, "dim_product_map")
     src["tier_map"] = dims.load_dim(spark, "dim_member_tier_map")
-    if targets_table and spark.catalog.tableExists(targets_table):
-        src["targets"] = dims.targets(spark, targets_table)
-    else:
-        src["targets"] = spark.createDataFrame([], dims.TARGETS_SCHEMA)
+    src["targets"] = spark.createDataFrame([], dims.TARGETS_SCHEMA) if without_targets else dims.targets(spark, targets_table)
     return Models(spark, None, as_of or scans.today_et(), cfg, sources=src)
 
 
-def build(models: Models, out_dir: str, partition: bool = True, partitions: int | None = None) -> dict[str, str]:
-    """Write the marts (and the report) as parquet tables; returns name -> path.
+def freshness(spark: SparkSession, landing_dir: str, now: _dt.datetime, fmt: str = "parquet") -> DataFrame:
+    """S6 over the landed tables: (source, max_loaded_at, age_hours, status)."""
+    return scans.freshness({LANDED_TABLES[k]: df for k, df in landing(spark, landing_dir, fmt).items()}, now)
+
+
+def build(models: Models, out_dir: str, partition: bool = True, partitions: int | None = None, since: _dt.date | None = None,
+          database: str | None = None) -> dict[str, str]:
+    """Write the marts and the report as parquet tables; returns name -> path.
 
-    With ``partition`` each mart is partitioned by its date column (``PARTITIONING``).
-    ``partitions`` sets the number of write tasks (default: the session's shuffle
-    partitions, adjusted by AQE)."""
+    The models are staged once, as tables under ``out_dir``; marts and report read those. With
+    ``partition`` each mart is partitioned by its date column (``PARTITIONING``); then ``since``
+    replaces only the days from that one on. ``partitions`` sets the number of write tasks
+    (default: the session's shuffle partitions, adjusted by AQE). With ``database`` every mart is
+    also published there as a table (S7)."""
+    if since is not None and not partition:
+        raise ValueError("since needs marts that are partitioned by their day")
+    models.materialize(f"{out_dir}/_stage/{uuid.uuid4().hex}")
     out = {}
     for attr, name in MARTS.items():
         path = f"{out_dir}/{name}"
         df = getattr(models, attr)
+        write = df.write.mode("overwrite")
         if partition:
             date_col, key = PARTITIONING[attr]
+            df = df if since is None else df.filter(F.col(date_col) >= F.lit(since))
             df = df.repartitionByRange(*([partitions] if partitions else []), date_col, key)
-            df.write.mode("overwrite").partitionBy(date_col).parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+            write = df.write.mode("overwrite").partitionBy(date_col)
+            write = write if since is None else write.option("partitionOverwriteMode", "dynamic")
+        write.parquet(path)
         out[name] = path
     path = f"{out_dir}/rpt_renewal_closer_dashboard"
     models.report().write.mode("overwrite").parquet(path)
     out["rpt_renewal_closer_dashboard"] = path
+    if database is not None:
+        spark = models.spark
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        for name, where in out.items():
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
+            spark.catalog.createTable(f"{database}.{name}", path=where, source="parquet")
+            if partition and name in MARTS.values():
+                spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
     return out
 
 
 def quality(models: Models) -> DataFrame:
     """All column tests and singular tests as one (check, severity, failing_rows) table."""
-    return Q.run_checks(Q.model_checks(models))
+    return Q.model_checks(models)
 
 
 def reconcile(models: Models, other_deals: DataFrame, other_meetings: DataFrame, window: str = "yesterday",

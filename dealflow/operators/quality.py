@@ -75,32 +75,53 @@ def run_checks(checks) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def model_checks(m) -> list:
-    """The column tests declared on the models, over a ``plans.context.Models`` graph."""
-    return [
-        ("stg_deals.deal_id unique", "error", check_unique(m.deals, "deal_id")),
-        ("stg_deals.deal_id not_null", "error", check_not_null(m.deals, "deal_id")),
-        ("stg_meetings.meeting_id unique", "error", check_unique(m.stg_meetings, "meeting_id")),
-        ("stg_meetings.meeting_id not_null", "error", check_not_null(m.stg_meetings, "meeting_id")),
-        ("meeting_deals.meeting_id unique", "error", check_unique(m.meeting_deals, "meeting_id")),
-        ("deal_contacts.deal_id unique", "error", check_unique(m.contact_flags, "deal_id")),
-        ("fct_meetings.meeting_id unique", "error", check_unique(m.meetings_fct, "meeting_id")),
-        ("fct_meetings.meeting_category accepted", "error",
-         check_values(m.meetings_fct, "meeting_category", MEETING_CATEGORIES)),
-        ("fct_meetings.meeting_outcome accepted", "warn",
-         check_values(m.meetings_fct, "meeting_outcome", KNOWN_OUTCOMES)),
-        ("fct_snapshot.deal_id not_null", "error", check_not_null(m.snapshot, "deal_id")),
-        ("fct_snapshot.entry_date_et not_null", "error", check_not_null(m.snapshot, "entry_date_et")),
-        ("fct_stage_entries.stage_entry_type accepted", "error",
-         check_values(m.entries, "stage_entry_type", STAGE_ENTRY_TYPES)),
+#: The column tests declared on the models: (table, column, test, severity). ``values`` names a list below.
+DECLARED = (
+    ("deals", "deal_id", "unique", "error"), ("deals", "deal_id", "not_null", "error"),
+    ("stg_meetings", "meeting_id", "unique", "error"), ("stg_meetings", "meeting_id", "not_null", "error"),
+    ("meeting_deals", "meeting_id", "unique", "error"), ("meeting_deals", "meeting_id", "not_null", "error"),
+    ("contact_flags", "deal_id", "unique", "error"), ("contact_flags", "deal_id", "not_null", "error"),
+    ("meetings_fct", "meeting_id", "unique", "error"), ("meetings_fct", "meeting_id", "not_null", "error"),
+    ("meetings_fct", "meeting_category", "values", "error"), ("meetings_fct", "meeting_outcome", "values", "warn"),
+    ("snapshot", "deal_id", "not_null", "error"), ("snapshot", "entry_date_et", "not_null", "error"),
+    ("entries", "deal_id", "not_null", "error"), ("entries", "stage_entry_type", "not_null", "error"), ("entries", "stage_entry_type", "values", "error"),
+    ("cash", "cash_amount", "nonneg", "error"),
+    ("report", "closer_owner_id", "unique", "error"), ("report", "closer_owner_id", "not_null", "error"),
+    ("closers", "owner_id", "unique", "error"), ("closers", "owner_id", "not_null", "error"),
+    ("stages", "stage_id", "unique", "error"), ("stages", "stage_id", "not_null", "error"),
+    ("product_map", "upsell_plan", "unique", "error"), ("product_map", "upsell_plan", "not_null", "error"),
+    ("tier_map", "active_product_snapshot_at_won", "not_null", "error"),
+)
+ACCEPTED = {"meeting_category": MEETING_CATEGORIES, "meeting_outcome": KNOWN_OUTCOMES, "stage_entry_type": STAGE_ENTRY_TYPES}
+
+
+def failing(column: str, test: str):
+    """Whether a row fails a row-level test (a NULL fails only not_null)."""
+    c = F.col(column)
+    return {"not_null": lambda: c.isNull(), "values": lambda: ~c.isin(*ACCEPTED[column]), "nonneg": lambda: c < 0}[test]()
+
+
+def declared_checks(tables: dict[str, DataFrame], declared=DECLARED) -> DataFrame:
+    """The declared tests as (check, severity, failing_rows): all row-level tests of a table in one
+    aggregate, each uniqueness test by its key."""
+    name = lambda d: f"{d[0]}.{d[1]} {d[2]}"
+    parts = []
+    for table in dict.fromkeys(d[0] for d in declared):
+        rows = [d for d in declared if d[0] == table and d[2] != "unique"]
+        if rows:
+            counted = tables[table].agg(*[F.count_if(failing(d[1], d[2])).alias(f"c{i}") for i, d in enumerate(rows)])
+            parts.append(counted.select(F.inline(F.array(*[F.struct(F.lit(name(d)).alias("check"), F.lit(d[3]).alias("severity"), F.col(f"c{i}").alias("failing_rows"))
+                                                           for i, d in enumerate(rows)]))))
+        parts += [run_checks([(name(d), d[3], check_unique(tables[table], d[1]))]) for d in declared if d[0] == table and d[2] == "unique"]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def model_checks(m) -> DataFrame:
+    """Declared tests, the first-call rule, and checks that the models do not declare, over a
+    ``plans.context.Models`` graph."""
+    tables = {t: m.report() if t == "report" else getattr(m, t) for t in dict.fromkeys(d[0] for d in DECLARED)}
+    return declared_checks(tables).unionByName(run_checks([
         ("first call dedup", "error", check_first_call(m.meetings_fct)),
-        ("cash nonnegative", "error", check_nonneg(m.cash)),
-        ("rpt.closer_owner_id unique", "error", check_unique(m.report(), "closer_owner_id")),
-        ("dim_closers.owner_id unique", "error", check_unique(m.closers, "owner_id")),
-        ("dim_closers.owner_id not_null", "error", check_not_null(m.closers, "owner_id")),
-        ("dim_renewal_stages.stage_id unique", "error", check_unique(m.stages, "stage_id")),
-        ("dim_product_map.upsell_plan unique", "error", check_unique(m.product_map, "upsell_plan")),
-        ("dim_member_tier_map key unique after normalising", "error",
-         normalised_key_conflicts(m.tier_map, "active_product_snapshot_at_won")),
-        ("deals on stages missing from dim_renewal_stages", "warn", unmapped_stages(m.deals, m.stages)),
-    ]
+        ("tier_map key unique after normalising", "error", normalised_key_conflicts(m.tier_map, "active_product_snapshot_at_won")),
+        ("deals on stages missing from stages", "warn", unmapped_stages(m.deals, m.stages)),
+    ]))

@@ -56,14 +56,21 @@ def session_key(spark: SparkSession) -> tuple:
     return (spark.sparkContext.applicationId, id(spark._jsparkSession))
 
 
+CODE = ("dealflow", "dealflow.functions", "dealflow.operators", "dealflow.plans", "dealflow.sources")
+
+
 def code_hash() -> str:
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    """A hash of the code and seeds that tables are made by, read through the package loader, so
+    that a zip works too."""
+    import pkgutil
+    from importlib import import_module, resources
+
     h = hashlib.sha1()
-    for dirpath, _dirs, files in sorted(os.walk(root)):
-        for f in sorted(files):
-            if f.endswith((".py", ".csv")):
-                with open(os.path.join(dirpath, f), "rb") as fh:
-                    h.update(f.encode() + fh.read())
+    for package in map(import_module, CODE):
+        for name in sorted(m.name for m in pkgutil.iter_modules(package.__path__) if not m.ispkg):
+            h.update((import_module(f"{package.__name__}.{name}").__spec__.loader.get_source(f"{package.__name__}.{name}") or "").encode())
+    for f in sorted(resources.files("dealflow.sources").joinpath("seeds").iterdir(), key=lambda f: f.name):
+        h.update(f.name.encode() + f.read_bytes())
     return h.hexdigest()
 
 
@@ -106,10 +113,9 @@ class Models:
         """Inputs (path, size, modification time), as_of, config, format version and a hash
         of this package's code and seeds (a code change never reuses old tables)."""
         parts = [FORMAT_VERSION, code_hash(), str(self.sf_dir), str(self.as_of), repr(self.cfg)]
-        if self.sf_dir is not None:
-            paths = [f"{self.sf_dir}/{name}.parquet" for name in INPUTS]
-        else:  # a graph over given tables: the files behind them (metadata only)
-            paths = sorted({f for name in LANDED if name in self.given for f in self.__dict__[name].inputFiles()})
+        if self.sf_dir is None:
+            raise ValueError("a graph over given tables has no fingerprint: name the folder to write to")
+        paths = [f"{self.sf_dir}/{name}.parquet" for name in INPUTS]
         for path in paths:
             fs, p = _fs_status(self.spark, path)
             st = fs.getContentSummary(p)

@@ -10,8 +10,9 @@ from dealflow.functions import dates as D
 from dealflow.functions import flags as FL
 from dealflow.functions import ratios as RT
 from dealflow.operators import metrics as A
+from dealflow.plans import standins as S
 from dealflow.plans.context import Models
-from dealflow.plans.oracle import et, lst, report_pct, safe_pct, sql
+from dealflow.plans.oracle import W_END, W_START, et, lst, report_pct, safe_pct, sql
 from dealflow.plans.registry import register
 
 
@@ -136,20 +137,21 @@ def f11_prior_window(spark, sf_dir):
     return d.select("deal_id", ps.alias("prior_start"), pe.alias("prior_end"))
 
 
-@register("f12_window_bounds", sql(
-    "SELECT d AS as_of, d - 1 AS yesterday_start, d - 7 AS last7d_start, d - 30 AS last30d_start, "
-    "CAST(date_trunc('month', d - 1) AS DATE) AS mtd_start, d - 1 AS window_end "
-    "FROM (SELECT DISTINCT meeting_date_et AS d FROM fct_meetings WHERE meeting_date_et IS NOT NULL)"))
+_F12 = {"today": ("d", "d"), "yesterday": ("d - 1", "d - 1"), **{f"last{n}d": (f"d - {n}", "d - 1") for n in (3, 7, 14, 30)},
+        "mtd": ("d - CAST(day(d - 1) AS INTEGER)", "d - 1"), "custom": (f"DATE '{W_START}'", f"DATE '{W_END}'")}
+
+
+@register("f12_window_bounds", sql(" UNION ALL ".join(
+    f"SELECT d AS as_of, '{k}' AS preset, {a} AS window_start, {b} AS window_end FROM (SELECT DISTINCT meeting_date_et AS d FROM fct_meetings WHERE d IS NOT NULL)"
+    for k, (a, b) in _F12.items())))
 def f12_window_bounds(spark, sf_dir):
-    d = Models.of(spark, sf_dir).meetings_fct.filter(F.col("meeting_date_et").isNotNull()).select(
-        F.col("meeting_date_et").alias("as_of")).distinct()
-    a = F.col("as_of")
-    y = D.window_bounds("yesterday", a)
-    l7 = D.window_bounds("last7d", a)
-    l30 = D.window_bounds("last30d", a)
-    mtd = D.window_bounds("mtd", a)
-    return d.select("as_of", y[0].alias("yesterday_start"), l7[0].alias("last7d_start"), l30[0].alias("last30d_start"),
-                    mtd[0].alias("mtd_start"), mtd[1].alias("window_end"))
+    """Every preset for every day with a meeting."""
+    d = Models.of(spark, sf_dir).meetings_fct.filter(F.col("meeting_date_et").isNotNull()).select(F.col("meeting_date_et").alias("as_of")).distinct()
+    rows = []
+    for k in D.WINDOW_PRESETS:
+        s, e = D.window_bounds(k, F.col("as_of"), *(S.WINDOW if k == "custom" else ()))
+        rows.append(F.struct(F.lit(k).alias("preset"), s.alias("window_start"), e.alias("window_end")))
+    return d.select("as_of", F.inline(F.array(*rows)))
 
 
 @register("f13_round_floor", sql(

@@ -11,7 +11,7 @@ from dealflow.operators import quality as Q
 from dealflow.operators import reconcile as RC
 from dealflow.plans import standins as S
 from dealflow.plans.context import Models
-from dealflow.plans.oracle import W_END, W_START, lst, sql
+from dealflow.plans.oracle import W_END, W_START, lst, q, sql
 from dealflow.plans.queries.q_joins_aggs import aligned, sides
 from dealflow.plans.registry import register
 
@@ -93,10 +93,31 @@ def q6_nonneg(spark, sf_dir):
     return Q.check_nonneg(u)
 
 
-@register("q7_check_summary")
+_TABLES = {"deals": "stg_deals", "meeting_deals": "stg_meeting_deals", "contact_flags": "stg_deal_contacts", "meetings_fct": "fct_meetings",
+           "snapshot": "fct_snapshot", "entries": "fct_stage_entries", "cash": "fct_cash", "report": "rpt"}
+
+
+def _declared_sql(table: str, column: str, test: str, severity: str) -> str:
+    fails = {"unique": f"count({column}) - count(DISTINCT {column}) > 0", "not_null": f"{column} IS NULL", "nonneg": f"{column} < 0",
+             "values": f"{column} NOT IN ({lst(Q.ACCEPTED.get(column, ('',)))})"}[test]
+    source = _TABLES.get(table, table)
+    rows = f"(SELECT {column} FROM {source} GROUP BY {column} HAVING {fails})" if test == "unique" else f"{source} WHERE {fails}"
+    return f"SELECT '{table}.{column} {test}' AS \"check\", '{severity}' AS severity, count(*) AS failing_rows FROM {rows}"
+
+
+_EXTRA_CHECKS = (
+    ("first call dedup", "error", "(SELECT 1 FROM fct_meetings WHERE is_completed AND meeting_category <> 'PC' AND deal_id IS NOT NULL "
+     "GROUP BY deal_id, meeting_category HAVING count(*) FILTER (is_first_call) <> 1)"),
+    ("tier_map key unique after normalising", "error", "(SELECT 1 FROM tier_map GROUP BY upper(trim(active_product_snapshot_at_won)) HAVING count(*) > 1)"),
+    ("deals on stages missing from stages", "warn", "(SELECT DISTINCT pipeline_id, dealstage_id FROM stg_deals WHERE dealstage_id IS NULL OR dealstage_id NOT IN (SELECT stage_id FROM stages))"),
+)
+
+
+@register("q7_check_summary", sql(" UNION ALL ".join(
+    [_declared_sql(*d) for d in Q.DECLARED] + [f"SELECT {q(n)}, '{sev}', count(*) FROM {rows}" for n, sev, rows in _EXTRA_CHECKS])))
 def q7_check_summary(spark, sf_dir):
-    """All column tests of the models as one (check, severity, failing_rows) table."""
-    return Q.run_checks(Q.model_checks(Models.of(spark, sf_dir)))
+    """All tests of the models as one (check, severity, failing_rows) table."""
+    return Q.model_checks(Models.of(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- R

@@ -20,9 +20,6 @@ from dealflow.plans.registry import register
 from dealflow.session import ensure_checkpoint_dir
 from dealflow.sources import dims, scans
 
-NOW = _dt.datetime(2001, 3, 17, 5, 0, 0)
-
-
 def scratch(spark, tag: str) -> str:
     """A fresh folder under the shared checkpoint directory (never machine-local on a
     cluster: the checkpoint dir is the cluster's shared folder)."""
@@ -71,16 +68,16 @@ def s5_assoc(spark, sf_dir):
     return scans.assoc(Models.of(spark, sf_dir).raw_engagement_deal, "engagement_id", "deal_id", "meeting_id")
 
 
-_age = "CAST(date_diff('second', max(property_hs_meeting_start_time), TIMESTAMP '2001-03-17 05:00:00') AS DOUBLE) / 3600.0"
+_landed = ("raw_deal", "raw_meeting", "raw_engagement_deal", "raw_deal_contact", "raw_contact")
+_loads = " UNION ALL ".join(f"SELECT '{t}' AS source, max(_fivetran_synced) AS max_loaded_at FROM {t}" for t in _landed)
 
 
 @register("s6_freshness", sql(
-    f"SELECT property_hubspot_owner_id, max(property_hs_meeting_start_time) AS max_loaded_at, round({_age}, 2) AS age_hours, "
-    f"CASE WHEN max(property_hs_meeting_start_time) IS NULL THEN 'error' WHEN {_age} > 8 THEN 'error' "
-    f"WHEN {_age} > 4 THEN 'warn' ELSE 'pass' END AS status FROM raw_meeting GROUP BY 1"))
+    f"SELECT source, max_loaded_at, round(hours, 2) AS age_hours, CASE WHEN hours <= 4 THEN 'pass' WHEN hours <= 8 THEN 'warn' ELSE 'error' END AS status "
+    f"FROM (SELECT *, epoch(TIMESTAMP '{S.LOOKED_AT}' - max_loaded_at) / 3600 AS hours FROM ({_loads}))"))
 def s6_freshness(spark, sf_dir):
-    raw = Models.of(spark, sf_dir).raw_meeting
-    return scans.freshness(raw, "property_hs_meeting_start_time", NOW, by=["property_hubspot_owner_id"])
+    m = Models.of(spark, sf_dir)
+    return scans.freshness({t: getattr(m, t) for t in _landed}, S.LOOKED_AT)
 
 
 @register("s7_publish", sql("SELECT * FROM fct_won"))
@@ -94,18 +91,21 @@ def _report_rows(spark, sf_dir):
     return reconcile_report(spark, sf_dir)
 
 
-@register("s8_report_csv")
+_REPORT = "r.metric_id, r.metric_name, r.owner_id, r.verdict, r.a_value, r.b_value, r.detail"
+
+
+@register("s8_report_csv", sql(f"SELECT {_REPORT}, array_to_string(t.refs, ';') AS formula_refs FROM rec r JOIN report_lists t USING (metric_id)"))
 def s8_report_csv(spark, sf_dir):
     path = scratch(spark, "report-csv")
     scans.write_report(RC.assert_no_pii(_report_rows(spark, sf_dir)), path, "csv")
-    return spark.read.option("header", True).csv(path)
+    return scans.read_report(spark, path, "csv")
 
 
-@register("s9_report_json")
+@register("s9_report_json", sql(f"SELECT {_REPORT}, t.refs AS formula_refs, t.caveats FROM rec r JOIN report_lists t USING (metric_id)"))
 def s9_report_json(spark, sf_dir):
     path = scratch(spark, "report-json")
     scans.write_report(RC.assert_no_pii(_report_rows(spark, sf_dir)), path, "json")
-    return spark.read.json(path)
+    return scans.read_report(spark, path, "json")
 
 
 @register("s10_other_side", sql("SELECT id, pipeline, dealstage, hubspot_owner_id FROM other_deals"))
@@ -118,9 +118,10 @@ def s10_other_side(spark, sf_dir):
 @register("s11_scalar_metric", sql(
     f"SELECT CAST(count(*) AS DOUBLE) AS value FROM fct_won WHERE close_date_et BETWEEN DATE '{W_START}' AND DATE '{W_END}'"))
 def s11_scalar_metric(spark, sf_dir):
+    from dealflow.operators.metrics import in_window
+
     won = Models.of(spark, sf_dir).won_fct
-    return spark.sql("SELECT CAST(count(*) AS DOUBLE) AS value FROM {won} WHERE close_date_et BETWEEN :start AND :end",
-                     args={"start": S.WINDOW[0], "end": S.WINDOW[1]}, won=won)
+    return scans.scalar_metric(won.filter(in_window("close_date_et", *S.WINDOW)), F.count(F.lit(1)).cast("double"))
 
 
 # ---------------------------------------------------------------- P

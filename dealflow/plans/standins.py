@@ -100,6 +100,16 @@ def lineitem_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.groupBy("l_orderkey").agg(*aggs)
 
 
+#: When the landing is looked at, and each table's least age in hours: one fresh, one to warn of, one too old.
+LOOKED_AT = _dt.datetime(2001, 3, 17, 5, 0, 0)
+LEAST_AGE = {"raw_deal": 2, "raw_meeting": 5, "raw_engagement_deal": 1, "raw_deal_contact": 9, "raw_contact": 3}
+
+
+def synced(table: str, key: Column) -> Column:
+    """The load time of a landed row."""
+    return _shift(F.expr(f"TIMESTAMP_NTZ '{LOOKED_AT}'"), 0, -(F.lit(LEAST_AGE[table]) + key % 40)).alias("_fivetran_synced")
+
+
 def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     pay = lineitem_payments(spark, sf_dir)
@@ -159,6 +169,7 @@ def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick_sql("min_partkey % 9", RENEWAL_PRODUCTS).alias("property_renewal_product"),
         F.when(k % 9 == 0, F.lit("Referral")).otherwise(F.lit("Renewal")).alias("property_renewal_pipeline_type"),
         _case(F.col("o_orderstatus"), {"P": k % 5 == 2, "F": F.lit(False)}).alias("_fivetran_deleted"),
+        synced("raw_deal", k),
     ]
     return d.select(cols)
 
@@ -186,6 +197,7 @@ def raw_meeting(spark: SparkSession, sf_dir: str) -> DataFrame:
         outcome.alias("property_hs_meeting_outcome"),
         F.when(e % 17 != 0, start).alias("property_hs_meeting_start_time"),
         _case(e % 11, {0: F.lit(True), 1: F.lit(None).cast("boolean")}, F.lit(False)).alias("_fivetran_deleted"),
+        synced("raw_meeting", e),
     )
 
 
@@ -199,7 +211,7 @@ def raw_engagement_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct((linked & (e % 2 == 0)).alias("keep"), (u * 100 + 3 + e % 4).alias("deal_id")),
         F.struct((linked & (e % 13 == 0)).alias("keep"), F.lit(None).cast("long").alias("deal_id")),
     )
-    return ev.select(e.alias("engagement_id"), F.inline(rows)).filter(F.col("keep")).drop("keep")
+    return ev.select(e.alias("engagement_id"), F.inline(rows), synced("raw_engagement_deal", e)).filter(F.col("keep")).drop("keep")
 
 
 def raw_deal_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +219,7 @@ def raw_deal_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     rows = F.array(F.struct(F.lit(True).alias("keep"), c.alias("contact_id")),
                    F.struct((k % 50 == 0).alias("keep"), (c + 1).alias("contact_id")))
-    return o.select(k.alias("deal_id"), F.inline(rows)).filter(F.col("keep")).drop("keep")
+    return o.select(k.alias("deal_id"), F.inline(rows), synced("raw_deal_contact", k)).filter(F.col("keep")).drop("keep")
 
 
 def raw_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,6 +232,7 @@ def raw_contact(spark: SparkSession, sf_dir: str) -> DataFrame:
               F.col("c_mktsegment")).alias("property_hs_lead_status"),
         F.when(F.col("c_acctbal") > 0, _shift(base, ck % 700, ck % 6)).alias("property_true_renewal_close_date"),
         F.when(F.col("c_nationkey") == 7, F.lit(True)).alias("_fivetran_deleted"),
+        synced("raw_contact", ck),
     )
 
 

@@ -40,64 +40,71 @@ def assoc(df: DataFrame, left: str, right: str, left_as: str | None = None,
     return df.select(F.col(left).alias(left_as or left), F.col(right).alias(right_as or right))
 
 
-def freshness(df: DataFrame, ts_col: str, now, warn_hours: float = FRESHNESS_WARN_HOURS,
-              error_hours: float = FRESHNESS_ERROR_HOURS, by=None) -> DataFrame:
-    """Newest load time, its age in hours and pass / warn / error (one row, or one
-    per ``by`` group). ``now`` is a wall-clock time in the column's zone (naive datetime or
-    Column); the difference is taken between wall clocks, independent of the session zone."""
+def freshness(sources: dict[str, DataFrame], now, ts_col: str = "_fivetran_synced", warn_hours: float = FRESHNESS_WARN_HOURS,
+              error_hours: float = FRESHNESS_ERROR_HOURS) -> DataFrame:
+    """Per source table the newest load time, its age in hours and pass / warn / error; a table
+    without a load time is an error. ``now`` is a wall-clock time in the column's zone (naive
+    datetime or Column); the difference is taken between wall clocks, whatever the session zone."""
     from dealflow.functions.dates import ntz_lit
 
     now_c = ntz_lit(now) if isinstance(now, _dt.datetime) else (now if isinstance(now, Column) else F.lit(now))
-    by = list(by or [])
-    mx = F.max(F.col(ts_col)).alias("max_loaded_at")
-    agg = df.groupBy(*by).agg(mx) if by else df.agg(mx)
-    age = F.timestamp_diff("SECOND", F.col("max_loaded_at").cast("timestamp_ntz"), now_c.cast("timestamp_ntz")) / 3600.0
-    return agg.select(
-        *by, "max_loaded_at",
-        F.round(age, 2).alias("age_hours"),
-        F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
-        .when(age > error_hours, F.lit("error"))
-        .when(age > warn_hours, F.lit("warn"))
-        .otherwise(F.lit("pass")).alias("status"),
-    )
+    rows = None
+    for name, df in sources.items():
+        one = df.agg(F.max(optional_col(df, ts_col, "timestamp_ntz")).alias("max_loaded_at")).select(F.lit(name).alias("source"), "max_loaded_at")
+        rows = one if rows is None else rows.unionByName(one)
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now_c.cast("timestamp_ntz")) / 3600.0
+    return rows.select(
+        "source", "max_loaded_at", F.round(age, 2).alias("age_hours"),
+        F.when(age.isNull() | (age > error_hours), F.lit("error")).when(age > warn_hours, F.lit("warn")).otherwise(F.lit("pass")).alias("status"))
 
 
 def publish(df: DataFrame, name: str, mode: str = "view", database: str | None = None,
-            partition_by: list[str] | None = None) -> DataFrame:
-    """Publish a model as a temp view (lazy, re-evaluated on read like a SQL view) or
-    as a managed table in a per-layer database."""
-    full = f"{database}.{name}" if database else name
+            partition_by: list[str] | None = None, path: str | None = None) -> DataFrame:
+    """Publish a model as a temp view (lazy, re-evaluated on read like a SQL view) or as a
+    table in a per-layer database, which is created if need be. A view over a DataFrame belongs
+    to its session and to no database, so a database asks for a table."""
     if mode == "view":
+        if database is not None:
+            raise ValueError("a session's view has no database: publish a table there")
         df.createOrReplaceTempView(name)
         return df.sparkSession.table(name)
-    if mode == "table":
-        w = df.write.mode("overwrite").format("parquet")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.saveAsTable(full)
-        return df.sparkSession.table(full)
-    raise ValueError(f"unknown publish mode {mode!r}")
+    if mode != "table":
+        raise ValueError(f"unknown publish mode {mode!r}")
+    full = f"{database}.{name}" if database else name
+    if database:
+        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    w = df.write.mode("overwrite").format("parquet")
+    w = w.partitionBy(*partition_by) if partition_by else w
+    (w.option("path", path) if path else w).saveAsTable(full)
+    return df.sparkSession.table(full)
+
+
+REPORT_SCHEMA = ("metric_id string, metric_name string, owner_id string, verdict string, a_value double, b_value double, "
+                 "detail string, formula_refs {refs}, caveats array<string>")
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Persist reconciliation rows. CSV joins list columns with ';' and drops
-    caveats; JSON keeps lists and caveats."""
+    caveats; JSON keeps lists, caveats and NULL values."""
     if fmt == "csv":
-        cols = []
-        for f in df.schema.fields:
-            if f.name == "caveats":
-                continue
-            if f.dataType.typeName() == "array":
-                cols.append(F.concat_ws(";", F.col(f.name)).alias(f.name))
-            else:
-                cols.append(F.col(f.name))
-        df.select(cols).write.mode("overwrite").option("header", True).csv(path)
+        lists = {f.name for f in df.schema.fields if f.dataType.typeName() == "array"}
+        df.select([F.concat_ws(";", c).alias(c) if c in lists else F.col(c) for c in df.columns if c != "caveats"]).write.mode(
+            "overwrite").option("header", True).csv(path)
     elif fmt == "json":
-        df.write.mode("overwrite").json(path)
+        df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
     else:
         raise ValueError(f"unknown report format {fmt!r}")
 
 
+def read_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    """A report that ``write_report`` wrote, with its types (no inference pass)."""
+    schema = REPORT_SCHEMA.format(refs="string" if fmt == "csv" else "array<string>")
+    if fmt == "csv":
+        # an unquoted empty field is NULL, a quoted one an empty text: no text stands for NULL
+        return spark.read.schema(schema.rpartition(", caveats")[0]).option("header", True).option("nullValue", "\u0000").csv(path)
+    return spark.read.schema(schema).json(path)
+
+
 def other_side(spark: SparkSession, path: str, cols: list[str], fmt: str = "parquet") -> DataFrame:
     """The second system's records (landed extract): ``id`` plus requested properties."""
     df = spark.read.format(fmt).load(path)

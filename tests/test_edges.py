@@ -411,11 +411,12 @@ def test_publish_view_and_table_in_a_layer_database(spark, tmp_path):
     assert spark.catalog.tableExists("marts_layer.fct_example")
     with pytest.raises(ValueError):
         scans.publish(df, "x", "materialized_view")
+    with pytest.raises(ValueError):
+        scans.publish(df, "x", "view", database="marts_layer")
 
 
 def test_freshness_statuses(spark):
-    df = spark.createDataFrame([("a", dt.datetime(2026, 8, 17, 1, 0)), ("b", dt.datetime(2026, 8, 16, 20, 0)),
-                                ("c", dt.datetime(2026, 8, 16, 23, 0))], "src string, loaded timestamp_ntz")
-    out = {r.src: (r.age_hours, r.status) for r in scans.freshness(df, "loaded", dt.datetime(2026, 8, 17, 5, 0),
-                                                                    by=["src"]).collect()}
-    assert out == {"a": (4.0, "pass"), "b": (9.0, "error"), "c": (6.0, "warn")}
+    one = lambda hour: spark.createDataFrame([(dt.datetime(2026, 8, 17, hour),), (None,)], "_FIVETRAN_SYNCED timestamp_ntz")
+    sources = {"A": one(1), "B": one(0), "C": spark.createDataFrame([], "x int"), "D": one(1).filter("false")}
+    got = {r.source: (r.age_hours, r.status) for r in scans.freshness(sources, dt.datetime(2026, 8, 17, 5, 0)).collect()}
+    assert got == {"A": (4.0, "pass"), "B": (5.0, "warn"), "C": (None, "error"), "D": (None, "error")}

@@ -24,7 +24,7 @@ def landed(spark, tmp_path_factory):
 
 def test_models_from_landing_equal_stand_in_models(spark, landed):
     root, lazy = landed
-    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers)
+    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers, without_targets=True)
     for attr in ("cash", "won_fct", "meetings_fct", "entries", "snapshot"):
         a = sorted(map(tuple, getattr(m, attr).collect()), key=str)
         b = sorted(map(tuple, getattr(lazy, attr).collect()), key=str)
@@ -33,7 +33,7 @@ def test_models_from_landing_equal_stand_in_models(spark, landed):
 
 def test_build_quality_reconcile_audit(spark, landed, tmp_path):
     root, lazy = landed
-    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers)
+    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers, without_targets=True)
     paths = jobs.build(m, str(tmp_path / "marts"))
     assert spark.read.parquet(paths["rpt_renewal_closer_dashboard"]).count() == 5
     from pyspark.sql import functions as F
@@ -46,7 +46,7 @@ def test_build_quality_reconcile_audit(spark, landed, tmp_path):
     assert sorted(map(tuple, win.select(*lazy_win.columns).collect()), key=str) == \
         sorted(map(tuple, lazy_win.collect()), key=str)
     q = {r.check: r.failing_rows for r in jobs.quality(m).collect()}
-    assert q["first call dedup"] == 0 and q["stg_deals.deal_id unique"] == 0
+    assert q["first call dedup"] == 0 and q["deals.deal_id unique"] == 0
     od = S.other_deals(spark, SF, lazy.raw_deal)
     om = S.other_meetings(spark, SF, lazy.raw_meeting)
     rep = jobs.reconcile(m, od, om, window="custom", start=S.WINDOW[0], end=S.WINDOW[1],
@@ -61,15 +61,40 @@ def test_build_quality_reconcile_audit(spark, landed, tmp_path):
 
 def test_landing_graph_materializes_models_only(spark, landed, tmp_path):
     root, lazy = landed
-    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers)
+    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers, without_targets=True)
     out = m.materialize(str(tmp_path / "tables"))
     assert not os.path.exists(f"{out}/raw_deal") and os.path.exists(f"{out}/cash/_SUCCESS")
-    assert len(m.fingerprint()) == 16
+    with pytest.raises(ValueError):
+        m.fingerprint()
     a = sorted(map(tuple, m.snapshot.collect()), key=str)
     b = sorted(map(tuple, lazy.snapshot.collect()), key=str)
     assert a == b
 
 
+def test_targets_are_asked_for_and_freshness_covers_the_landing(spark, landed):
+    root, lazy = landed
+    with pytest.raises(ValueError):
+        jobs.models_from_landing(spark, root, closers=lazy.closers)
+    got = {r.source: r.status for r in jobs.freshness(spark, root, S.LOOKED_AT).collect()}
+    assert got == {"DEAL": "pass", "ENGAGEMENT_MEETING": "warn", "ENGAGEMENT_DEAL": "pass", "DEAL_CONTACT": "error", "CONTACT": "pass"}
+
+
+def test_build_replaces_only_recent_days_and_publishes(spark, landed, tmp_path):
+    import datetime
+
+    root, lazy = landed
+    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers, without_targets=True)
+    paths = jobs.build(m, str(tmp_path / "marts"), database="renewal_marts")
+    read = lambda: sorted(map(tuple, spark.read.parquet(paths["fct_renewal_meetings"]).select("meeting_id", "meeting_date_et").collect()), key=str)
+    before = read()
+    assert spark.table("renewal_marts.fct_renewal_meetings").count() == len(before)
+    m2 = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers, without_targets=True)
+    day = datetime.date(2001, 3, 10)
+    m2.__dict__["meetings_fct"] = m2.meetings_fct.filter("meeting_date_et <> DATE '2001-03-01'")  # an old day is missing from the new run
+    jobs.build(m2, str(tmp_path / "marts"), since=day)
+    assert read() == before
+
+
 def test_window_dates():
     assert jobs.window_dates("mtd", dt.date(2026, 3, 1)) == (dt.date(2026, 2, 1), dt.date(2026, 2, 28))
     assert jobs.window_dates("last7d", dt.date(2026, 8, 17)) == (dt.date(2026, 8, 10), dt.date(2026, 8, 16))
