@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from dealflow.llm.common import Words, components, cut, flat_words, grams, mix, slices
 
-SHINGLE, TREES, MAX_DEPTH, BLOCK = 5, 12, 5, 192
+SHINGLE, TREES, MAX_DEPTH, BLOCK = 5, 12, 5, 512
 _rng = np.random.default_rng(20240607)
 _A = _rng.integers(0, 2**63, TREES * MAX_DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 2**63, TREES * MAX_DEPTH, dtype=np.uint64)
@@ -237,8 +237,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 m1, m2 = content_key(g, start)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(m1), pa.array(m2), pa.array([np.unique(g[a:b]).tobytes() for a, b in zip(start[:-1], start[1:], strict=True)], pa.binary())], names=["id", "m1", "m2", "g"])
 
-    texts = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("t")).join(wanted.select("id").distinct(), "id", "left_semi")
-    known = texts.mapInArrow(sets, "id bigint, m1 bigint, m2 bigint, g binary").join(wanted, ["id", "m1", "m2"], "left_semi").dropDuplicates(["id", "m1", "m2"])
+    texts = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("t")).join(wanted.select("id").distinct().hint("merge"), "id", "left_semi")
+    known = texts.mapInArrow(sets, "id bigint, m1 bigint, m2 bigint, g binary").join(wanted.hint("merge"), ["id", "m1", "m2"], "left_semi").dropDuplicates(["id", "m1", "m2"])
     work = met.join(known.select("m1", "m2", "g"), ["m1", "m2"])
     result = cut(work.repartition(*order).sortWithinPartitions(*order).mapInArrow(verify(threshold), "id bigint, m1 bigint, m2 bigint, links bigint, root bigint"), "links")
     shared_ids = worded.groupBy("id").agg(F.min("m1").alias("a"), F.max("m1").alias("b"), F.min("m2").alias("c"), F.max("m2").alias("d")).where("a <> b or c <> d").select("id")
