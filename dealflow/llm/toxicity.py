@@ -21,7 +21,7 @@ from dealflow.llm.common import add_columns, cut, labelled_sample
 
 WORD_BUCKETS, STEM_BUCKETS, STEM = 1 << 18, 1 << 16, 5
 EDGE = ".,;:!?\"'()[]{}<>*#$%&|"
-DRIFT, LOW, HIGH = 0.4, -1.5, 5.0
+DRIFT, LOW, HIGH = 0.8, -1.5, 5.0
 
 
 def tokens(text: str) -> list[str]:
@@ -36,8 +36,9 @@ def buckets(token: str) -> tuple[int, int]:
             WORD_BUCKETS + xxhash.xxh64_intdigest(token[:STEM].encode("utf-8", "replace"), 7) % STEM_BUCKETS)
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray, word: float = 4.0, stem: float = 8.0) -> tuple[np.ndarray, np.ndarray, float]:
-    """What a token's score needs: counts by bucket, the odds of the two totals. A token's prior is
+def log_odds(toxic: np.ndarray, clean: np.ndarray, word: float = 16.0, stem: float = 16.0) -> tuple[np.ndarray, np.ndarray, float]:
+    """What a token's score needs, from the texts that hold each token: the toxic share of each
+    stem, the word prior and the odds of the two totals. A token's prior is
     Dirichlet with ``word`` pseudo-counts split as its stem's counts are, and a stem's is one with
     ``stem`` pseudo-counts split as the totals are."""
     a, b = toxic[:WORD_BUCKETS].sum() + 1.0, clean[:WORD_BUCKETS].sum() + 1.0
@@ -162,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
         n = np.zeros((2, WORD_BUCKETS + STEM_BUCKETS), np.int64)
         for batch in batches:
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                where = [b for w in tokens(t or "") if w for b in buckets(w)]
+                where = [b for w in set(tokens(t or "")) if w for b in buckets(w)]
                 np.add.at(n[y], where, 1)
         at = np.flatnonzero(n.sum(0))
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(n[1][at]), pa.array(n[0][at])], names=["at", "toxic", "clean"])

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from dealflow.llm import crf, quality, quality_rules
 from dealflow.llm.common import ByteWords, held_out
@@ -51,7 +52,7 @@ def corpus(spark, docs, prose, n=300):
 
 def test_held_out_accuracy(spark, docs, prose):
     df, labels = corpus(spark, docs, prose)
-    out = quality.score_quality(df, quality.fit(df, labels)).join(labels, "doc_id").withColumn("out", held_out(df["doc_id"])).collect()
+    out = quality.score_quality(df, quality.fit(df, labels)).join(labels, "doc_id").withColumn("out", held_out(F.col("doc_id"))).collect()
     held = [r for r in out if r["out"]]
     assert np.mean([(r.score >= 0.5) == bool(r.quality) for r in held]) > 0.97
     kept = quality_rules.judge(df, quality_rules.fit(df, labels)).join(labels, "doc_id").collect()

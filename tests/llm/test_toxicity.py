@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dealflow.llm import toxicity as X
 
@@ -48,7 +49,7 @@ def test_held_out_accuracy_and_passages(spark, docs, prose):
     from dealflow.llm.common import held_out
 
     df, labels = labelled(spark, docs, prose)
-    out = X.score_toxicity(df, X.fit(df, labels)).join(labels, "doc_id").withColumn("out", held_out(df["doc_id"])).collect()
+    out = X.score_toxicity(df, X.fit(df, labels)).join(labels, "doc_id").withColumn("out", held_out(F.col("doc_id"))).collect()
     held = [r for r in out if r["out"]]
     assert 90 < len(held) < 180
     assert np.mean([(r.score >= 0.7) == bool(r.toxic) for r in held]) > 0.97
@@ -62,8 +63,6 @@ def test_a_passage_in_a_long_clean_text_is_found_and_held_out_rows_teach_nothing
     g = X.fit(df, labels)
     text = prose(9, 2000) + " vile nasty w1x1 rotten awful vile nasty rotten awful " + prose(10, 2000)
     assert X.score_toxicity(docs([(1, text)]), g).collect()[0].score > 0.7
-    from pyspark.sql import functions as F
-
     from dealflow.llm.common import held_out
 
     flipped = labels.withColumn("toxic", F.when(held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
