@@ -122,9 +122,9 @@ class Models:
             parts.append(f"{path}:{st.getLength()}:{fs.getFileStatus(p).getModificationTime()}")
         return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
-    def materialize(self, root: str | None = None) -> str:
+    def materialize(self, root: str | None = None, levels: int = len(LEVELS)) -> str:
         """Write landed tables and models once (skipped when already written for the same
-        inputs) and re-point this graph at them. Writes go through the job commit
+        inputs), or the first ``levels`` of them, and re-point this graph at them. Writes go through the job commit
         protocol, so a lost executor only retries its tasks; a table counts as present
         only once its ``_SUCCESS`` marker exists."""
         from dealflow.session import ensure_checkpoint_dir
@@ -145,7 +145,7 @@ class Models:
 
         for shared in ("closers", "stages", "product_map", "tier_map"):  # built once, before the threads
             getattr(self, shared)
-        for level in LEVELS:
+        for level in LEVELS[:levels]:
             with ThreadPoolExecutor(max_workers=len(level)) as pool:
                 list(pool.map(write, level))
             for name in level:
