@@ -81,31 +81,29 @@ def groups(first: np.ndarray, most: int = 2_000_000) -> Iterator[tuple[np.ndarra
         i = j
 
 
-def _chain(e: np.ndarray, mask: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Forward-backward over padded log-odds ``e``: P(state 1) of each cell, the expected number of
-    each transition, and each row's log partition (up to what its emissions alone give)."""
+def _chain(e: np.ndarray, mask: np.ndarray, trans: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Forward-backward over padded log-odds ``e``: P(state 1) of each cell, and the expected number of
+    each transition, rows counting by ``weight`` (only where given)."""
     rows, width = e.shape
     a = np.exp(trans)
     one = 1 / (1 + np.exp(-np.clip(e, -30, 30)))
     em = np.stack([1 - one, one], 2)
-    alpha, beta, log_z = np.empty((rows, width, 2)), np.ones((rows, width, 2)), np.zeros(rows)
+    alpha, beta = np.empty((rows, width, 2)), np.ones((rows, width, 2))
     alpha[:, 0] = em[:, 0]
     for t in range(1, width):
         step = (alpha[:, t - 1] @ a) * em[:, t]
-        norm = step.sum(1)
-        on = mask[:, t]
-        log_z[on] += np.log(norm[on])
-        alpha[:, t] = np.where(on[:, None], step / norm[:, None], alpha[:, t - 1])
+        alpha[:, t] = np.where(mask[:, t][:, None], step / step.sum(1, keepdims=True), alpha[:, t - 1])
     pairs = np.zeros((2, 2))
     for t in range(width - 2, -1, -1):
         ahead = em[:, t + 1] * beta[:, t + 1]
         on = mask[:, t + 1]
-        both = alpha[on, t][:, :, None] * a * ahead[on][:, None, :]
-        pairs += (both / both.sum((1, 2), keepdims=True)).sum(0)
+        if weight is not None:
+            both = alpha[on, t][:, :, None] * a * ahead[on][:, None, :]
+            pairs += (weight[on][:, None, None] * both / both.sum((1, 2), keepdims=True)).sum(0)
         back = ahead @ a.T
         beta[:, t] = np.where(on[:, None], back / back.sum(1, keepdims=True), 1.0)
     both = alpha * beta
-    return both[:, :, 1] / both.sum(2), pairs, log_z
+    return both[:, :, 1] / both.sum(2), pairs
 
 
 class Crf:
@@ -115,13 +113,11 @@ class Crf:
     def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 150, rate: float = 0.1, ridge: float = 1e-3) -> None:
         """Maximise the conditional likelihood of lines that all bear their text's label, by
         gradient ascent with adaptive steps; each text counts by its weight however long it is."""
-        share = np.repeat(weight / np.diff(first), np.diff(first))
-        share /= share.sum()
+        each = weight / np.diff(first) / weight.sum()
+        share = np.repeat(each, np.diff(first))
         theta = np.concatenate([self.w, self.trans.ravel()])
         m, v, n = np.zeros_like(theta), np.zeros_like(theta), len(self.w)
         batches = [(own, at, at >= 0) for own, at in groups(first)]
-        each = weight / np.diff(first)
-        each = each / (weight.sum())
         for k in range(1, rounds + 1):
             self.w, self.trans = theta[:n], theta[n:].reshape(2, 2)
             e = x @ self.w
@@ -131,11 +127,11 @@ class Crf:
                     pick = y[own] == label
                     if not pick.any():
                         continue
-                    p, pairs, _ = _chain(np.where(mask[pick], e[at[pick]], 0), mask[pick], self.trans)
-                    grad_e[at[pick][mask[pick]]] = label - p[mask[pick]]
-                    seen = np.zeros((2, 2))
-                    seen[label, label] = mask[pick][:, 1:].sum()
-                    grad_t += (seen - pairs) * (each[own][pick].mean())
+                    on, w = mask[pick], each[own][pick]
+                    p, pairs = _chain(np.where(on, e[at[pick]], 0), on, self.trans, w)
+                    grad_e[at[pick][on]] = label - p[on]
+                    grad_t[label, label] += (w * on[:, 1:].sum(1)).sum()
+                    grad_t -= pairs
             g = np.concatenate([x.T @ (grad_e * share), grad_t.ravel()]) - ridge * theta
             m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
             theta = theta + rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-8)

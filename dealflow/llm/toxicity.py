@@ -36,24 +36,23 @@ def buckets(token: str) -> tuple[int, int]:
             WORD_BUCKETS + xxhash.xxh64_intdigest(token[:STEM].encode("utf-8", "replace"), 7) % STEM_BUCKETS)
 
 
-def log_odds(toxic: np.ndarray, clean: np.ndarray, word: float = 16.0, stem: float = 16.0) -> tuple[np.ndarray, np.ndarray, float]:
-    """What a token's score needs, from the texts that hold each token: the toxic share of each
-    stem, the word prior and the odds of the two totals. A token's prior is
-    Dirichlet with ``word`` pseudo-counts split as its stem's counts are, and a stem's is one with
-    ``stem`` pseudo-counts split as the totals are."""
-    a, b = toxic[:WORD_BUCKETS].sum() + 1.0, clean[:WORD_BUCKETS].sum() + 1.0
-    share = a / (a + b)
-    st = toxic[WORD_BUCKETS:] + stem * share
-    return st / (st + clean[WORD_BUCKETS:] + stem * (1 - share)), np.array([word]), math.log(b / a)
+#: Pseudo-counts of the priors of a token and of a stem.
+WORD_PRIOR, STEM_PRIOR = 16.0, 16.0
 
 
 class Scorer:
-    """Token scores, and the extreme-value law and calibration of a text's passages."""
+    """Token scores, and the extreme-value law and calibration of a text's passages.
+
+    ``toxic`` and ``clean`` count, by bucket, the labelled texts that hold a token. A token's prior
+    is Dirichlet with WORD_PRIOR pseudo-counts, split as the texts that hold its stem are; a stem's
+    has STEM_PRIOR, split as the totals are."""
 
     def __init__(self, toxic: np.ndarray, clean: np.ndarray):
         self.toxic, self.clean = toxic[:WORD_BUCKETS].astype(np.float32), clean[:WORD_BUCKETS].astype(np.float32)
-        stem, self.prior, self.odds = log_odds(toxic, clean)
-        self.stem = stem.astype(np.float32)
+        a, b = self.toxic.sum() + 1.0, self.clean.sum() + 1.0
+        share, self.odds = a / (a + b), math.log(b / a)
+        stem = toxic[WORD_BUCKETS:] + STEM_PRIOR * share
+        self.stem = (stem / (stem + clean[WORD_BUCKETS:] + STEM_PRIOR * (1 - share))).astype(np.float32)
         self.rate, self.k, self.weights, self.center, self.spread = 1.0, 1.0, None, None, None
 
     def __getstate__(self):
@@ -63,8 +62,8 @@ class Scorer:
         if not w:
             return -DRIFT
         i, j = buckets(w)
-        share, prior = float(self.stem[j - WORD_BUCKETS]), float(self.prior[0])
-        s = math.log((self.toxic[i] + prior * share) / (self.clean[i] + prior * (1 - share))) + self.odds
+        share = float(self.stem[j - WORD_BUCKETS])
+        s = math.log((self.toxic[i] + WORD_PRIOR * share) / (self.clean[i] + WORD_PRIOR * (1 - share))) + self.odds
         return min(max(s, LOW), HIGH) - DRIFT
 
     def scores(self, text: str) -> np.ndarray:
