@@ -26,6 +26,14 @@ def duck():
     return connect(SF)
 
 
+@pytest.fixture(scope="module")
+def landed(spark, tmp_path_factory):
+    """The landed tables written once, as a warehouse has them; every model stays lazy."""
+    from dealflow.plans.context import Models
+
+    Models.of(spark, SF).materialize(str(tmp_path_factory.mktemp("landed")), levels=1)
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as E
 
@@ -42,7 +50,7 @@ def test_every_query_has_an_oracle():
 
 
 @pytest.mark.parametrize("name", _names())
-def test_query_matches_oracle(spark, duck, name):
+def test_query_matches_oracle(spark, duck, landed, name):
     import __spark_entry__ as E
     from check_oracle import compare
 
