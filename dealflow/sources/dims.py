@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,8 +67,10 @@ def load_dim(spark: SparkSession, name: str, path: str | None = None,
     if path is not None:
         df = spark.read.schema(schema).option("header", True).csv(path)
     else:
-        rows = [tuple(r.get(f.name) for f in schema.fields) for r in seed_rows(name)]
-        df = spark.createDataFrame(rows, schema)
+        # from Arrow a small table becomes a local relation, whose size Catalyst knows: the
+        # lookups are then broadcast instead of shuffling the facts
+        rows = seed_rows(name)
+        df = spark.createDataFrame(pa.table({f.name: pa.array([r.get(f.name) for r in rows], pa.string()) for f in schema.fields}), schema)
     return df.select([F.col(f.name).alias(f.name.lower()) for f in schema.fields])
 
 
