@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealflow.llm.bpe import decode, encode
+from dealflow.llm.bpe import encode
 from dealflow.llm.common import cut, table
 from dealflow.llm.decontaminate import find_leaks
 from dealflow.llm.line_dedup import dedup_lines
@@ -61,8 +61,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded, and decoded again."""
-    path = vocabulary()
-    got = decode(encode(docs, path, keep=["doc_id"]), path)
+    got = encode(docs, vocabulary(), keep=["doc_id"], decoded="decoded")
     return got.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256).alias("ids_sha256"), sha("decoded").alias("decoded_sha256"))
 

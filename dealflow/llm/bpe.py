@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealflow.llm.common import add_columns, fresh
+from dealflow.llm.common import add_columns, fresh, kept
 
 #: Fixed: the split pattern of byte-level vocabularies, white space by its Unicode property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -227,15 +227,9 @@ class Bpe:
         return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
 def loaded(spec: str) -> Bpe:
-    """The tokenizer of this Python process, with the words that its earlier tasks have met."""
-    if spec not in _LOADED:
-        _LOADED.clear()
-        _LOADED[spec] = Bpe(spec)
-    return _LOADED[spec]
+    """The tokenizer, with the words that earlier tasks of this Python process have met."""
+    return kept(("bpe", spec), lambda: Bpe(spec))
 
 
 def _shared(df: DataFrame, path: str):
@@ -244,13 +238,15 @@ def _shared(df: DataFrame, path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", keep: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", keep: list[str] | None = None, decoded: str | None = None) -> DataFrame:
     """``docs`` with ``out``, the array of token ids of each text under the tokenizer file at
-    ``path`` (special tokens' strings become their ids).
+    ``path`` (special tokens' strings become their ids). With ``decoded``, also a column of that
+    name, the text that the ids decode to, by the same task: a round trip in one pass.
 
-    A null or empty text has no tokens. Words repeat across texts, so each task keeps those it has met, up to
-    a bound. A text is encoded whole; a word of any length costs O(n log n) at most. Repeated rows are encoded alike. A
-    column named like ``out`` is replaced; ``keep`` names the columns to return. No rows give no rows."""
+    A null or empty text has no tokens. Words repeat across texts, so each process keeps those it
+    has met, up to a bound. A text is encoded whole; a word of any length costs O(n log n) at
+    most. Repeated rows are encoded alike. A column named like a new one is replaced; ``keep``
+    names the columns to return. No rows give no rows."""
     spec = _shared(docs, path)
 
     def make():
@@ -259,11 +255,13 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", kee
         def compute(texts):
             got = bpe.encode_batch(texts)
             offsets = np.concatenate([[0], np.cumsum([len(g) // 4 for g in got])]).astype(np.int32)
-            return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))]
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(got), np.int32)))
+            return [ids] + ([] if decoded is None else [[bpe.decode(np.frombuffer(g, np.int32).tolist()) for g in got]])
 
         return compute
 
-    return add_columns(docs, text, [(out, T.ArrayType(T.IntegerType()))], make, keep)
+    fields = [(out, T.ArrayType(T.IntegerType()))] + ([] if decoded is None else [(decoded, T.StringType())])
+    return add_columns(docs, text, fields, make, keep)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:

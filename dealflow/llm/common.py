@@ -132,15 +132,23 @@ def slices(batch: pa.RecordBatch, text: str | int, most: int = 4_000_000) -> Ite
         start, base = stop, int(ends[stop - 1])
 
 
-_HASHES: dict[int, dict[str, int]] = {}
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What ``make`` returns, kept for later tasks of this Python process that ask by the same key.
+    Only one thing is kept: a process that serves one stage after another holds the last's."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 class Words:
-    """64-bit hashes of words. Those met are kept for the later tasks of the Python process;
-    beyond ``size`` words the cache is emptied."""
+    """64-bit hashes of words. Those met are ``kept``; beyond ``size`` words the cache is emptied."""
 
-    def __init__(self, seed: int = 0, size: int = 400_000):
-        self.seed, self.size, self.cache = seed, size, _HASHES.setdefault(seed, {})
+    def __init__(self, seed: int = 0, size: int = 300_000):
+        self.seed, self.size, self.cache = seed, size, kept(("words", seed), dict)
 
     def hashes(self, words: list[str]) -> np.ndarray:
         found = list(map(self.cache.get, words))

@@ -112,10 +112,9 @@ def vocabulary(name="byte_bpe_50k.json"):
 
 @query
 def op8_bpe(spark, sf_dir):
-    from dealflow.llm.bpe import decode, encode
+    from dealflow.llm.bpe import encode
 
-    path = vocabulary()
-    got = decode(encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"]), path)
+    got = encode(table(spark, sf_dir, "documents"), vocabulary(), keep=["doc_id"], decoded="decoded")
     return got.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                       F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), ","), "UTF-8"), 256).alias("ids_sha256"),
                       sha("decoded").alias("decoded_sha256"))

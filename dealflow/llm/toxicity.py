@@ -9,6 +9,7 @@ of that length; and the surprises of a text's passages make one calibrated score
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealflow.llm.common import add_columns, cut, labelled_sample
+from dealflow.llm.common import add_columns, cut, kept, labelled_sample
 
 WORD_BUCKETS, STEM_BUCKETS, STEM = 1 << 18, 1 << 16, 5
 EDGE = ".,;:!?\"'()[]{}<>*#$%&|"
@@ -53,11 +54,9 @@ class Scorer:
         share, self.odds = a / (a + b), math.log(b / a)
         stem = toxic[WORD_BUCKETS:] + STEM_PRIOR * share
         self.stem = (stem / (stem + clean[WORD_BUCKETS:] + STEM_PRIOR * (1 - share))).astype(np.float32)
+        self.name = uuid.uuid4().hex  # token scores are fixed from here on
         self.rate, self.k, self.weights, self.center, self.spread = 1.0, 1.0, None, None, None
 
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "cache"}
-
     def token(self, w: str) -> float:
         if not w:
             return -DRIFT
@@ -67,7 +66,7 @@ class Scorer:
         return min(max(s, LOW), HIGH) - DRIFT
 
     def scores(self, text: str) -> np.ndarray:
-        cache = self.__dict__.setdefault("cache", {})
+        cache = kept(("toxicity", self.name), dict)
         ws = tokens(text)
         out = list(map(cache.get, ws))
         if None in out:

@@ -46,6 +46,8 @@ def test_decode_of_odd_ids(pair):
 def test_edge_cases(docs, clashing, edge_rows, pair):
     out = decode(encode(clashing, PATH), PATH).select("text", F.size("ids").alias("n"), "decoded").collect()
     assert len(out) == len(edge_rows) and all(r.decoded == (r.text or "") and (r.n == 0) == (not r.text) for r in out)
+    both = encode(clashing, PATH, decoded="decoded")
+    assert both.columns[-2:] == ["ids", "decoded"] and all(r.decoded == (r.text or "") for r in both.collect())
     assert decode(encode(docs([]), PATH), PATH).count() == 0
     one = encode(docs([(1, "x")]), PATH).withColumn("ids", F.lit(None).cast("array<int>"))
     assert decode(one, PATH).collect()[0].decoded is None
