@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,14 +34,16 @@ def signs(g: np.ndarray) -> np.ndarray:
 
 
 def pack(total: np.ndarray) -> np.ndarray:
-    """The fingerprint, eight bytes, of each row of bit sums."""
-    return np.packbits(total > 0, axis=1, bitorder="little")
+    """The fingerprint, eight bytes, of each row of bit sums; they are rounded, so that a sum of
+    zero gives the same bit however it was added up."""
+    return np.packbits(np.round(total, 6) > 0, axis=1, bitorder="little")
 
 
 class Benchmark:
-    """One block of items: shingles with their weights, fingerprints, and the multi-index."""
+    """One block of items: shingles with their weights, fingerprints, and the multi-index.
+    ``statistics`` are those of the whole benchmark, see ``frequencies``; without them the block is it."""
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float = 0.8):
+    def __init__(self, items: list[tuple[int, str]], threshold: float = 0.8, statistics: tuple[int, np.ndarray, np.ndarray] | None = None):
         words = Words(seed=5)
         self.threshold, self.ids, self.sets = threshold, [], []
         sizes = []
@@ -51,9 +54,14 @@ class Benchmark:
                 self.sets.append(grams(h, SHINGLE))
                 sizes.append(len(h) - SHINGLE + 1)
         self.sizes = np.array(sizes, np.int64)
-        self.shingles, df = np.unique(np.concatenate([np.unique(s) for s in self.sets] or [np.zeros(0, np.uint64)]), return_counts=True)
-        self.unseen = float(np.log1p(len(self.ids)))
-        self.weight = np.log1p(len(self.ids) / df) if len(df) else np.zeros(0)
+        own, df = np.unique(np.concatenate([np.unique(s) for s in self.sets] or [np.zeros(0, np.uint64)]), return_counts=True)
+        n_items, common, df = statistics or (len(self.ids), own[df > 1], df[df > 1])
+        self.unseen = float(np.log1p(n_items))
+        #: The block's shingles and all that several items have, of whatever block; any other weighs as an unseen one.
+        self.shingles = np.union1d(own, common)
+        self.own = np.isin(self.shingles, own)
+        self.weight = np.full(len(self.shingles), self.unseen)
+        self.weight[np.searchsorted(self.shingles, common)] = np.log1p(n_items / df)
         self.has = np.zeros(1 << _FILTER, bool)
         self.has[(self.shingles & np.uint64((1 << _FILTER) - 1)).astype(np.int64)] = True
         self.prints = np.stack([pack((signs(s) * self.weights(s)[0][:, None]).sum(0, keepdims=True))[0] for s in self.sets]) if self.sets else np.zeros((0, 8), np.uint8)
@@ -62,15 +70,15 @@ class Benchmark:
         self.near = [_POP[values[:, None] ^ self.prints[None, :, b]] <= RADIUS // BLOCKS for b in range(BLOCKS)]
 
     def weights(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each shingle's weight, and whether an item has it. One that none has weighs as much as
-        one that a single item has, so that weights never depend on the texts searched."""
+        """Each shingle's weight, and whether an item of the block has it. One that none has weighs as
+        much as one that a single item has, so that weights never depend on the texts searched."""
         known = np.zeros(len(g), bool)
         out = np.full(len(g), self.unseen)
         if len(self.shingles):
             may = np.flatnonzero(self.has[(g & np.uint64((1 << _FILTER) - 1)).astype(np.int64)])
             at = np.minimum(np.searchsorted(self.shingles, g[may]), len(self.shingles) - 1)
             hit = self.shingles[at] == g[may]
-            known[may[hit]] = True
+            known[may[hit]] = self.own[at[hit]]
             out[may[hit]] = self.weight[at[hit]]
         return out, known
 
@@ -104,7 +112,7 @@ class Benchmark:
         span = slice(int(lo), int(at[-1]) + n)
         if span.stop - span.start <= 20 * len(at) + 8 * n:
             sums = np.concatenate([np.zeros((1, BITS)), np.cumsum(signs(g[span]) * w[span, None], axis=0, dtype=np.float64)])
-            prints = pack(np.round(sums[at - lo + n] - sums[at - lo], 6))
+            prints = pack(sums[at - lo + n] - sums[at - lo])
         else:  # windows far apart: one by one
             prints = np.concatenate([pack((signs(g[a: a + n]) * w[a: a + n, None]).sum(0, keepdims=True)) for a in at])
         near = np.zeros((len(at), len(own)), bool)
@@ -119,6 +127,23 @@ class Benchmark:
                 best[k] = (s, a)
 
 
+def frequencies(items: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Of all items (i, t): how many have a shingle, the shingles that several have, by hash, and how
+    many have each."""
+    def each(batches):
+        words = Words(seed=5)
+        for batch in batches:
+            sets = [np.unique(grams(flat_words([t], words, normal_words)[0], SHINGLE)) for t in batch.column(0).to_pylist()]
+            for s in sets:
+                if len(s):  # a null stands for the item itself
+                    yield pa.RecordBatch.from_arrays([pa.array([None, *s.view(np.int64).tolist()], pa.int64())], names=["g"])
+
+    got = items.select("t").mapInArrow(each, "g bigint").groupBy("g").agg(F.count("*").alias("n")).where("n > 1 or g is null").toArrow().to_pydict()
+    found = sorted((g & (2**64 - 1), n) for g, n in zip(got["g"], got["n"], strict=True) if g is not None)
+    n_items = sum(n for g, n in zip(got["g"], got["n"], strict=True) if g is None)
+    return n_items, np.array([g for g, _ in found], np.uint64), np.array([n for _, n in found], np.int64)
+
+
 LEAK = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("similarity", T.DoubleType()), T.StructField("start", T.LongType()), T.StructField("n_words", T.LongType())])
 
 
@@ -128,10 +153,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_t
     weighted-shingle similarity of the best window, its first word and its length in words
     (lower-cased runs of letters, digits and underscores), by item id.
 
-    Windows have the item's own length; SHINGLE words make a shingle, weighted by how few items
-    have it. Fingerprints within RADIUS bits are all found, whatever the bits. Items are taken in blocks of about
+    Windows have the item's own length; SHINGLE words make a shingle, weighted by how few of all
+    items have it: the counts are one aggregate over the whole benchmark, so ``block_items``
+    changes no similarity. Fingerprints within RADIUS bits are all found, whatever the bits. Items are taken in blocks of about
     ``block_items``, chosen by the id's hash, and each block passes over the texts once, without
-    a shuffle: memory is bounded by a block and the longest text. Items with a null id or text,
+    a shuffle: memory is bounded by a block, the shingles that several items have (17 bytes each)
+    and the longest text. Items with a null id or text,
     or with fewer than SHINGLE words, match nothing; null, empty and shorter texts hold nothing.
     Items that repeat an id count each for themselves. Repeated rows of ``docs`` get the same
     result. A column named like ``out`` is replaced; ``keep`` names the columns to return. An
@@ -139,10 +166,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_t
     items = benchmark.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
     n_blocks = max(1, -(-items.count() // block_items))
     names = [c for c in (docs.columns if keep is None else keep) if c != out]
+    statistics = frequencies(items)
     current, parts = docs, []
     for b in range(n_blocks):
         rows = sorted((r["i"], r["t"]) for r in items.where(F.pmod(F.xxhash64("i"), F.lit(n_blocks)) == b).collect())
-        shared = docs.sparkSession.sparkContext.broadcast(Benchmark(rows, threshold))
+        shared = docs.sparkSession.sparkContext.broadcast(Benchmark(rows, threshold, statistics))
         part = out if n_blocks == 1 else f"__{out}_{b}"
         current = add_columns(current, text, [(part, T.ArrayType(LEAK))], _searcher(shared), names + parts + ([text] if b < n_blocks - 1 and text not in names else []))
         parts.append(part)

@@ -59,3 +59,23 @@ def test_blocks_of_items_and_edge_cases(spark, docs, clashing, edge_rows, prose)
     assert len(held) and [x for x in show(whole) if x[0] == "3"][0][2] == [1, 1] and [x for x in show(whole) if x[0] == "10"][0][2] == [6]
     assert D.find_leaks(docs([]), items).count() == 0
     assert all(r.leaks == [] for r in D.find_leaks(docs(edge_rows), items_df(spark, [])).collect())
+
+
+def test_blocks_change_no_similarity_near_the_threshold(spark, docs, prose):
+    common = prose(77, 21).split()
+    items = [(i, " ".join((common if i % 4 == 0 else []) + prose(3000 + i, 38 if i % 4 == 0 else 61).split())) for i in range(40)]
+    rows = []
+    for i, t in items:
+        own = t.split()
+        own[30] = "changed"
+        if i % 4 == 1:  # other items' words at the end, but for the first of them
+            own[55:] = common[: len(own) - 55]
+        rows.append((i, " ".join(own)))
+    leaks = lambda n: sorted((r.doc_id, r.item_id, r.similarity, r.start) for r in D.find_leaks(docs(rows), items_df(spark, items), keep=["doc_id"], threshold=0.5, block_items=n).selectExpr("doc_id", "inline(leaks)").collect())
+    whole = leaks(2000)
+    bench = D.Benchmark(items, 0.5)
+    assert len(whole) >= 40 and whole == leaks(13) and any(0.79 < s < 0.81 for _, _, s, _ in whole)
+    words = D.Words(seed=5)
+    for i, k, s, a in whole:
+        g = D.grams(D.flat_words([rows[i][1]], words, D.normal_words)[0], D.SHINGLE)
+        assert s == bench.similarity(g[a: a + len(bench.sets[k])], k)
