@@ -136,8 +136,8 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     columns aren't looked at, whatever their names. No rows give no rows.
     """
     base = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(MAX_ID)).alias("id"), F.col(doc_id).alias("own"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    base = base.withColumn("version", F.hash("t"))
-    runs = cut(base.select("id", "version", "t").mapInArrow(_blocks(window), "id bigint, version int, at int, n int, key bigint"), "window-runs")
+    base = base.withColumn("version", F.xxhash64("t"))
+    runs = cut(base.select("id", "version", "t").mapInArrow(_blocks(window), "id bigint, version bigint, at int, n int, key bigint"), "window-runs")
     bits = max(10, math.ceil(math.log2(ROOM * runs.count() + 1)))
     for depth in range(DEPTH):
         cell = F.shiftrightunsigned(F.xxhash64(F.lit(depth), "key"), 64 - bits).alias("cell")
@@ -147,7 +147,7 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         runs = kept
     mine = runs.groupBy("id", "version").agg(F.collect_set(F.struct("at", "n", "key")).alias("runs"))
     rows = base.select("id", "version", "t").join(mine, ["id", "version"])
-    held = cut(rows.mapInArrow(_windows(window), "id bigint, version int, at int, key bigint, hashes array<bigint>"), "windows")
+    held = cut(rows.mapInArrow(_windows(window), "id bigint, version bigint, at int, key bigint, hashes array<bigint>"), "windows")
     discard(runs)
     each = held.select("id", "version", "key", F.posexplode("hashes").alias("i", "hash"), "at")
     again = cut(each.groupBy("key", "hash").agg(F.count("*").alias("n")).where("n > 1").select("key", "hash"), "repeated-windows")

@@ -56,3 +56,11 @@ def test_equal_windows_have_equal_minimizers_at_different_places():
         if w in seen:
             assert of[seen[w]][0] == of[a][0] and of[seen[w]][1] != of[a][1]
         seen[w] = a
+
+
+def test_texts_of_one_id_whose_short_hashes_are_equal(spark, docs):
+    from pyspark.sql import functions as F
+
+    rows = [(None, "p0 p1 p2 p3 p4 p5 p6 p7 p8 p9 own14627"), (None, "q0 q1 q2 q3 q4 q5 own131520"), (1, "p0 p1 p2 p3 p4 p5 p6 p7 p8 p9")]
+    assert docs(rows[:2]).select(F.hash("text")).distinct().count() == 1
+    assert got(docs(rows), window=6) == brute(rows, window=6)
