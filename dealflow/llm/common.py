@@ -70,13 +70,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def learnable(labels: DataFrame, label: str) -> DataFrame:
+    """The labelled ids that may be learned from, as (doc_id, y). Ids or labels that are null are
+    left out; an id with several labels has its largest."""
+    return (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
+            .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y")))
+
+
+def class_share(labels: DataFrame, label: str) -> float:
+    """The share of label 1 among all learnable labels of 0 or 1; 0 without any."""
+    got = learnable(labels, label).where("y in (0, 1)").agg(F.avg("y").alias("share")).collect()
+    return got[0]["share"] or 0.0
+
+
 def labelled_sample(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     """At most ``max_rows`` labelled ids that may be learned from, as (doc_id, y), the ones
     with the smallest hash, so the choice doesn't depend on how rows are dealt out. Half of
-    the rows go to each label. Ids or labels that are null are left out; an id with several
-    labels has its largest."""
-    rows = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id")))
-            .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y")))
+    the rows go to each label."""
+    rows = learnable(labels, label)
     by_hash = lambda y: rows.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows // 2)
     return by_hash(0).unionByName(by_hash(1))
 

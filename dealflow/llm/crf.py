@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealflow.llm.common import labelled_sample
+from dealflow.llm.common import class_share, labelled_sample
 
 OTHER, UPPER, DIGIT, SIGN, BANG, POINT, SPACE, BAR, INNER, END = range(10)
 _CLASS = np.zeros(256, np.uint8)
@@ -196,8 +196,7 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, text: str = "text", label:
     parts, y = [parts[i] for i in order], y[order]
     chars = got["chars"].to_pylist()
     chars = [chars[i] for i in order]
-    n = {r["y"]: r["n"] for r in labels.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).collect() if r["y"] in (0, 1)}
-    share = n.get(1, 0) / max(1, sum(n.values()))
+    share = class_share(labels, label)
     weight = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     first = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
     x = np.concatenate(parts)

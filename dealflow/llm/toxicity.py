@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealflow.llm.common import add_columns, cut, kept, labelled_sample
+from dealflow.llm.common import add_columns, class_share, cut, kept, labelled_sample
 
 WORD_BUCKETS, STEM_BUCKETS, STEM = 1 << 18, 1 << 16, 5
 EDGE = ".,;:!?\"'()[]{}<>*#$%&|"
@@ -196,8 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
 
     got = train.mapInArrow(describe, "y int, x array<double>").toArrow()
     x, y = np.array(got["x"].to_pylist()), got["y"].to_numpy()
-    n = {r["y"]: r["n"] for r in labels.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int").alias("y")).agg(F.count("*").alias("n")).collect() if r["y"] in (0, 1)}
-    share = n.get(1, 0) / max(1, sum(n.values()))
+    share = class_share(labels, label)
     own = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     scorer.calibrate(x, y, own)
     return scorer

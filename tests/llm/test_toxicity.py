@@ -77,3 +77,17 @@ def test_edge_cases(spark, docs, clashing, some):
     assert out.count() == 15 and all(0 <= r.score <= 1 for r in out.collect())
     empty = docs([])
     assert X.score_toxicity(empty, X.fit(empty, labels)).count() == 0
+
+
+def test_held_out_labels_change_no_weights(spark, docs, prose):
+    from dealflow.llm import quality
+    from dealflow.llm.common import held_out
+
+    df, labels = labelled(spark, docs, prose, n=120)
+    labels = labels.withColumn("quality", 1 - F.col("toxic"))
+    out = held_out(F.col("doc_id"))
+    other = labels.select("doc_id", *[F.when(out, 1).otherwise(F.col(c)).alias(c) for c in ("quality", "toxic")])
+    a, b = X.fit(df, labels), X.fit(df, other)
+    assert np.allclose(a.weights, b.weights, rtol=1e-9) and np.isclose(a.rate, b.rate, rtol=1e-9) and np.isclose(a.k, b.k, rtol=1e-9)
+    a, b = quality.fit(df, labels), quality.fit(df, other)
+    assert np.array_equal(a.crf.w, b.crf.w) and np.array_equal(a.crf.trans, b.crf.trans) and np.array_equal(a.weights, b.weights)
