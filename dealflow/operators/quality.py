@@ -24,9 +24,10 @@ def check_unique(df: DataFrame, col: str) -> DataFrame:
             .filter(F.col("n_records") > 1))
 
 
-def check_not_null(df: DataFrame, col: str) -> DataFrame:
-    """Q2."""
-    return df.filter(F.col(col).isNull())
+def check_not_null(df: DataFrame, col: str, keep=None) -> DataFrame:
+    """Q2: rows whose ``col`` is NULL, with the columns ``keep`` (all)."""
+    bad = df.filter(F.col(col).isNull())
+    return bad if keep is None else bad.select(*keep)
 
 
 def check_values(df: DataFrame, col: str, values) -> DataFrame:

@@ -40,7 +40,7 @@ def q1_unique(spark, sf_dir):
 
 @register("q2_not_null", sql("SELECT engagement_id, deal_id FROM raw_engagement_deal WHERE deal_id IS NULL"))
 def q2_not_null(spark, sf_dir):
-    return Q.check_not_null(Models.of(spark, sf_dir).raw_engagement_deal, "deal_id")
+    return Q.check_not_null(Models.of(spark, sf_dir).raw_engagement_deal, "deal_id", keep=("engagement_id", "deal_id"))
 
 
 _ALL_TYPES = C.PC_ACTIVITY_TYPES + C.RC_ACTIVITY_TYPES + C.PWC_ACTIVITY_TYPES + C.WB_ACTIVITY_TYPES
