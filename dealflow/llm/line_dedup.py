@@ -31,7 +31,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
 
     A null or empty text is one empty line. Keys shorter than ``min_chars`` code points are
     never dropped. Rows with a null id count as one document that comes after all others.
-    Rows that repeat an id count as one document, and each loses the same lines. Other
+    Rows that repeat an id count as one document, and each loses the same lines; positions are
+    kept once for each (id, text), however many rows repeat it. Other
     columns of ``docs``, whatever their names, are not looked at. No rows give no rows.
     """
     base = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(MAX_ID)).alias("__id"),
@@ -43,7 +44,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     first = cut(at.groupBy("h1", "h2").agg(F.min("__id").alias("first"), F.max("__id").alias("last"))
                 .where("first < last").select("h1", "h2", "first"), "first-lines")
     gone = (at.join(first, ["h1", "h2"]).where("__id <> first")
-            .groupBy("__id", "__version").agg(F.collect_list("pos").alias("gone")))
+            .groupBy("__id", "__version").agg(F.collect_set("pos").alias("gone")))
     n = F.size("__lines")
     stay = F.array_except(F.sequence(F.lit(0), n - 1), F.col("gone"))
     lines = F.col("__lines")

@@ -40,3 +40,14 @@ def test_edge_cases(docs, clashing, edge_rows):
 def test_plan_is_native(docs):
     plan = dedup_lines(docs([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_many_repeated_rows_take_linear_work(spark, docs):
+    """50,000 rows of one id and text share each row's 40 lines with an earlier document."""
+    from pyspark.sql import functions as F
+
+    text = "\n".join(f"a line that is shared, number {i}" for i in range(40))
+    rows = docs([(1, text)]).unionByName(spark.range(50_000).select(
+        F.lit(None).cast("bigint").alias("doc_id"), F.lit(text).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("bigint").alias("n_chars")))
+    out = dedup_lines(rows).groupBy("doc_id", "n_dropped", "kept").count().collect()
+    assert sorted((r.doc_id or 0, r.n_dropped, len(r.kept), r["count"]) for r in out) == [(0, 40, 0, 50_000), (1, 0, len(text), 1)]
