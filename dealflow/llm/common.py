@@ -96,6 +96,13 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a DDL string (on the driver: its parser is Spark's)."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return to_arrow_schema(T._parse_datatype_string(ddl))
+
+
 def add_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
                 make: Callable[[], Callable[[list], list[list]]], keep: list[str] | None = None) -> DataFrame:
     """``df`` with the columns ``fields`` that ``make()(texts)`` computes from the texts of a

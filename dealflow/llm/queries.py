@@ -134,3 +134,17 @@ def op9_ngram_jaccard_join(spark, sf_dir):
     from dealflow.llm.near_dup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_packing(spark, sf_dir):
+    from dealflow.llm.packing import cut_pieces, pack
+
+    return pack(cut_pieces(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")))
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    from dealflow.llm.conversation import damage, repair
+
+    return repair(damage(table(spark, sf_dir, "conversations")))
