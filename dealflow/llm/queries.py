@@ -148,3 +148,10 @@ def op13_conversation_repair(spark, sf_dir):
     from dealflow.llm.conversation import damage, repair
 
     return repair(damage(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op11_embedding_whitening(spark, sf_dir):
+    from dealflow.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))

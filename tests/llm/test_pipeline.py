@@ -74,5 +74,5 @@ def test_queries_are_registered_once_each():
     import __spark_entry__ as E
 
     names = [n for n in E.queries() if n.startswith("op") or n == "pipeline"]
-    assert len(names) == 11 and {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 11))
+    assert len(names) == 14 and {int(n[2:].split("_")[0]) for n in names if n != "pipeline"} == set(range(1, 14))
     assert importlib.util.find_spec("corpus_pipeline")
