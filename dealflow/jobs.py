@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealflow.config import DEFAULT, PipelineConfig
+from dealflow.functions.dates import ntz_lit
 from dealflow.operators import quality as Q
 from dealflow.operators import reconcile as RC
+from dealflow.operators import staging as ST
 from dealflow.plans.context import Models
 from dealflow.sources import dims, scans
+from dealflow.sources.versions import VersionedTable, digest_columns
 
 LANDED_TABLES = {
     "raw_deal": "DEAL",
@@ -28,9 +31,11 @@ LANDED_TABLES = {
 }
 MARTS = {"cash": "fct_renewal_cash", "won_fct": "fct_renewal_won_deals", "meetings_fct": "fct_renewal_meetings",
          "entries": "fct_renewal_stage_entries", "snapshot": "fct_renewal_pipeline_snapshot"}
-# (date column, row key) per mart: the table is partitioned by the date, so window filters
-# prune whole directories; rows are range-partitioned on (date, key) before the write, so
-# each task writes few dates and a hot day is spread over several tasks.
+REPORT = "rpt_renewal_closer_dashboard"
+LOADED = "_fivetran_synced"
+# (date column, row key) per mart: rows are filed by the date, so window filters prune whole
+# folders; they are range-partitioned on (date, key) before the write, so each task writes few
+# dates and a hot day is spread over several tasks.
 PARTITIONING = {"cash": ("cash_date_et", "deal_id"), "won_fct": ("close_date_et", "deal_id"),
                 "meetings_fct": ("meeting_date_et", "meeting_id"), "entries": ("entry_date_et", "deal_id"),
                 "snapshot": ("entry_date_et", "deal_id")}
@@ -79,43 +84,134 @@ def freshness(spark: SparkSession, landing_dir: str, now: _dt.datetime, fmt: str
     return scans.freshness({LANDED_TABLES[k]: df for k, df in landing(spark, landing_dir, fmt).items()}, now)
 
 
-def build(models: Models, out_dir: str, partition: bool = True, partitions: int | None = None, since: _dt.date | None = None,
-          database: str | None = None) -> dict[str, str]:
-    """Write the marts and the report as parquet tables; returns name -> path.
-
-    The models are staged once, as tables under ``out_dir``; marts and report read those. With
-    ``partition`` each mart is partitioned by its date column (``PARTITIONING``); then ``since``
-    replaces only the days from that one on. ``partitions`` sets the number of write tasks
-    (default: the session's shuffle partitions, adjusted by AQE). With ``database`` every mart is
-    also published there as a table (S7)."""
-    if since is not None and not partition:
-        raise ValueError("since needs marts that are partitioned by their day")
-    models.materialize(f"{out_dir}/_stage/{uuid.uuid4().hex}")
-    out = {}
-    for attr, name in MARTS.items():
-        path = f"{out_dir}/{name}"
-        df = getattr(models, attr)
-        write = df.write.mode("overwrite")
-        if partition:
-            date_col, key = PARTITIONING[attr]
-            df = df if since is None else df.filter(F.col(date_col) >= F.lit(since))
-            df = df.repartitionByRange(*([partitions] if partitions else []), date_col, key)
-            write = df.write.mode("overwrite").partitionBy(date_col)
-            write = write if since is None else write.option("partitionOverwriteMode", "dynamic")
-        write.parquet(path)
-        out[name] = path
-    path = f"{out_dir}/rpt_renewal_closer_dashboard"
-    models.report().write.mode("overwrite").parquet(path)
-    out["rpt_renewal_closer_dashboard"] = path
+def mart(spark: SparkSession, out_dir: str, name: str) -> VersionedTable:
+    """The published mart or report ``name`` under ``out_dir``."""
+    if name == REPORT:
+        return VersionedTable(spark, f"{out_dir}/{name}", None, "closer_owner_id")
+    day, key = PARTITIONING[next(a for a, n in MARTS.items() if n == name)]
+    return VersionedTable(spark, f"{out_dir}/{name}", day, key)
+
+
+def read_mart(spark: SparkSession, out_dir: str, name: str, version: int | None = None) -> DataFrame:
+    return mart(spark, out_dir, name).read(version)
+
+
+def _facts(models: Models) -> dict:
+    """What marts depend on besides the landed rows: the run's day, the configuration and the
+    dimensions, which are small and whole in every build."""
+    dims_ = {}
+    for n in ("closers", "stages", "product_map", "tier_map"):
+        df = getattr(models, n)
+        r = df.agg(*digest_columns(df)).collect()[0]
+        dims_[n] = f"{r['rows']},{r['one']},{r['two']}"
+    return {"as_of": str(models.as_of), "config": repr(models.cfg), "dimensions": dims_}
+
+
+class _Stage:
+    """A scratch folder below ``out_dir`` that goes with the build."""
+
+    def __init__(self, spark: SparkSession, out_dir: str):
+        self.spark, self.root = spark, f"{out_dir}/_stage/{uuid.uuid4().hex}"
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def build(models: Models, out_dir: str, partitions: int | None = None, database: str | None = None) -> dict[str, str]:
+    """Publish the marts and the report as versioned tables (``mart``); returns name -> folder.
+
+    The models are computed once, as tables in a folder that is deleted at the end. Each mart is filed
+    by its date column (``PARTITIONING``); days whose rows did not change keep their files, so
+    building again writes only what differs. ``partitions`` sets the number of write tasks
+    (default: the session's shuffle partitions, adjusted by AQE). With ``database`` each is also a
+    view there, which other sessions find."""
+    spark, facts = models.spark, _facts(models)
+    with _Stage(spark, out_dir) as stage:
+        staged = models.fork()
+        staged.materialize(stage.root)
+        for attr, name in MARTS.items():
+            mart(spark, out_dir, name).publish(getattr(staged, attr), facts, partitions)
+    return _publish_report(models, out_dir, facts, database)
+
+
+def _publish_report(models: Models, out_dir: str, facts: dict, database: str | None) -> dict[str, str]:
+    """The report from the published marts, and all of them in the catalog."""
+    spark = models.spark
+    at = {a: read_mart(spark, out_dir, n) for a, n in MARTS.items()}
+    report = models.fork(cash=at["cash"], won=at["won_fct"], meetings_fct=at["meetings_fct"]).report()
+    mart(spark, out_dir, REPORT).publish(report, facts)
+    names = [*MARTS.values(), REPORT]
     if database is not None:
-        spark = models.spark
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        for name, where in out.items():
-            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{name}`")
-            spark.catalog.createTable(f"{database}.{name}", path=where, source="parquet")
-            if partition and name in MARTS.values():
-                spark.sql(f"MSCK REPAIR TABLE `{database}`.`{name}`")
-    return out
+        for n in names:
+            mart(spark, out_dir, n).create_view(n, database)
+    return {n: f"{out_dir}/{n}" for n in names}
+
+
+def changed_keys(models: Models, published_meetings: DataFrame, since: _dt.datetime, stage) -> tuple[DataFrame, DataFrame]:
+    """(deal_id), (meeting_id) whose mart rows may differ from the published ones, by the landed rows
+    loaded at or after ``since`` (or without a load time).
+
+    A deal changes with its row, its contact links and their contacts. A meeting changes with its
+    row, its deal links, and the pipeline of a linked deal; then every meeting of the deals that
+    such a meeting is, or was, linked to, because the first call among them may be another."""
+    def recent(df: DataFrame) -> DataFrame:
+        t = scans.optional_col(df, LOADED, "timestamp_ntz")
+        return df.filter(t.isNull() | (t >= ntz_lit(since)))
+
+    links, contact_links = models.raw_engagement_deal, models.raw_deal_contact
+    contacts = recent(models.raw_contact).select(F.col("id").cast("string").alias("__contact")).distinct()
+    by_contact = contact_links.join(contacts, F.col("contact_id").cast("string") == F.col("__contact"), "left_semi")
+    own = recent(models.raw_deal).select(F.col("deal_id").cast("long").alias("deal_id"))
+    linked = recent(contact_links).unionByName(by_contact).select(F.col("deal_id").cast("long").alias("deal_id"))
+    # Soft-deleted rows are rows here: they have a new load time, and their deals' rows vanish.
+    deals = stage.write(own.unionByName(linked).filter("deal_id is not null").distinct(), "changed_deals")
+    meeting = lambda df: df.select(F.col("engagement_id").cast("long").alias("meeting_id"))
+    of_deals = links.join(own.distinct(), links["deal_id"].cast("long") == own["deal_id"], "left_semi")
+    first = stage.write(meeting(recent(models.raw_meeting)).unionByName(meeting(recent(links))).unionByName(meeting(of_deals))
+                        .filter("meeting_id is not null").distinct(), "changed_meetings")
+    now = ST.one_deal_per_meeting(links.join(first, links["engagement_id"].cast("long") == first["meeting_id"], "left_semi"), models.deals, models.cfg)
+    was = published_meetings.join(first, "meeting_id", "left_semi")
+    around = now.select("deal_id").unionByName(was.select("deal_id")).filter("deal_id is not null").distinct()
+    same_deal = published_meetings.join(around, "deal_id", "left_semi").select("meeting_id")
+    return deals, stage.write(first.unionByName(same_deal).distinct(), "touched_meetings")
+
+
+def increment(models: Models, out_dir: str, since: _dt.datetime, partitions: int | None = None, database: str | None = None) -> dict[str, str]:
+    """Bring published marts up to date with the landed rows loaded at or after ``since``: the rows of the
+    deals and meetings that these touch are computed, and merged by key. The result equals a build
+    of everything, whether rows changed, moved to another day, lost their day or vanished; only
+    rows that were deleted from the landing without a trace need a ``build``, as do marts that were
+    never built.
+
+    Where the dimensions or the configuration differ from the published ones all is built, and where
+    the run's day differs the snapshot is, as its due buckets depend on it."""
+    spark, facts = models.spark, _facts(models)
+    tables = {a: mart(spark, out_dir, n) for a, n in MARTS.items()}
+    had = {a: t.manifest() for a, t in tables.items()}
+    base = lambda f: {k: v for k, v in f.items() if k != "as_of"}
+    if any(m is None or base(m["facts"]) != base(facts) for m in had.values()):
+        return build(models, out_dir, partitions, database)
+    with _Stage(spark, out_dir) as stage:
+        deals, meetings = changed_keys(models, tables["meetings_fct"].read(), since, stage)
+        only = lambda df, col, keys, key: df.join(keys, df[col].cast("long") == keys[key], "left_semi")
+        by_deal = models.fork(raw_deal=only(models.raw_deal, "deal_id", deals, "deal_id"), raw_deal_contact=only(models.raw_deal_contact, "deal_id", deals, "deal_id"))
+        by_meeting = models.fork(raw_meeting=only(models.raw_meeting, "engagement_id", meetings, "meeting_id"),
+                                 raw_engagement_deal=only(models.raw_engagement_deal, "engagement_id", meetings, "meeting_id"))
+        for attr, t in tables.items():
+            if attr == "snapshot" and had[attr]["facts"] != facts:
+                t.publish(stage.write(models.fork().snapshot, "snapshot"), facts, partitions)
+            else:
+                graph, keys = (by_meeting, meetings) if attr == "meetings_fct" else (by_deal, deals)
+                t.merge(stage.write(getattr(graph, attr), attr), keys, facts, partitions)
+    return _publish_report(models, out_dir, facts, database)
 
 
 def quality(models: Models) -> DataFrame:

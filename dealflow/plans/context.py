@@ -109,6 +109,16 @@ class Models:
                 cls._cache[key] = m
         return m
 
+    def fork(self, **nodes) -> "Models":
+        """A graph of its own over the same inputs, with ``nodes`` put in place of its inputs; nodes of
+        this graph that depend on others are built anew there, unless none of their inputs changed."""
+        out = Models(self.spark, self.sf_dir, self.as_of, self.cfg, sources={n: self.__dict__[n] for n in self.given})
+        if not nodes:
+            out.__dict__.update({n: df for n, df in self.__dict__.items() if isinstance(df, DataFrame)})
+        out.__dict__.update(nodes)
+        out.given = out.given | frozenset(nodes)
+        return out
+
     def fingerprint(self) -> str:
         """Inputs (path, size, modification time), as_of, config, format version and a hash
         of this package's code and seeds (a code change never reuses old tables)."""

@@ -34,11 +34,13 @@ def test_models_from_landing_equal_stand_in_models(spark, landed):
 def test_build_quality_reconcile_audit(spark, landed, tmp_path):
     root, lazy = landed
     m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers, without_targets=True)
-    paths = jobs.build(m, str(tmp_path / "marts"))
-    assert spark.read.parquet(paths["rpt_renewal_closer_dashboard"]).count() == 5
+    out = str(tmp_path / "marts")
+    jobs.build(m, out)
+    assert jobs.read_mart(spark, out, jobs.REPORT).count() == 5
+    assert not os.listdir(f"{out}/_stage")  # nothing of the staged models is left
     from pyspark.sql import functions as F
 
-    cash = spark.read.parquet(paths["fct_renewal_cash"])
+    cash = jobs.read_mart(spark, out, "fct_renewal_cash")
     win = cash.filter(F.col("cash_date_et").between(*S.WINDOW))
     plan = win._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(cash_date_et" in plan
@@ -79,22 +81,6 @@ def test_targets_are_asked_for_and_freshness_covers_the_landing(spark, landed):
     assert got == {"DEAL": "pass", "ENGAGEMENT_MEETING": "warn", "ENGAGEMENT_DEAL": "pass", "DEAL_CONTACT": "error", "CONTACT": "pass"}
 
 
-def test_build_replaces_only_recent_days_and_publishes(spark, landed, tmp_path):
-    import datetime
-
-    root, lazy = landed
-    m = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers, without_targets=True)
-    paths = jobs.build(m, str(tmp_path / "marts"), database="renewal_marts")
-    read = lambda: sorted(map(tuple, spark.read.parquet(paths["fct_renewal_meetings"]).select("meeting_id", "meeting_date_et").collect()), key=str)
-    before = read()
-    assert spark.table("renewal_marts.fct_renewal_meetings").count() == len(before)
-    m2 = jobs.models_from_landing(spark, root, as_of=S.AS_OF, closers=lazy.closers, without_targets=True)
-    day = datetime.date(2001, 3, 10)
-    m2.__dict__["meetings_fct"] = m2.meetings_fct.filter("meeting_date_et <> DATE '2001-03-01'")  # an old day is missing from the new run
-    jobs.build(m2, str(tmp_path / "marts"), since=day)
-    assert read() == before
-
-
 def test_window_dates():
     assert jobs.window_dates("mtd", dt.date(2026, 3, 1)) == (dt.date(2026, 2, 1), dt.date(2026, 2, 28))
     assert jobs.window_dates("last7d", dt.date(2026, 8, 17)) == (dt.date(2026, 8, 10), dt.date(2026, 8, 16))
