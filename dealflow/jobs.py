@@ -32,6 +32,7 @@ LANDED_TABLES = {
 MARTS = {"cash": "fct_renewal_cash", "won_fct": "fct_renewal_won_deals", "meetings_fct": "fct_renewal_meetings",
          "entries": "fct_renewal_stage_entries", "snapshot": "fct_renewal_pipeline_snapshot"}
 REPORT = "rpt_renewal_closer_dashboard"
+CHECKS = "checks"
 LOADED = "_fivetran_synced"
 # (date column, row key) per mart: rows are filed by the date, so window filters prune whole
 # folders; they are range-partitioned on (date, key) before the write, so each task writes few
@@ -86,8 +87,8 @@ def freshness(spark: SparkSession, landing_dir: str, now: _dt.datetime, fmt: str
 
 def mart(spark: SparkSession, out_dir: str, name: str) -> VersionedTable:
     """The published mart or report ``name`` under ``out_dir``."""
-    if name == REPORT:
-        return VersionedTable(spark, f"{out_dir}/{name}", None, "closer_owner_id")
+    if name in (REPORT, CHECKS):
+        return VersionedTable(spark, f"{out_dir}/{name}", None, "closer_owner_id" if name == REPORT else "check")
     day, key = PARTITIONING[next(a for a, n in MARTS.items() if n == name)]
     return VersionedTable(spark, f"{out_dir}/{name}", day, key)
 
@@ -125,18 +126,30 @@ class _Stage:
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def build(models: Models, out_dir: str, partitions: int | None = None, database: str | None = None) -> dict[str, str]:
+class TestsFailed(RuntimeError):
+    """Tests of severity error found rows: nothing was published."""
+
+
+def build(models: Models, out_dir: str, partitions: int | None = None, database: str | None = None, tests: bool = False) -> dict[str, str]:
     """Publish the marts and the report as versioned tables (``mart``); returns name -> folder.
 
     The models are computed once, as tables in a folder that is deleted at the end. Each mart is filed
     by its date column (``PARTITIONING``); days whose rows did not change keep their files, so
     building again writes only what differs. ``partitions`` sets the number of write tasks
     (default: the session's shuffle partitions, adjusted by AQE). With ``database`` each is also a
-    view there, which other sessions find."""
+    view there, which other sessions find. With ``tests`` the models are tested while they are
+    written; the results are published as ``checks``, and where a test of severity error finds rows
+    no mart is published (``TestsFailed``)."""
     spark, facts = models.spark, _facts(models)
     with _Stage(spark, out_dir) as stage:
         staged = models.fork()
-        staged.materialize(stage.root)
+        if tests:
+            checks = stage.write(Q.staged_checks(staged, stage.root), "checks")
+            VersionedTable(spark, f"{out_dir}/{CHECKS}", None, "check").publish(checks, facts)
+            if bad := checks.filter("severity = 'error' and failing_rows > 0").collect():
+                raise TestsFailed("; ".join(f"{r['check']}: {r['failing_rows']}" for r in bad))
+        else:
+            staged.materialize(stage.root)
         for attr, name in MARTS.items():
             mart(spark, out_dir, name).publish(getattr(staged, attr), facts, partitions)
     return _publish_report(models, out_dir, facts, database)

@@ -102,27 +102,95 @@ def failing(column: str, test: str):
     return {"not_null": lambda: c.isNull(), "values": lambda: ~c.isin(*ACCEPTED[column]), "nonneg": lambda: c < 0}[test]()
 
 
-def declared_checks(tables: dict[str, DataFrame], declared=DECLARED) -> DataFrame:
-    """The declared tests as (check, severity, failing_rows): all row-level tests of a table in one
-    aggregate, each uniqueness test by its key."""
-    name = lambda d: f"{d[0]}.{d[1]} {d[2]}"
-    parts = []
-    for table in dict.fromkeys(d[0] for d in declared):
-        rows = [d for d in declared if d[0] == table and d[2] != "unique"]
-        if rows:
-            counted = tables[table].agg(*[F.count_if(failing(d[1], d[2])).alias(f"c{i}") for i, d in enumerate(rows)])
-            parts.append(counted.select(F.inline(F.array(*[F.struct(F.lit(name(d)).alias("check"), F.lit(d[3]).alias("severity"), F.col(f"c{i}").alias("failing_rows"))
-                                                           for i, d in enumerate(rows)]))))
-        parts += [run_checks([(name(d), d[3], check_unique(tables[table], d[1]))]) for d in declared if d[0] == table and d[2] == "unique"]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def model_checks(m) -> DataFrame:
-    """Declared tests, the first-call rule, and checks that the models do not declare, over a
-    ``plans.context.Models`` graph."""
-    tables = {t: m.report() if t == "report" else getattr(m, t) for t in dict.fromkeys(d[0] for d in DECLARED)}
-    return declared_checks(tables).unionByName(run_checks([
-        ("first call dedup", "error", check_first_call(m.meetings_fct)),
-        ("tier_map key unique after normalising", "error", normalised_key_conflicts(m.tier_map, "active_product_snapshot_at_won")),
-        ("deals on stages missing from stages", "warn", unmapped_stages(m.deals, m.stages)),
-    ]))
+def test_name(declared) -> str:
+    return f"{declared[0]}.{declared[1]} {declared[2]}"
+
+
+def row_tests(table: str, declared=DECLARED) -> list:
+    """The declared row-level tests of a table as aggregates: how many rows fail each."""
+    return [F.count_if(failing(d[1], d[2])).alias(test_name(d)) for d in declared if d[0] == table and d[2] != "unique"]
+
+
+def observed(table: str, df: DataFrame, declared=DECLARED):
+    """(``df``, observation): the table's row-level tests counted while ``df`` is written, without a
+    pass of their own. The observation is the last step before the write, in its result stage, so
+    a task that runs again is counted once. (None: the table has no such test.)"""
+    from pyspark.sql import Observation
+
+    tests = row_tests(table, declared)
+    if not tests:
+        return df, None
+    seen = Observation(f"tests of {table}")
+    return df.observe(seen, *tests), seen
+
+
+def duplicate_keys(tables: dict[str, DataFrame], declared=DECLARED) -> DataFrame:
+    """(check, key, n) of every uniqueness test: the keys that occur more than once.
+
+    All tables go through one aggregate of (test, 64-bit hash of the key), with partial combine. Only
+    keys whose hash occurs twice are then grouped by the key itself; those hashes are few (real
+    duplicates, and about n^2 / 2^65 chance ones), and a hash join brings their keys back."""
+    key = lambda d: tables[d[0]].select(F.lit(test_name(d)).alias("check"), F.col(d[1]).cast("string").alias("key")).filter(F.col("key").isNotNull())
+    keys = reduce(DataFrame.unionByName, [key(d) for d in declared if d[2] == "unique"]).withColumn("hash", F.xxhash64("key"))
+    twice = keys.groupBy("check", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("check", "hash")
+    return keys.join(twice, ["check", "hash"], "left_semi").groupBy("check", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
+def tally(spark, known, offenders: list[DataFrame]) -> DataFrame:
+    """(check, severity, failing_rows) of all checks from ``known`` (check, severity, rows already counted)
+    and the rows of ``offenders``, each with the name of its check: one aggregate for all."""
+    zeros = spark.createDataFrame(list(known), "check string, severity string, n bigint")
+    each = [df.select("check", F.lit(None).cast("string").alias("severity"), F.lit(1).cast("bigint").alias("n")) for df in offenders]
+    return (reduce(DataFrame.unionByName, [zeros, *each]).groupBy("check")
+            .agg(F.max("severity").alias("severity"), F.sum("n").alias("failing_rows")))
+
+
+def failing_rows(tables: dict[str, DataFrame], declared=DECLARED) -> list[DataFrame]:
+    """The row-level tests of each table as a DataFrame with a row for every (row, failed test), named."""
+    out = []
+    for table, df in tables.items():
+        tests = [F.when(failing(d[1], d[2]), F.lit(test_name(d))) for d in declared if d[0] == table and d[2] != "unique"]
+        if tests:
+            out.append(df.select(F.explode(F.array(*tests)).alias("check")).filter(F.col("check").isNotNull()))
+    return out
+
+
+def declared_checks(tables: dict[str, DataFrame], declared=DECLARED, counted: dict | None = None) -> DataFrame:
+    """The declared tests as (check, severity, failing_rows), lazily. ``counted`` ({table: {test: rows}}):
+    row-level tests that were ``observed`` already."""
+    return _checks(tables, declared, counted or {}, (), None)
+
+
+def _checks(tables, declared, counted, more_names, more) -> DataFrame:
+    known = [(test_name(d), d[3], int(counted.get(d[0], {}).get(test_name(d), 0))) for d in declared] + [(n, sev, 0) for n, sev in more_names]
+    rest = {t: df for t, df in tables.items() if t not in counted}
+    spark = next(iter(tables.values())).sparkSession
+    return tally(spark, known, [duplicate_keys(tables, declared), *failing_rows(rest, declared), *(more or ())])
+
+
+def undeclared(m) -> dict[tuple[str, str], DataFrame]:
+    """The first-call rule, and checks that the models do not declare: (name, severity) -> offending rows."""
+    return {
+        ("first call dedup", "error"): check_first_call(m.meetings_fct),
+        ("tier_map key unique after normalising", "error"): normalised_key_conflicts(m.tier_map, "active_product_snapshot_at_won"),
+        ("deals on stages missing from stages", "warn"): unmapped_stages(m.deals, m.stages),
+    }
+
+
+def model_checks(m, counted: dict | None = None, report: DataFrame | None = None) -> DataFrame:
+    """Declared and undeclared tests over a ``plans.context.Models`` graph, lazily: a model that is not
+    written is computed anew for each test that needs it (``staged_checks`` writes each once)."""
+    tables = {t: (report if report is not None else m.report()) if t == "report" else getattr(m, t) for t in dict.fromkeys(d[0] for d in DECLARED)}
+    more = undeclared(m)
+    return _checks(tables, DECLARED, counted or {}, list(more), [df.select(F.lit(n).alias("check")) for (n, _), df in more.items()])
+
+
+def staged_checks(m, root: str | None = None) -> DataFrame:
+    """The same rows as ``model_checks``, from models that are written once (``Models.materialize``; a
+    ``root`` of None is the session's shared checkpoint folder) and observed while they are. What is
+    left for the result is one aggregate of all keys, the dimensions' few rows and the first-call rule."""
+    counted = m.materialize(root, tests=True)
+    report, seen = observed("report", m.report())
+    path = f"{m.materialized_at}/report"
+    report.write.mode("overwrite").parquet(path)
+    return model_checks(m, {**counted, "report": seen.get}, m.spark.read.parquet(path))

@@ -132,13 +132,18 @@ class Models:
             parts.append(f"{path}:{st.getLength()}:{fs.getFileStatus(p).getModificationTime()}")
         return hashlib.sha1("|".join(parts).encode()).hexdigest()[:16]
 
-    def materialize(self, root: str | None = None, levels: int = len(LEVELS)) -> str:
+    def materialize(self, root: str | None = None, levels: int = len(LEVELS), tests: bool = False):
         """Write landed tables and models once (skipped when already written for the same
-        inputs), or the first ``levels`` of them, and re-point this graph at them. Writes go through the job commit
-        protocol, so a lost executor only retries its tasks; a table counts as present
-        only once its ``_SUCCESS`` marker exists."""
+        inputs), or the first ``levels`` of them, and re-point this graph at them; returns the folder. Writes go
+        through the job commit protocol, so a lost executor only retries its tasks; a table
+        counts as present only once its ``_SUCCESS`` marker exists.
+
+        With ``tests`` the declared row-level tests of each table are counted while it is written (or
+        in one aggregate, where it is there already) and returned instead: {table: {test: rows}}."""
+        from dealflow.operators import quality as Q
         from dealflow.session import ensure_checkpoint_dir
 
+        counted: dict[str, dict] = {}
         root = root or os.path.join(ensure_checkpoint_dir(self.spark), "dealflow-tables", self.fingerprint())
 
         def write(name: str) -> None:
@@ -149,7 +154,12 @@ class Models:
                 df = getattr(self, name)
                 if name in CLUSTER_BY:
                     df = df.sortWithinPartitions(CLUSTER_BY[name])
+                df, seen = Q.observed(name, df) if tests else (df, None)
                 df.write.mode("overwrite").parquet(path)
+                if seen is not None:
+                    counted[name] = seen.get
+            elif tests and (aggs := Q.row_tests(name)):
+                counted[name] = self.spark.read.parquet(path).agg(*aggs).collect()[0].asDict()
 
         from concurrent.futures import ThreadPoolExecutor
 
@@ -162,7 +172,7 @@ class Models:
                 if name not in self.given:
                     self.__dict__[name] = self.spark.read.parquet(f"{root}/{name}")
         self.materialized_at = root
-        return root
+        return counted if tests else root
 
     # second system (reconciliation)
     @cached_property

@@ -116,8 +116,9 @@ _EXTRA_CHECKS = (
 @register("q7_check_summary", sql(" UNION ALL ".join(
     [_declared_sql(*d) for d in Q.DECLARED] + [f"SELECT {q(n)}, '{sev}', count(*) FROM {rows}" for n, sev, rows in _EXTRA_CHECKS])))
 def q7_check_summary(spark, sf_dir):
-    """All tests of the models as one (check, severity, failing_rows) table."""
-    return Q.model_checks(Models.of(spark, sf_dir))
+    """All tests of the models as one (check, severity, failing_rows) table; the models are written once, to
+    the shared checkpoint folder, and tested as they are."""
+    return Q.staged_checks(Models.of(spark, sf_dir).fork())
 
 
 # ---------------------------------------------------------------- R
