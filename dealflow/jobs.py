@@ -240,10 +240,9 @@ def reconcile(models: Models, other_deals: DataFrame, other_meetings: DataFrame,
     defs = RC.snapshot_metrics_defs(dims.seed_rows("dim_renewal_stages"))
     metrics = RC.BASE_METRICS + defs
     cols = [d.id.split(".", 1)[1] for d in defs]
-    a = RC.warehouse_side(models.cash, models.won_fct, models.meetings_fct, models.snapshot, models.closers, s, e,
-                          snapshot_cols=cols)
-    b = RC.other_side(other_deals, other_meetings, models.closers, metrics, s.isoformat(), e.isoformat())
-    out = RC.reconcile(a, b, metrics, requested=metric_ids)
+    al = RC.aligned_sides(models.cash, models.won_fct, models.meetings_fct, models.snapshot, other_deals, other_meetings, models.closers, metrics,
+                          s.isoformat(), e.isoformat(), snapshot_cols=cols)
+    out = RC.reconcile(None, None, metrics, requested=metric_ids, aligned=al)
     own = F.col("owner_id")
     out = out.filter(own.isNull() if owner is None else own == F.lit(str(owner)))
     return out.withColumn("window_start", F.lit(s)).withColumn("window_end", F.lit(e))

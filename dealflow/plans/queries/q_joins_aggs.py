@@ -135,28 +135,18 @@ def j14_with_midpoint(spark, sf_dir):
     return d.select("deal_id", "membership_start_date_et", "membership_expiration_date_et", "pc_due_midpoint_et")
 
 
-def sides(spark, sf_dir):
-    """(side A long, side B long, metrics) for the stand-in window."""
+def metric_definitions() -> tuple:
     from dealflow.sources.dims import seed_rows
 
-    m = Models.of(spark, sf_dir)
-    cached = getattr(m, "_sides", None)
-    if cached is not None:
-        return cached
-    snap_defs = RC.snapshot_metrics_defs(seed_rows("dim_renewal_stages"))
-    cols = [d.id.split(".", 1)[1] for d in snap_defs]
-    metrics = RC.BASE_METRICS + snap_defs
-    a = RC.warehouse_side(m.cash, m.won_fct, m.meetings_fct, m.snapshot, m.closers, *S.WINDOW, snapshot_cols=cols)
-    b = RC.other_side(m.other_deals, m.other_meetings, m.closers, metrics,
-                      S.WINDOW[0].isoformat(), S.WINDOW[1].isoformat())
-    m._sides = (a, b, metrics)
-    return m._sides
+    return RC.BASE_METRICS + RC.snapshot_metrics_defs(seed_rows("dim_renewal_stages"))
 
 
 def aligned(spark, sf_dir):
-    """Both sides aligned: one row per metric and owner."""
-    a, b, _ = sides(spark, sf_dir)
-    return RC.align(a, b)
+    """Both sides over the stand-in window: one row per metric and owner."""
+    m, metrics = Models.of(spark, sf_dir), metric_definitions()
+    buckets = [d.id.split(".", 1)[1] for d in metrics[len(RC.BASE_METRICS):]]
+    return RC.aligned_sides(m.cash, m.won_fct, m.meetings_fct, m.snapshot, m.other_deals, m.other_meetings, m.closers, metrics,
+                            S.WINDOW[0].isoformat(), S.WINDOW[1].isoformat(), snapshot_cols=buckets)
 
 
 @register("j15_align", sql("SELECT metric_id, owner_id, a_value, b_value FROM aligned"))

@@ -12,7 +12,7 @@ from dealflow.operators import reconcile as RC
 from dealflow.plans import standins as S
 from dealflow.plans.context import Models
 from dealflow.plans.oracle import W_END, W_START, lst, q, sql
-from dealflow.plans.queries.q_joins_aggs import aligned, sides
+from dealflow.plans.queries.q_joins_aggs import aligned, metric_definitions
 from dealflow.plans.registry import register
 
 REPORT_COLS = ("metric_id", "metric_name", "owner_id", "verdict", "a_value", "b_value", "detail")
@@ -20,8 +20,7 @@ WIN = f"BETWEEN DATE '{W_START}' AND DATE '{W_END}'"
 
 
 def reconcile_full(spark, sf_dir, requested=None) -> DataFrame:
-    a, b, metrics = sides(spark, sf_dir)
-    return RC.reconcile(a, b, metrics, requested=requested, aligned=aligned(spark, sf_dir))
+    return RC.reconcile(None, None, metric_definitions(), requested=requested, aligned=aligned(spark, sf_dir))
 
 
 def reconcile_report(spark, sf_dir) -> DataFrame:

@@ -420,3 +420,29 @@ def test_freshness_statuses(spark):
     sources = {"A": one(1), "B": one(0), "C": spark.createDataFrame([], "x int"), "D": one(1).filter("false")}
     got = {r.source: (r.age_hours, r.status) for r in scans.freshness(sources, dt.datetime(2026, 8, 17, 5, 0)).collect()}
     assert got == {"A": (4.0, "pass"), "B": (5.0, "warn"), "C": (None, "error"), "D": (None, "error")}
+
+
+def test_aligned_sides_equal_the_join_of_both_sides(spark):
+    """Owners off the roster and NULL owners count for the team only; a roster owner without rows has the
+    defaults; empty tables leave the team row."""
+    day = dt.date(2024, 1, 5)
+    cash = spark.createDataFrame([("1", day, 10.0, "ACC_TIER"), ("9", day, 5.0, "MM_TIER"), (None, day, 2.0, "X"), ("1", day + dt.timedelta(days=60), 99.0, "X")],
+                                 "closer_owner_id string, cash_date_et date, cash_amount double, product_column string")
+    won = spark.createDataFrame([("1", day, True), ("9", day, False)], "closer_owner_id string, close_date_et date, is_post_webinar_close boolean")
+    calls = spark.createDataFrame([("2", day, True, "RC"), (None, day, True, "PC")], "closer_owner_id string, meeting_date_et date, is_completed boolean, meeting_category string")
+    snap = spark.createDataFrame([("1", "pc_invited"), ("2", "wb_eligible")], "closer_owner_id string, snapshot_col string")
+    props = {p for m in RC.BASE_METRICS if m.obj == "deals" for p in [r.prop for r in m.filters] + [c for pair in m.components for c in pair]}
+    deals = spark.createDataFrame([("1", "1359841792"), ("9", "1359841792"), (None, "240516941")], "hubspot_owner_id string, dealstage string")
+    deals = deals.select("*", *[F.lit("2024-01-05" if p.endswith("date") else None).cast("double" if "amount" in p and "date" not in p else "string").alias(p) for p in sorted(props - {"hubspot_owner_id", "dealstage"})])
+    meetings = spark.createDataFrame([("2", "Renewal Strategy", "COMPLETED", "2024-01-05T12:00:00Z")], "hubspot_owner_id string, hs_activity_type string, hs_meeting_outcome string, hs_meeting_start_time string")
+    closers = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", "c")], "owner_id string, closer_name string")
+    for some in (lambda df: df, lambda df: df.limit(0)):
+        sides = [some(x) for x in (cash, won, calls, snap)], [some(x) for x in (deals, meetings)]
+        a = RC.warehouse_side(*sides[0], closers, "2024-01-01", "2024-01-31")
+        b = RC.other_side(*sides[1], closers, RC.BASE_METRICS, "2024-01-01", "2024-01-31")
+        want = {tuple(r) for r in RC.align(a, b).collect()}
+        got = RC.aligned_sides(*sides[0], *sides[1], closers, RC.BASE_METRICS, "2024-01-01", "2024-01-31")
+        assert {tuple(r) for r in got.collect()} == want and len(want) == got.count() == 4 * len(RC.BASE_METRICS)
+    values = {(r.metric_id, r.owner_id): (r.a_value, r.b_value) for r in RC.aligned_sides(cash, won, calls, snap, deals, meetings, closers, RC.BASE_METRICS, "2024-01-01", "2024-01-31").collect()}
+    assert values["total_cash", None] == (17.0, 0.0) and values["total_cash", "1"] == (10.0, 0.0) and values["total_cash", "3"] == (None, 0.0)
+    assert values["pc_invited", None] == (1.0, 3.0) and values["rc_completed", "2"] == (1.0, 1.0) and values["rc_completed", "1"] == (0.0, 0.0)
