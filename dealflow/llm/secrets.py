@@ -23,7 +23,9 @@ from dealflow.llm.common import add_columns, cut, slices
 KINDS = ("assign", "access", "hex", "grammar")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS, HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What may be a credential: the characters and the least length of the assigned ones. Every such run is
+#: scored, and the likelihoods decide.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
 HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Symbol classes: 0 anything else, then digits, a-f, g-z, A-F, G-Z and each joining sign.
 CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+", "/", "_", ".", "=", "-")
@@ -43,21 +45,16 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(out)
 
 
-def candidates(text: str, taken: list[tuple[int, int, int, str]]) -> list[tuple[int, int, str]]:
-    """Runs of 16 and more token characters with a digit and a letter that touch no span in
-    ``taken``. A span is never longer than its run, so the neighbours by start decide."""
-    out, starts, reach = [], [s[0] for s in taken], []
+def likely(text: str, taken: list[tuple[int, int, int, str]], accepts) -> list[tuple[int, int]]:
+    """The runs of token characters that ``accepts`` likes and that touch no span in ``taken``. A span is
+    never longer than its run, so the neighbours by start decide."""
+    found = [m.span() for m in CANDIDATE.finditer(text) if accepts(m.group())]
+    if not found or not taken:
+        return found
+    starts, reach = [s[0] for s in taken], []
     for s in taken:
         reach.append(max(s[2], reach[-1] if reach else 0))
-    for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        i = bisect.bisect_left(starts, b)
-        if i and reach[i - 1] > a:
-            continue
-        token = m.group()
-        if any("0" <= c <= "9" for c in token) and any(c.isalpha() for c in token):
-            out.append((a, b, token))
-    return out
+    return [(a, b) for a, b in found if not (i := bisect.bisect_left(starts, b)) or reach[i - 1] <= a]
 
 
 def symbols(token: str) -> list[int]:
@@ -160,7 +157,7 @@ class Grammar:
     """One automaton a kind, the corpus' class statistics, and each kind's least score."""
 
     def __init__(self, automata: list[Automaton], background: np.ndarray, samples: list[list[list[int]]], quantile: float):
-        self.automata = automata
+        self.automata, self.seen, self.most = automata, {}, 300_000
         rows = background[:, 1:] + 0.5  # within a token: the next class is never "anything else"
         self.background = np.log(rows / rows.sum(1, keepdims=True)).tolist()
         self.least = []
@@ -173,14 +170,23 @@ class Grammar:
         return (a.log_likelihood(s) - usual) / len(s)
 
     def accepts(self, token: str) -> bool:
-        s = symbols(token)
-        return any(self.per_symbol(a, s) >= least for a, least in zip(self.automata, self.least, strict=True))
+        """Whether some kind's automaton finds the token likelier than the corpus' statistics do, by as much as
+        its own credentials. Verdicts on short tokens are kept, up to a bound."""
+        known = self.seen.get(token)
+        if known is None:
+            s = symbols(token)
+            known = any(self.per_symbol(a, s) >= least for a, least in zip(self.automata, self.least, strict=True))
+            if len(token) <= 60:
+                if len(self.seen) >= self.most:
+                    self.seen.clear()
+                self.seen[token] = known
+        return known
 
 
 def fit(docs: DataFrame, text: str = "text", max_train: int = 1500, max_chars: int = 200, quantile: float = 0.02) -> Grammar:
     """Learn the grammar from the corpus itself. Each kind's labelled credentials are the
-    distinct values of its pattern over all texts; a bounded sample of them, the ``max_train``
-    values with the smallest hash among those of at most ``max_chars`` characters, builds its
+    distinct values of its pattern over all texts, of longer ones the first ``max_chars``
+    characters; a bounded sample of them, the ``max_train`` with the smallest hash, builds its
     automaton. Class statistics cover every byte of every text. A kind without a value gets
     no automaton; without any, nothing is accepted."""
 
@@ -191,7 +197,7 @@ def fit(docs: DataFrame, text: str = "text", max_train: int = 1500, max_chars: i
                 found = set()
                 for t in part.column(0).to_pylist():
                     if t:
-                        found.update((kind, value) for _, kind, _, value in base_spans(t) if len(value) <= max_chars)
+                        found.update((kind, value[:max_chars]) for _, kind, _, value in base_spans(t))
                         c = np.frombuffer(t.encode("utf-8", "replace").translate(BYTE_CLASS), np.uint8).astype(np.int64)
                         counts += np.bincount(c[:-1] * N + c[1:], minlength=N * N)
                 kinds, values = zip(*sorted(found), strict=True) if found else ((), ())
@@ -232,7 +238,7 @@ def find_secrets(docs: DataFrame, grammar: Grammar, text: str = "text", keep: li
             for t in texts:
                 spans = base_spans(t)
                 if g.automata:
-                    spans = spans + [(a, 3, b, "") for a, b, token in candidates(t, spans) if g.accepts(token)]
+                    spans = spans + [(a, 3, b, "") for a, b in likely(t, spans, g.accepts)]
                 out.append([{"kind": KINDS[k], "start": a, "end": b} for a, k, b, _ in sorted(spans)])
             return [out]
 

@@ -1,6 +1,9 @@
+import os
 import random
 import re
 
+import pytest
+
 from dealflow.llm import secrets as S
 
 
@@ -53,3 +56,26 @@ def test_edge_cases(spark, clashing, docs):
     assert out.count() == 15 and out.columns[-1] == "spans" and {len(r.spans) for r in out.collect()} == {0}
     empty = docs([])
     assert S.find_secrets(empty, S.fit(empty)).count() == 0
+
+
+def test_every_candidate_is_scored(spark, docs, prose):
+    """Short, dotted and lettered credentials are judged by the grammar, as are the given tables' words."""
+    r = random.Random(3)
+    key = lambda: "".join(r.choice("GHJKLMNPQRSTVWXZ") for _ in range(9)) + "." + "".join(r.choice("0123456789") for _ in range(2))
+    rows = [(i, f"{prose(i, 30)} token: {key()} {prose(i + 90, 9)}") for i in range(80)] + [(900, f"{prose(5, 9)} {(own := key())} {prose(6, 9)}"), (901, "password=" + "x7" * 400)]
+    df = docs(rows)
+    grammar = S.fit(df)
+    assert grammar.accepts(own) and not grammar.accepts("w123x4")
+    got = {x.doc_id: x.spans for x in S.find_secrets(df, grammar, keep=["doc_id"]).collect()}
+    assert [(s.kind, dict(rows)[900][s.start: s.end]) for s in got[900]] == [("grammar", own)]
+
+
+def test_given_tables_have_scored_candidates(spark):
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    df = spark.read.parquet(f"{sf}/documents.parquet")
+    grammar, asked = S.fit(df), set()
+    text = df.where("text is not null").orderBy("doc_id").first().text
+    S.likely(text, [], lambda token: asked.add(token))
+    assert len(asked) > 20 and grammar.automata and not any(grammar.accepts(t) for t in asked)
