@@ -46,9 +46,13 @@ class Benchmark:
     def __init__(self, items: list[tuple[int, str]], threshold: float = 0.8, statistics: tuple[int, np.ndarray, np.ndarray] | None = None):
         words = Words(seed=5)
         self.threshold, self.ids, self.sets = threshold, [], []
+        #: Items shorter than a shingle have one of all their words: by length, its hash and the items' ids.
+        self.short: dict[int, dict[int, list[int]]] = {}
         sizes = []
         for i, text in items:
             h, _ = flat_words([text], words, normal_words)
+            if 0 < len(h) < SHINGLE:
+                self.short.setdefault(len(h), {}).setdefault(int(grams(h, len(h))[0]), []).append(i)
             if len(h) >= SHINGLE:
                 self.ids.append(i)
                 self.sets.append(grams(h, SHINGLE))
@@ -107,6 +111,16 @@ class Benchmark:
                 self._match(g, w, at[i: i + 4096], int(n), own, best)
         return [(self.ids[k], s, a, int(self.sizes[k]) + SHINGLE - 1) for k, (s, a) in sorted(best.items(), key=lambda x: self.ids[x[0]])]
 
+    def search_short(self, h: np.ndarray) -> list[tuple[int, float, int, int]]:
+        """(item, 1.0, first word, words) of the first window of the text's words ``h`` that is an item
+        shorter than a shingle."""
+        out = []
+        for n, ids in self.short.items():
+            g = grams(h, n)
+            for a in np.flatnonzero(np.isin(g, np.array(list(ids), np.uint64))).tolist():
+                out += [(i, 1.0, a, n) for i in ids[int(g[a])]]
+        return [min(x for x in out if x[0] == i) for i in sorted({x[0] for x in out})]
+
     def _match(self, g, w, at, n, own, best) -> None:
         lo = at[0]
         span = slice(int(lo), int(at[-1]) + n)
@@ -158,8 +172,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_t
     changes no similarity. Fingerprints within RADIUS bits are all found, whatever the bits. Items are taken in blocks of about
     ``block_items``, chosen by the id's hash, and each block passes over the texts once, without
     a shuffle: memory is bounded by a block, the shingles that several items have (17 bytes each)
-    and the longest text. Items with a null id or text,
-    or with fewer than SHINGLE words, match nothing; null, empty and shorter texts hold nothing.
+    and the longest text. An item of fewer than SHINGLE words has one shingle of them all, so a text
+    holds it where it has the same words in a row. Items with a null id or text or without a word
+    match nothing; null and empty texts hold nothing.
     Items that repeat an id count each for themselves. Repeated rows of ``docs`` get the same
     result. A column named like ``out`` is replaced; ``keep`` names the columns to return. An
     empty benchmark or an empty ``docs`` gives empty results."""
@@ -187,14 +202,18 @@ def _searcher(shared):
             h, first = flat_words(texts, words, normal_words)
             g = grams(h, SHINGLE)
             out: list[list] = [[] for _ in texts]
-            if not len(g) or not len(bench.shingles):
-                return [out]
+            if bench.short:
+                for i in range(len(texts)):
+                    out[i] = bench.search_short(h[first[i]: first[i + 1]])
+            if len(g) and len(bench.shingles):
+                search(g, first, out)
+            return [[[{"item_id": k, "similarity": s, "start": a, "n_words": n} for k, s, a, n in sorted(x)] for x in out]]
+
+        def search(g, first, out):
             seen = np.concatenate([[0], np.cumsum(bench.weights(g)[1])])
             ends = np.maximum(first[1:] - SHINGLE + 1, first[:-1])
             for i in np.flatnonzero(seen[np.minimum(ends, len(g))] > seen[np.minimum(first[:-1], len(g))]):
-                found = bench.search(g[first[i]: ends[i]])
-                out[i] = [{"item_id": k, "similarity": s, "start": a, "n_words": n} for k, s, a, n in found]
-            return [out]
+                out[i] += bench.search(g[first[i]: ends[i]])
 
         return compute
 

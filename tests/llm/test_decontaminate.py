@@ -79,3 +79,12 @@ def test_blocks_change_no_similarity_near_the_threshold(spark, docs, prose):
     for i, k, s, a in whole:
         g = D.grams(D.flat_words([rows[i][1]], words, D.normal_words)[0], D.SHINGLE)
         assert s == bench.similarity(g[a: a + len(bench.sets[k])], k)
+
+
+def test_items_shorter_than_a_shingle(spark, docs, prose):
+    """An item of one to four words is found where its words stand in a row, and by its own length."""
+    items = spark.createDataFrame([(1, "zebra crossing"), (2, "Forty-Two!"), (3, "quokka"), (4, "one two three four"), (5, ""), (6, "zebra crossing")], "item_id bigint, text string")
+    p = prose(3, 40)
+    rows = [(1, f"{p} A Zebra, crossing {p}"), (2, f"{p} zebra x crossing"), (3, "forty two"), (4, "Quokka"), (5, f"one two three {p} one two three four. One two three four"), (6, None), (7, p)]
+    got = {r.doc_id: [(x.item_id, x.similarity, x.start, x.n_words) for x in r.leaks] for r in D.find_leaks(docs(rows), items).collect()}
+    assert got == {1: [(1, 1.0, 41, 2), (6, 1.0, 41, 2)], 2: [], 3: [(2, 1.0, 0, 2)], 4: [(3, 1.0, 0, 1)], 5: [(4, 1.0, 43, 4)], 6: [], 7: []}
