@@ -92,6 +92,14 @@ def labelled_sample(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
     return by_hash(0).unionByName(by_hash(1))
 
 
+def training_rows(docs: DataFrame, text: str, chosen: DataFrame) -> DataFrame:
+    """(doc_id, y, t) of the labelled ids in ``chosen``, one row an id: of rows that repeat it, the one whose
+    text has the least hash, by an aggregate with partial combine. So as many rows as ids, at most."""
+    rows = docs.select(F.col("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(F.broadcast(chosen), "doc_id")
+    least = rows.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("least"))
+    return least.select("doc_id", "y", F.col("least.t").alias("t"))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 

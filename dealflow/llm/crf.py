@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dealflow.llm.common import class_share, labelled_sample
+from dealflow.llm.common import class_share, cut, labelled_sample, training_rows
 
 OTHER, UPPER, DIGIT, SIGN, BANG, POINT, SPACE, BAR, INNER, END = range(10)
 _CLASS = np.zeros(256, np.uint8)
@@ -168,23 +168,32 @@ class Crf:
 
 
 def fit_on_labels(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "quality", max_train: int = 8_000,
-                  max_lines: int = 64) -> tuple[Crf, np.ndarray, np.ndarray, np.ndarray]:
-    """A CRF from at most ``max_train`` labelled rows (half of each label; held-out rows never, see
-    ``labelled_sample``), of each at most ``max_lines`` consecutive lines, from a place that
-    the text's hash gives. Texts are weighted as all learnable labels are split. Also returns
-    each text's length-weighted P(good), its label and its weight, for calibration."""
+                  max_lines: int = 400_000) -> tuple[Crf, np.ndarray, np.ndarray, np.ndarray]:
+    """A CRF from the whole texts of at most ``max_train`` labelled ids (half of each label; held-out rows
+    never, see ``labelled_sample``), of rows that repeat an id one. Rows are taken by their id's hash
+    while all lines of a label stay within half of ``max_lines``, which bounds the driver's memory
+    (120 bytes a line); no text is cut. Texts are weighted as all learnable labels are split. Also
+    returns each text's length-weighted P(good), its label and its weight, for calibration."""
     chosen = labelled_sample(labels, label, max_train)
-    train = docs.select("doc_id", F.col(text).alias("t")).join(F.broadcast(chosen), "doc_id").select("y", F.coalesce("t", F.lit("")).alias("t"), F.xxhash64("t").alias("h"))
+    train = cut(training_rows(docs, text, chosen), "labelled-texts")
+    sizes = train.select("doc_id", "y", F.xxhash64("doc_id").alias("h"), (F.length("t") - F.length(F.replace("t", F.lit("\n"))) + 1).alias("n")).collect()
+    taken, total = [], {0: 0, 1: 0}
+    for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"])):
+        if total[r["y"]] + r["n"] <= max_lines // 2:
+            total[r["y"]] += r["n"]
+            taken.append((r["doc_id"],))
+    if len(taken) < len(sizes):
+        train = train.join(F.broadcast(docs.sparkSession.createDataFrame(taken, "doc_id bigint")), "doc_id", "left_semi")
+    train = train.select("y", "t")
 
     def describe(batches):
         for batch in batches:
-            ys, out_x, out_c = batch.column(0), [], []
-            for t, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            out_x, out_c = [], []
+            for t in batch.column(1).to_pylist():
                 x, chars, _ = line_features([t])
-                at = h % (len(x) - max_lines + 1) if len(x) > max_lines else 0
-                out_x.append(x[at: at + max_lines].astype(np.float32).tobytes())
-                out_c.append(chars[at: at + max_lines].tolist())
-            yield pa.RecordBatch.from_arrays([ys, pa.array(out_x, pa.binary()), pa.array(out_c, pa.list_(pa.float64()))], names=["y", "x", "chars"])
+                out_x.append(x.astype(np.float32).tobytes())
+                out_c.append(chars.tolist())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out_x, pa.binary()), pa.array(out_c, pa.list_(pa.float64()))], names=["y", "x", "chars"])
 
     got = train.mapInArrow(describe, "y int, x binary, chars array<double>").toArrow()
     crf = Crf()

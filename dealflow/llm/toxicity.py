@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealflow.llm.common import add_columns, class_share, cut, kept, labelled_sample
+from dealflow.llm.common import add_columns, class_share, cut, kept, labelled_sample, training_rows
 
 WORD_BUCKETS, STEM_BUCKETS, STEM = 1 << 18, 1 << 16, 5
 EDGE = ".,;:!?\"'()[]{}<>*#$%&|"
@@ -151,11 +151,11 @@ def segments(s: np.ndarray) -> list[tuple[int, int, float]]:
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", max_train: int = 16_000) -> Scorer:
     """Learn from at most ``max_train`` labelled rows (half of each label, see
-    ``labelled_sample``); held-out rows are never among them. Counts go to tables of fixed
+    ``labelled_sample``; of rows that repeat an id, one); held-out rows are never among them. Counts go to tables of fixed
     size; law and calibration come from the same rows, weighted as all learnable labels are
     split. Without rows of both labels every text scores 0."""
     chosen = labelled_sample(labels, label, max_train)
-    train = cut(docs.select("doc_id", F.col(text).alias("t")).join(F.broadcast(chosen), "doc_id").select("y", "t"), "toxicity-train")
+    train = cut(training_rows(docs, text, chosen).select("y", "t"), "toxicity-train")
 
     def count(batches):
         n = np.zeros((2, WORD_BUCKETS + STEM_BUCKETS), np.int64)

@@ -91,3 +91,13 @@ def test_held_out_labels_change_no_weights(spark, docs, prose):
     assert np.allclose(a.weights, b.weights, rtol=1e-9) and np.isclose(a.rate, b.rate, rtol=1e-9) and np.isclose(a.k, b.k, rtol=1e-9)
     a, b = quality.fit(df, labels), quality.fit(df, other)
     assert np.array_equal(a.crf.w, b.crf.w) and np.array_equal(a.crf.trans, b.crf.trans) and np.array_equal(a.weights, b.weights)
+
+
+def test_one_training_row_for_a_repeated_id(spark, docs, prose):
+    """3,000 rows of one labelled id are one row to learn from, the same whatever the partitions."""
+    from dealflow.llm.common import training_rows
+
+    rows = docs([(1, prose(1, 20)), (2, None)] + [(7, prose(i % 50, 30)) for i in range(3000)])
+    chosen = spark.createDataFrame([(1, 0), (2, 0), (7, 1)], "doc_id bigint, y int")
+    got = [sorted(map(tuple, training_rows(rows.repartition(n), "text", chosen).collect())) for n in (1, 5)]
+    assert got[0] == got[1] and [r[:2] for r in got[0]] == [(1, 0), (2, 0), (7, 1)] and got[0][1][2] == ""
