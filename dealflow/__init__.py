@@ -3,7 +3,7 @@
 Layers: ``sources`` (scans, dimensions, sinks), ``functions`` (Column helpers),
 ``operators`` (staging, facts, metrics, report, quality, reconciliation, buckets),
 ``plans`` (stand-in tables derived from the driver data, the query registry and the
-DuckDB oracles), ``streaming`` (documented as not applicable).
+DuckDB oracles), ``jobs`` (batch jobs over a real landing).
 """
 
 __version__ = "0.1.0"

@@ -105,7 +105,9 @@ def prior_window(start, end) -> tuple[Column, Column]:
     return prior_start, prior_end
 
 
-WINDOW_PRESETS = ("today", "yesterday", "last3d", "last7d", "last14d", "last30d", "mtd", "custom")
+#: Presets of a number of days up to yesterday.
+LAST_DAYS = {"last3d": 3, "last7d": 7, "last14d": 14, "last30d": 30}
+WINDOW_PRESETS = ("today", "yesterday", *LAST_DAYS, "mtd", "custom")
 
 
 def window_bounds(preset: str, as_of, start=None, end=None) -> tuple[Column, Column]:
@@ -117,9 +119,8 @@ def window_bounds(preset: str, as_of, start=None, end=None) -> tuple[Column, Col
         return today, today
     if preset == "yesterday":
         return yday, yday
-    spans = {"last3d": 3, "last7d": 7, "last14d": 14, "last30d": 30}
-    if preset in spans:
-        return F.date_sub(yday, spans[preset] - 1), yday
+    if preset in LAST_DAYS:
+        return F.date_sub(yday, LAST_DAYS[preset] - 1), yday
     if preset == "mtd":
         return F.trunc(yday, "MM"), yday
     if preset == "custom":
@@ -129,6 +130,17 @@ def window_bounds(preset: str, as_of, start=None, end=None) -> tuple[Column, Col
     raise ValueError(f"unknown window preset {preset!r}; expected one of {WINDOW_PRESETS}")
 
 
+def window_dates(preset: str, as_of: _dt.date, start: _dt.date | None = None, end: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
+    """F12 as dates, for one run's parameters."""
+    yday = as_of - _dt.timedelta(days=1)
+    if preset == "custom" and not (start and end):
+        raise ValueError("window 'custom' needs start and end")
+    if preset not in WINDOW_PRESETS:
+        raise ValueError(f"unknown window preset {preset!r}; expected one of {WINDOW_PRESETS}")
+    fixed = {"today": (as_of, as_of), "yesterday": (yday, yday), "mtd": (yday.replace(day=1), yday), "custom": (start, end)}
+    return fixed[preset] if preset in fixed else (yday - _dt.timedelta(days=LAST_DAYS[preset] - 1), yday)
+
+
 def iso_day(s) -> Column:
     """F16: ISO date/datetime text -> date of its first 10 characters; empty or malformed -> NULL."""
     c = _col(s)

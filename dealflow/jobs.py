@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealflow.config import DEFAULT, PipelineConfig
-from dealflow.functions.dates import ntz_lit
+from dealflow.functions.dates import ntz_lit, window_dates
 from dealflow.operators import quality as Q
 from dealflow.operators import reconcile as RC
 from dealflow.operators import staging as ST
@@ -42,24 +42,6 @@ PARTITIONING = {"cash": ("cash_date_et", "deal_id"), "won_fct": ("close_date_et"
                 "snapshot": ("entry_date_et", "deal_id")}
 
 
-def window_dates(preset: str, as_of: _dt.date, start: _dt.date | None = None,
-                 end: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
-    """F12 for one run's parameters (the Column form is ``functions.dates.window_bounds``)."""
-    yday = as_of - _dt.timedelta(days=1)
-    spans = {"last3d": 3, "last7d": 7, "last14d": 14, "last30d": 30}
-    if preset == "today":
-        return as_of, as_of
-    if preset == "yesterday":
-        return yday, yday
-    if preset in spans:
-        return yday - _dt.timedelta(days=spans[preset] - 1), yday
-    if preset == "mtd":
-        return yday.replace(day=1), yday
-    if preset == "custom" and start and end:
-        return start, end
-    raise ValueError(f"unknown or incomplete window {preset!r}")
-
-
 def landing(spark: SparkSession, landing_dir: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     return {k: spark.read.format(fmt).load(f"{landing_dir}/{v}") for k, v in LANDED_TABLES.items()}
 

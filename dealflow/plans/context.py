@@ -103,6 +103,8 @@ class Models:
         with cls._lock:
             m = cls._cache.get(key)
             if m is None:
+                # Graphs of sessions that were stopped go, and beyond a few the oldest.
+                cls._cache = {k: v for k, v in list(cls._cache.items())[-15:] if v.spark.sparkContext._jsc is not None}
                 m = cls(spark, sf_dir, as_of, cfg)
                 if materialize:
                     m.materialize()

@@ -11,6 +11,7 @@ from dealflow.functions import flags as FL
 from dealflow.functions import ratios as RT
 from dealflow.operators import metrics as A
 from dealflow.plans import standins as S
+from dealflow.operators.cube import day_cube, preset_windows
 from dealflow.plans.context import Models
 from dealflow.plans.oracle import W_END, W_START, et, lst, report_pct, safe_pct, sql
 from dealflow.plans.registry import register
@@ -154,6 +155,26 @@ def f12_window_bounds(spark, sf_dir):
     return d.select("as_of", F.inline(F.array(*rows)))
 
 
+def _cube_sql() -> str:
+    """Each window by a scan of each fact."""
+    facts = (("fct_cash", "cash_date_et", {"payments": "count(cash_amount)", "total_cash": "sum(cash_amount)"}),
+             ("fct_won", "close_date_et", {"deals_won": "count(*)", "pwc_deals_won": "count(*) FILTER (is_post_webinar_close)"}),
+             ("fct_meetings", "meeting_date_et", {f"{c.lower()}_{k}": f"count(*) FILTER (is_{k} AND meeting_category = '{c}')"
+                                                  for k, cs in (("completed", ("PC", "RC", "PWC", "WB")), ("booked", ("PC", "RC"))) for c in cs}),
+             ("fct_stage_entries", "entry_date_et", {f"{e}_entries": f"count(*) FILTER (stage_entry_type = '{e}')" for e in ("pc_invited", "pc_scheduled", "rc_invited", "rc_scheduled")}))
+    spans = " UNION ALL ".join(f"SELECT '{k}' AS span, {a} AS first, {b} AS last FROM (SELECT DATE '{S.AS_OF}' AS d)" for k, (a, b) in _F12.items())
+    cells = ", ".join(f"(SELECT {e} FROM {t} f WHERE f.closer_owner_id = c.owner_id AND f.{day} BETWEEN first AND last) AS {n}" for t, day, ms in facts for n, e in ms.items())
+    return f'SELECT span AS "window", owner_id AS closer_owner_id, {cells} FROM ({spans}) w, closers c'
+
+
+@register("f12_window_cube", sql(_cube_sql()))
+def f12_window_cube(spark, sf_dir):
+    """Every preset of every closer from one cube of running totals."""
+    m = Models.of(spark, sf_dir)
+    cube = day_cube({"cash": m.cash, "won": m.won_fct, "meetings": m.meetings_fct, "entries": m.entries}, m.closers)
+    return preset_windows(cube, m.as_of, *S.WINDOW)
+
+
 @register("f13_round_floor", sql(
     "SELECT deal_id, cash_component, round(cash_amount / 7, 2) AS seventh, floor(cash_amount / 7) AS seventh_floor "
     "FROM fct_cash"))

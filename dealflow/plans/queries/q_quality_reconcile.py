@@ -195,6 +195,12 @@ def r6_audit(spark, sf_dir):
     return audit(spark, sf_dir)
 
 
+@register("r6_audit_by_bucket", sql(_audit_sql()))
+def r6_audit_by_bucket(spark, sf_dir):
+    """The audit's differences, with only the ids of buckets that differ joined."""
+    return RC.audit_diff_by_bucket(*audit_ids(spark, sf_dir), by=["metric_id"])
+
+
 @register("u4_audit_diff", sql(
     f"SELECT side, id FROM ({_audit_sql()}) WHERE metric_id = 'deals_won'"))
 def u4_audit_diff(spark, sf_dir):

@@ -110,9 +110,7 @@ def s9_report_json(spark, sf_dir):
 
 @register("s10_other_side", sql("SELECT id, pipeline, dealstage, hubspot_owner_id FROM other_deals"))
 def s10_other_side(spark, sf_dir):
-    path = scratch(spark, "other-deals")
-    Models.of(spark, sf_dir).other_deals.write.mode("overwrite").parquet(path)
-    return scans.other_side(spark, path, ["pipeline", "dealstage", "hubspot_owner_id"])
+    return scans.other_side(Models.of(spark, sf_dir).other_deals, ["pipeline", "dealstage", "hubspot_owner_id"])
 
 
 @register("s11_scalar_metric", sql(

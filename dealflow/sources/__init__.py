@@ -16,6 +16,7 @@ from dealflow.sources.scans import (  # noqa: F401
     live_rows,
     optional_col,
     other_side,
+    paged_extract,
     publish,
     scalar_metric,
     write_report,

@@ -105,10 +105,37 @@ def read_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def other_side(spark: SparkSession, path: str, cols: list[str], fmt: str = "parquet") -> DataFrame:
-    """The second system's records (landed extract): ``id`` plus requested properties."""
-    df = spark.read.format(fmt).load(path)
-    return df.select(F.col("id").cast("string").alias("id"), *cols)
+def other_side(records: DataFrame, cols: list[str]) -> DataFrame:
+    """The second system's records: ``id`` plus requested properties."""
+    return records.select(F.col("id").cast("string").alias("id"), *cols)
+
+
+#: A page of the second system's extract, as it lands: the records with their nested properties, what comes
+#: after it (none on the last page), and how many records the extract has in all.
+PAGE = "results array<struct<id: string, properties: map<string, string>>>, total bigint, paging struct<next: struct<after: string>>"
+
+
+class IncompleteExtract(RuntimeError):
+    """The landed pages are not a whole extract."""
+
+
+def paged_extract(spark: SparkSession, path: str, cols: list[str], types: dict[str, str] | None = None) -> DataFrame:
+    """S10 over pages as the second system gives them, one JSON file a page under ``path``: (id, *cols), with
+    properties cast as ``types`` says (else text; malformed ones are NULL). A page is a file, so pages
+    are read in parallel, and records never leave the executors.
+
+    The extract must be whole: as many records as every page announces, one last page, and no record
+    twice; else ``IncompleteExtract``. That check reads the pages once, before the result is used."""
+    pages = spark.read.schema(PAGE).option("multiLine", True).json(path)
+    heads = pages.agg(F.count(F.lit(1)).alias("pages"), F.coalesce(F.sum(F.size("results")), F.lit(0)).alias("records"), F.min("total").alias("least"), F.max("total").alias("most"),
+                      F.count_if(F.col("paging.next.after").isNull()).alias("last"), F.count_if(F.col("results").isNull()).alias("broken")).collect()[0]
+    if heads["broken"] or heads["least"] != heads["most"] or heads["records"] != heads["most"] or heads["last"] != 1:
+        raise IncompleteExtract(f"{path}: {heads['pages']} pages with {heads['records']} records of {heads['most']} announced, {heads['last']} last pages, {heads['broken']} unreadable")
+    rows = pages.select(F.explode("results").alias("r"))
+    if twice := rows.groupBy("r.id").count().filter("count > 1").limit(1).count():
+        raise IncompleteExtract(f"{path}: {twice} record or more on two pages")
+    kind = types or {}
+    return rows.select(F.col("r.id").alias("id"), *[F.col("r.properties")[c].try_cast(kind.get(c, "string")).alias(c) for c in cols])
 
 
 def scalar_metric(df: DataFrame, value: Column, group_by: list[str] | None = None) -> DataFrame:
