@@ -155,3 +155,64 @@ def op11_embedding_whitening(spark, sf_dir):
     from dealflow.llm.whitening import whiten
 
     return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _conversation_sql() -> str:
+    """The repair by dynamic programming from a conversation's end. What the rest costs depends on the role
+    that comes next: s (nothing yet), u (after a system turn), a (after a user's) or d (after a whole
+    pair); a value is a struct (cost, audit), whose order is the one asked for, and NULL if there is none."""
+    add = lambda cost, letter, to: f"CASE WHEN {to} IS NOT NULL THEN {{'cost': {to}.cost + {cost}, 'audit': '{letter}' || {to}.audit}} END"
+    least = lambda *ways: f"list_min(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))"
+    ways = {}
+    for q in "suad":
+        to, role = ("d", "a") if q == "a" else ("a", "u")
+        kept = [f"CASE WHEN may AND first = '{role}' THEN {add('extra', 'K', f'p.{to}')} END", f"CASE WHEN may THEN {add('extra + 3', 'R', f'p.{to}')} END"]
+        if q == "s":
+            kept.append(f"CASE WHEN may AND first = 's' THEN {add('extra', 'K', 'p.u')} END")
+        ways[q] = least(add(4, "D", f"p.{q}"), *kept)
+    closed = ", ".join([f"{least('x.a', add(3, 'I', 'x.d'))} AS a", *[f"{least(f'x.{q}', add(3, 'I', 'a'))} AS {q}" for q in "sud"]])
+    ends = "{'cost': 3::BIGINT, 'audit': 'I'} AS a, {'cost': 0::BIGINT, 'audit': ''} AS s, {'cost': 6::BIGINT, 'audit': 'II'} AS u, {'cost': 0::BIGINT, 'audit': ''} AS d"
+    ws = r"\x20\x09-\x0D"
+    step = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))"
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::BIGINT) AS key FROM conversations
+), coded AS (SELECT *, xor(list_reduce(list_concat([4294967295], key), lambda c, b: {step}), 4294967295) % 20 AS code FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM coded, (VALUES (1), (2)) t(copy) WHERE code <> 0 AND (copy = 1 OR code = 3)
+), placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged),
+judged AS (
+  SELECT *, left(role, 1) AS first, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^{ws}]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+              WHEN regexp_extract(text, '([^{ws}])[{ws}]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM placed
+), turns AS (SELECT *, fault IS NULL OR fault = 'truncated' AS may, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra FROM judged),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || first NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM turns GROUP BY conv_id
+), dp AS (
+  SELECT conv_id, n AS pos, {ends} FROM counted
+  UNION ALL
+  SELECT x.conv_id, x.pos, {closed} FROM (
+    SELECT p.conv_id, p.pos - 1 AS pos, {ways['a']} AS a, {ways['s']} AS s, {ways['u']} AS u, {ways['d']} AS d
+    FROM dp p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.pos = p.pos) x
+), best AS (SELECT conv_id, s.cost AS cost, s.audit AS audit FROM dp WHERE pos = 0),
+edits AS (SELECT conv_id, unnest(string_split(audit, '')) AS edit, unnest(range(1, len(audit) + 1)) AS k FROM best WHERE audit <> ''),
+aligned AS (SELECT *, count(*) FILTER (edit <> 'I') OVER (PARTITION BY conv_id ORDER BY k) AS pos FROM edits),
+staying AS (
+  SELECT a.conv_id, a.k, a.edit, t.role, CASE WHEN a.edit = 'I' THEN '' ELSE t.text END AS text, a.edit = 'K' AND t.first = 's' AS opens, row_number() OVER (PARTITION BY a.conv_id ORDER BY a.k) AS j
+  FROM aligned a LEFT JOIN turns t ON t.conv_id IS NOT DISTINCT FROM a.conv_id AND t.pos = a.pos AND a.edit <> 'I' WHERE a.edit <> 'D'
+), roled AS (SELECT *, CASE WHEN edit = 'K' THEN role WHEN (j - max(opens::INT) OVER (PARTITION BY conv_id)) % 2 = 1 THEN 'user' ELSE 'assistant' END AS new_role FROM staying),
+fixed AS (SELECT conv_id, string_agg(new_role || ':' || text, chr(10) ORDER BY k) AS repaired FROM roled GROUP BY conv_id)
+SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN fixed f ON f.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+
+ORACLE["op13_conversation_repair"] = _conversation_sql()

@@ -177,3 +177,16 @@ def test_whole_table(spark):
         pytest.skip("driver test data not present")
     df = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "role", "text")
     assert got(df) == brute([tuple(r) for r in df.collect()])
+
+
+def test_oracle_against_brute_force(spark, tmp_path):
+    """The registered SQL on hard conversations (without rows of one turn and role, whose order SQL has not)."""
+    import duckdb
+
+    from dealflow.llm.queries import ORACLE
+
+    rows = [(c, t, r, x) for c, t, r, x in conversations(11, 120, 12) if t is not None]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "c"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/c/*.parquet'")
+    assert sorted(con.execute(ORACLE["op13_conversation_repair"]).fetchall(), key=repr) == brute(rows)
