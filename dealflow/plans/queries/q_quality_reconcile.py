@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealflow import config as C
+from dealflow.operators import formulas as FM
 from dealflow.operators import models as M
 from dealflow.operators import quality as Q
 from dealflow.operators import reconcile as RC
@@ -154,6 +155,13 @@ def r4_reconcile(spark, sf_dir):
     return reconcile_full(spark, sf_dir).select(*REPORT_COLS)
 
 
+@register("r4_formulas", sql("""SELECT metric_id, owner_id, max(value) FILTER (side = 'a') AS a_value, max(value) FILTER (side = 'b') AS b_value,
+    coalesce(bool_or(div0), FALSE) AS div0 FROM derived_long GROUP BY ALL"""))
+def r4_formulas(spark, sf_dir):
+    """The derived metrics of both sides, from the formula table."""
+    return FM.ratios(aligned(spark, sf_dir), FM.registry())
+
+
 _R5_IDS = ("deals_won", "total_cash", "rc_completed", "rc_close_pct", "avg_dpl")
 
 
