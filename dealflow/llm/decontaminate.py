@@ -1,12 +1,14 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-Every window of a text that is as long as some benchmark item gets a 64-bit SimHash of its
-weighted word shingles; a multi-index over blocks of the fingerprints' bits finds all items
+Every window of a text that is as long as some benchmark item gets a 128-bit SimHash of its
+weighted word shingles; a multi-index over blocks of the fingerprints' bits leads to all items
 within the Hamming radius, and the exact weighted similarity decides.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 import re
 
 import numpy as np
@@ -15,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealflow.llm.common import Words, add_columns, flat_words, grams
+from dealflow.llm.common import add_columns, flat_words, grams, mix, Words
 
-SHINGLE, BITS, BLOCKS, RADIUS = 5, 64, 8, 20
+SHINGLE, BITS, BLOCKS = 5, 128, 8
 WORD = re.compile(r"\w+").findall
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _FILTER = 20
@@ -28,13 +30,57 @@ def normal_words(text: str) -> list[str]:
 
 
 def signs(g: np.ndarray) -> np.ndarray:
-    """+1 or -1 for each bit of each shingle's hash."""
-    bits = np.unpackbits(g.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    """+1 or -1 for each bit of each shingle's hash and of a second one."""
+    both = np.stack([g, mix(g ^ np.uint64(0x5851F42D4C957F2D))], axis=1).astype("<u8")
+    bits = np.unpackbits(both.view(np.uint8).reshape(-1, BITS // 8), axis=1, bitorder="little")
     return bits.astype(np.float32) * 2 - 1
 
 
+def radius(threshold: float) -> int:
+    """The bits that two SimHashes may differ in: three standard deviations more than sets that are
+    ``threshold`` alike do. At 0.8 these are 31 of 128 bits, about 19 being usual; of eight blocks of 16
+    one then differs in three bits at most, and of random fingerprints one pair in twelve has such a
+    block."""
+    p = math.acos(min(1.0, 2 * threshold / (1 + threshold))) / math.pi
+    return int(BITS * p + 3 * math.sqrt(BITS * p * (1 - p)))
+
+
+class MultiIndex:
+    """Fingerprints by the values of their blocks: every value that a block may have within its share of the
+    radius leads to the fingerprint, in a table from value to fingerprints for each block, so a look-up
+    reads only what is near. Fingerprints within the radius share such a block, so none is missed."""
+
+    def __init__(self, prints: np.ndarray, within: int = radius(0.8)):
+        self.prints, self.radius, self.first, self.ids = prints, within, [], []
+        changes = np.array([sum(1 << b for b in bits) for n in range(within // BLOCKS + 1) for bits in itertools.combinations(range(BITS // BLOCKS), n)], np.uint16)
+        for v in prints.view("<u2").T:
+            values = (v[:, None] ^ changes[None]).ravel()
+            order = np.argsort(values, kind="stable")
+            self.ids.append((order // len(changes)).astype(np.uint16 if len(prints) < 2**16 else np.int32))
+            self.first.append(np.concatenate([[0], np.cumsum(np.bincount(values, minlength=1 << 16))]).astype(np.int32))
+
+    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, id) of the pairs of ``prints`` and indexed fingerprints that share a block nearly, each once."""
+        pairs = [np.zeros(0, np.int64)]
+        for v, first, ids in zip(prints.view("<u2").T, self.first, self.ids, strict=True):
+            n = first[v.astype(np.int64) + 1] - first[v]
+            rows = np.repeat(np.arange(len(v)), n)
+            at = np.repeat(first[v] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            pairs.append(rows * len(self.prints) + ids[at])
+        pairs = np.unique(np.concatenate(pairs))
+        return pairs // max(len(self.prints), 1), pairs % max(len(self.prints), 1)
+
+    def within(self, prints: np.ndarray, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, id) of all pairs within the radius (with ids where the mask ``of`` holds)."""
+        rows, ids = self.candidates(prints)
+        if of is not None:
+            rows, ids = rows[of[ids]], ids[of[ids]]
+        near = _POP[prints[rows] ^ self.prints[ids]].sum(1) <= self.radius
+        return rows[near], ids[near]
+
+
 def pack(total: np.ndarray) -> np.ndarray:
-    """The fingerprint, eight bytes, of each row of bit sums; they are rounded, so that a sum of
+    """The fingerprint, BITS / 8 bytes, of each row of bit sums; they are rounded, so that a sum of
     zero gives the same bit however it was added up."""
     return np.packbits(np.round(total, 6) > 0, axis=1, bitorder="little")
 
@@ -68,10 +114,8 @@ class Benchmark:
         self.weight[np.searchsorted(self.shingles, common)] = np.log1p(n_items / df)
         self.has = np.zeros(1 << _FILTER, bool)
         self.has[(self.shingles & np.uint64((1 << _FILTER) - 1)).astype(np.int64)] = True
-        self.prints = np.stack([pack((signs(s) * self.weights(s)[0][:, None]).sum(0, keepdims=True))[0] for s in self.sets]) if self.sets else np.zeros((0, 8), np.uint8)
-        values = np.arange(256, dtype=np.uint8)
-        #: For a value of a block, the items whose block is near enough: some block must differ in RADIUS // BLOCKS bits or fewer.
-        self.near = [_POP[values[:, None] ^ self.prints[None, :, b]] <= RADIUS // BLOCKS for b in range(BLOCKS)]
+        self.prints = np.concatenate([pack((signs(x) * self.weights(x)[0][:, None]).sum(0, keepdims=True)) for x in self.sets] or [np.zeros((0, BITS // 8), np.uint8)])
+        self.index = MultiIndex(self.prints, radius(threshold))
 
     def weights(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each shingle's weight, and whether an item of the block has it. One that none has weighs as
@@ -106,9 +150,8 @@ class Benchmark:
             if n > len(g):
                 break
             at = np.flatnonzero(part[n:] - part[:-n] >= self.threshold * (total[n:] - total[:-n]) - 1e-9)
-            own = np.flatnonzero(self.sizes == n)
             for i in range(0, len(at), 4096):
-                self._match(g, w, at[i: i + 4096], int(n), own, best)
+                self._match(g, w, at[i: i + 4096], int(n), best)
         return [(self.ids[k], s, a, int(self.sizes[k]) + SHINGLE - 1) for k, (s, a) in sorted(best.items(), key=lambda x: self.ids[x[0]])]
 
     def search_short(self, h: np.ndarray) -> list[tuple[int, float, int, int]]:
@@ -121,7 +164,7 @@ class Benchmark:
                 out += [(i, 1.0, a, n) for i in ids[int(g[a])]]
         return [min(x for x in out if x[0] == i) for i in sorted({x[0] for x in out})]
 
-    def _match(self, g, w, at, n, own, best) -> None:
+    def _match(self, g, w, at, n, best) -> None:
         lo = at[0]
         span = slice(int(lo), int(at[-1]) + n)
         if span.stop - span.start <= 20 * len(at) + 8 * n:
@@ -129,13 +172,8 @@ class Benchmark:
             prints = pack(sums[at - lo + n] - sums[at - lo])
         else:  # windows far apart: one by one
             prints = np.concatenate([pack((signs(g[a: a + n]) * w[a: a + n, None]).sum(0, keepdims=True)) for a in at])
-        near = np.zeros((len(at), len(own)), bool)
-        for b in range(BLOCKS):
-            near |= self.near[b][prints[:, b]][:, own]
-        rows, cols = np.nonzero(near)
-        far = _POP[prints[rows] ^ self.prints[own[cols]]].sum(1)
-        for r, c in zip(rows[far <= RADIUS].tolist(), cols[far <= RADIUS].tolist(), strict=True):
-            k, a = int(own[c]), int(at[r])
+        for r, k in zip(*[x.tolist() for x in self.index.within(prints, self.sizes == n)], strict=True):
+            a = int(at[r])
             s = self.similarity(g[a: a + n], k)
             if s >= self.threshold - 1e-9 and s > best.get(k, (0.0, 0))[0] + 1e-12:
                 best[k] = (s, a)
@@ -169,7 +207,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_t
 
     Windows have the item's own length; SHINGLE words make a shingle, weighted by how few of all
     items have it: the counts are one aggregate over the whole benchmark, so ``block_items``
-    changes no similarity. Fingerprints within RADIUS bits are all found, whatever the bits. Items are taken in blocks of about
+    changes no similarity. Fingerprints within the radius of the threshold are all found, whatever the bits. Items are taken in blocks of about
     ``block_items``, chosen by the id's hash, and each block passes over the texts once, without
     a shuffle: memory is bounded by a block, the shingles that several items have (17 bytes each)
     and the longest text. An item of fewer than SHINGLE words has one shingle of them all, so a text

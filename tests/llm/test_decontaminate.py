@@ -10,15 +10,30 @@ def items_df(spark, rows):
 
 
 def test_every_fingerprint_within_the_radius_is_a_candidate():
-    r = random.Random(1)
-    b = D.Benchmark([(i, " ".join(f"a{r.randrange(300)}" for _ in range(20))) for i in range(50)])
-    for _ in range(500):
-        k = r.randrange(50)
-        bits = np.unpackbits(b.prints[k])
-        for i in r.sample(range(64), r.randrange(D.RADIUS + 1)):
-            bits[i] ^= 1
-        p = np.packbits(bits)
-        assert any(b.near[j][p[j]][k] for j in range(D.BLOCKS))
+    r = np.random.default_rng(1)
+    index = D.MultiIndex(r.integers(0, 256, (300, D.BITS // 8), np.uint8))
+    prints = index.prints[r.integers(0, 300, 800)]
+    for row in prints:
+        for bit in r.choice(D.BITS, r.integers(0, index.radius + 9), replace=False):
+            row[bit // 8] ^= 1 << bit % 8
+    got = set(zip(*[x.tolist() for x in index.within(prints)], strict=True))
+    far = np.array([[np.unpackbits(p ^ q).sum() for q in index.prints] for p in prints])
+    assert got == set(zip(*[x.tolist() for x in np.nonzero(far <= index.radius)], strict=True)) and len(got) > 500
+    assert D.MultiIndex(index.prints[:0]).within(prints)[0].size == 0
+
+
+def test_the_index_skips_most_pairs_and_finds_the_alike():
+    r = np.random.default_rng(2)
+    index = D.MultiIndex(r.integers(0, 256, (1000, D.BITS // 8), np.uint8))
+    rows, _ = index.candidates(r.integers(0, 256, (1000, D.BITS // 8), np.uint8))
+    assert len(rows) < 0.1 * 1000 * 1000
+    found = 0
+    for i in range(600):  # sets of 50 shingles, of which some are changed: 0.8 to 0.92 alike
+        g = r.integers(0, 2**63, 60).astype(np.uint64)
+        k = 2 + i % 4
+        a, b = (D.pack(D.signs(x).sum(0, keepdims=True)) for x in (g[:50], np.concatenate([g[:50 - k], g[50: 50 + k]])))
+        found += len(D.MultiIndex(a).within(b)[0])
+    assert found >= 594
 
 
 def test_against_exact_search_of_all_windows(spark, docs, prose):
