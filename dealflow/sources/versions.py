@@ -113,8 +113,8 @@ class VersionedTable:
         if self.day is None:
             return F.lit(True)
         dates = [F.lit(d).cast("date") for d in days if d != NO_DAY]
-        hit = F.col(self.day).isin(*dates) if dates else F.lit(False)
-        return F.coalesce(hit, F.lit(NO_DAY in days))
+        hit = F.coalesce(F.col(self.day).isin(*dates), F.lit(False)) if dates else F.lit(False)
+        return hit | F.col(self.day).isNull() if NO_DAY in days else hit
 
     def publish(self, df: DataFrame, facts: dict | None = None, partitions: int | None = None) -> dict:
         """Make ``df`` the table. Days whose rows are the published ones, by their digests, keep their

@@ -40,6 +40,9 @@ def test_publish_writes_only_days_that_differ(spark, tmp_path):
     assert rows(t.read()) == rows(spark.createDataFrame(changed, SCHEMA)) and rows(t.read(1)) == rows(df)
     same = {"", "2024-01-03", "2024-01-04"}
     assert {d for d, e in two["days"].items() if e["at"] == one["days"].get(d, {}).get("at")} == same
+    # only rows without a day differ
+    t.publish(spark.createDataFrame([r for r in changed if r[2]] + [(4, 44.0, None)], SCHEMA))
+    assert rows(t.read().filter("day is null")) == [(4, 44.0, None)] and t.read().count() == len(changed)
     # a null that changes its column is a change, though hashing skips nulls
     swapped = spark.createDataFrame([(1, None, 1.0), (1, 1.0, None)], "id bigint, a double, b double")
     u = VersionedTable(spark, str(tmp_path / "u"), None, "id")
