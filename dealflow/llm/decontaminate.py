@@ -36,46 +36,47 @@ def signs(g: np.ndarray) -> np.ndarray:
     return bits.astype(np.float32) * 2 - 1
 
 
-def radius(threshold: float) -> int:
-    """The bits that two SimHashes may differ in: three standard deviations more than sets that are
-    ``threshold`` alike do. At 0.8 these are 31 of 128 bits, about 19 being usual; of eight blocks of 16
-    one then differs in three bits at most, and of random fingerprints one pair in twelve has such a
-    block."""
+def radius(threshold: float, deviations: float) -> int:
+    """The bits that two SimHashes may differ in: so many standard deviations more than sets that are
+    ``threshold`` alike do, which is 19 of 128 bits at 0.8, the deviation being 4."""
     p = math.acos(min(1.0, 2 * threshold / (1 + threshold))) / math.pi
-    return int(BITS * p + 3 * math.sqrt(BITS * p * (1 - p)))
+    return int(BITS * p + deviations * math.sqrt(BITS * p * (1 - p)))
 
 
 class MultiIndex:
     """Fingerprints by the values of their blocks: every value that a block may have within its share of the
-    radius leads to the fingerprint, in a table from value to fingerprints for each block, so a look-up
-    reads only what is near. Fingerprints within the radius share such a block, so none is missed."""
-
-    def __init__(self, prints: np.ndarray, within: int = radius(0.8)):
-        self.prints, self.radius, self.first, self.ids = prints, within, [], []
-        changes = np.array([sum(1 << b for b in bits) for n in range(within // BLOCKS + 1) for bits in itertools.combinations(range(BITS // BLOCKS), n)], np.uint16)
+    radius leads to the fingerprint, in a table from (block, value) to fingerprints, so a look-up reads
+    only what is near. Fingerprints within the radius (three deviations; at 0.8 31 bits, so three a block)
+    share such a block, so none is missed; of random ones one pair in twelve does. Alike ones
+    further apart share a block too, but for a few in a million: those within five deviations count."""
+
+    def __init__(self, prints: np.ndarray, threshold: float = 0.8):
+        self.prints, self.radius, self.reach = prints, radius(threshold, 3), radius(threshold, 5)
+        changes = np.array([sum(1 << b for b in bits) for n in range(self.radius // BLOCKS + 1) for bits in itertools.combinations(range(BITS // BLOCKS), n)], np.uint16)
+        ids, counts = [], []
         for v in prints.view("<u2").T:
             values = (v[:, None] ^ changes[None]).ravel()
-            order = np.argsort(values, kind="stable")
-            self.ids.append((order // len(changes)).astype(np.uint16 if len(prints) < 2**16 else np.int32))
-            self.first.append(np.concatenate([[0], np.cumsum(np.bincount(values, minlength=1 << 16))]).astype(np.int32))
-
-    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, id) of the pairs of ``prints`` and indexed fingerprints that share a block nearly, each once."""
-        pairs = [np.zeros(0, np.int64)]
-        for v, first, ids in zip(prints.view("<u2").T, self.first, self.ids, strict=True):
-            n = first[v.astype(np.int64) + 1] - first[v]
-            rows = np.repeat(np.arange(len(v)), n)
-            at = np.repeat(first[v] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-            pairs.append(rows * len(self.prints) + ids[at])
-        pairs = np.unique(np.concatenate(pairs))
+            ids.append((np.argsort(values, kind="stable") // len(changes)).astype(np.int32))
+            counts.append(np.bincount(values, minlength=1 << 16))
+        self.ids, self.first = np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+
+    def candidates(self, prints: np.ndarray, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(row, id) of the pairs of ``prints`` and indexed fingerprints (those where the mask ``of`` holds) that
+        share a block nearly, each once."""
+        keys = (prints.view("<u2").astype(np.int64) + (np.arange(BLOCKS) << 16)).ravel()
+        n = self.first[keys + 1] - self.first[keys]
+        ends = np.cumsum(n)
+        ids = self.ids[np.repeat(self.first[keys] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        rows = np.repeat(np.arange(len(keys)) // BLOCKS, n)
+        if of is not None:
+            rows, ids = rows[of[ids]], ids[of[ids]]
+        pairs = np.unique(rows * max(len(self.prints), 1) + ids)
         return pairs // max(len(self.prints), 1), pairs % max(len(self.prints), 1)
 
     def within(self, prints: np.ndarray, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(row, id) of all pairs within the radius (with ids where the mask ``of`` holds)."""
-        rows, ids = self.candidates(prints)
-        if of is not None:
-            rows, ids = rows[of[ids]], ids[of[ids]]
-        near = _POP[prints[rows] ^ self.prints[ids]].sum(1) <= self.radius
+        """(row, id) of those pairs within reach."""
+        rows, ids = self.candidates(prints, of)
+        near = _POP[prints[rows] ^ self.prints[ids]].sum(1) <= self.reach
         return rows[near], ids[near]
 
 
@@ -115,7 +116,7 @@ class Benchmark:
         self.has = np.zeros(1 << _FILTER, bool)
         self.has[(self.shingles & np.uint64((1 << _FILTER) - 1)).astype(np.int64)] = True
         self.prints = np.concatenate([pack((signs(x) * self.weights(x)[0][:, None]).sum(0, keepdims=True)) for x in self.sets] or [np.zeros((0, BITS // 8), np.uint8)])
-        self.index = MultiIndex(self.prints, radius(threshold))
+        self.index = MultiIndex(self.prints, threshold)
 
     def weights(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each shingle's weight, and whether an item of the block has it. One that none has weighs as

@@ -18,7 +18,8 @@ def test_every_fingerprint_within_the_radius_is_a_candidate():
             row[bit // 8] ^= 1 << bit % 8
     got = set(zip(*[x.tolist() for x in index.within(prints)], strict=True))
     far = np.array([[np.unpackbits(p ^ q).sum() for q in index.prints] for p in prints])
-    assert got == set(zip(*[x.tolist() for x in np.nonzero(far <= index.radius)], strict=True)) and len(got) > 500
+    pairs = lambda most: set(zip(*[x.tolist() for x in np.nonzero(far <= most)], strict=True))
+    assert pairs(index.radius) <= got <= pairs(index.reach) and len(pairs(index.radius)) > 500
     assert D.MultiIndex(index.prints[:0]).within(prints)[0].size == 0
 
 
@@ -33,7 +34,7 @@ def test_the_index_skips_most_pairs_and_finds_the_alike():
         k = 2 + i % 4
         a, b = (D.pack(D.signs(x).sum(0, keepdims=True)) for x in (g[:50], np.concatenate([g[:50 - k], g[50: 50 + k]])))
         found += len(D.MultiIndex(a).within(b)[0])
-    assert found >= 594
+    assert found == 600
 
 
 def test_against_exact_search_of_all_windows(spark, docs, prose):
