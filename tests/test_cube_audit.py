@@ -6,7 +6,6 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from dealflow.functions.dates import WINDOW_PRESETS, window_dates
 from dealflow.operators import cube as K
