@@ -13,6 +13,10 @@ from dealflow import config as C
 from dealflow.functions.dates import _col, add_days, as_date
 
 
+_CATEGORY = {a: category for category, activities in (("PC", C.PC_ACTIVITY_TYPES), ("RC", C.RC_ACTIVITY_TYPES),
+                                                      ("PWC", C.PWC_ACTIVITY_TYPES), ("WB", C.WB_ACTIVITY_TYPES)) for a in activities}
+
+
 def is_booked(outcome) -> Column:
     """Outcome present and not canceled."""
     o = _col(outcome)
@@ -26,13 +30,11 @@ def is_completed(outcome) -> Column:
 
 def categorize(activity_type) -> Column:
     """Activity type -> PC / RC / PWC / WB, NULL otherwise (retired types included)."""
-    a = _col(activity_type)
-    return (
-        F.when(a.isin(*C.PC_ACTIVITY_TYPES), F.lit("PC"))
-        .when(a.isin(*C.RC_ACTIVITY_TYPES), F.lit("RC"))
-        .when(a.isin(*C.PWC_ACTIVITY_TYPES), F.lit("PWC"))
-        .when(a.isin(*C.WB_ACTIVITY_TYPES), F.lit("WB"))
-    )
+    # A lookup in constant arrays: filters on the category then hold the activity's own expression once, not once
+    # a category (the JVM leaves methods of generated code uncompiled beyond 8,000 bytes), and unlike map
+    # literals, arrays compare equal, so that equal plans are still found and run once.
+    at = F.array_position(F.array(*map(F.lit, _CATEGORY)), _col(activity_type))
+    return F.get(F.array(*map(F.lit, _CATEGORY.values())), at.cast("int") - 1)
 
 
 def is_closing_call(category, completed, activity_type) -> Column:

@@ -14,6 +14,7 @@ from dealflow.plans import standins as S
 from dealflow.plans.context import Models
 from dealflow.plans.oracle import W_END, W_START, lst, q, sql
 from dealflow.plans.queries.q_joins_aggs import aligned, metric_definitions
+from dealflow.plans.queries.q_sources_predicates import scratch
 from dealflow.plans.registry import register
 
 REPORT_COLS = ("metric_id", "metric_name", "owner_id", "verdict", "a_value", "b_value", "detail")
@@ -205,8 +206,13 @@ def r6_audit(spark, sf_dir):
 
 @register("r6_audit_by_bucket", sql(_audit_sql()))
 def r6_audit_by_bucket(spark, sf_dir):
-    """The audit's differences, with only the ids of buckets that differ joined."""
-    return RC.audit_diff_by_bucket(*audit_ids(spark, sf_dir), by=["metric_id"])
+    """The audit's differences, with only the ids of buckets that differ joined. The ids of both sides are
+    written once, to the shared checkpoint folder: they are read for the sums and again for the join."""
+    path = scratch(spark, "audit-ids")
+    sides = [df.select(F.lit(of).alias("of"), "metric_id", F.col("id").cast("string").alias("id")) for of, df in zip("ab", audit_ids(spark, sf_dir), strict=True)]
+    sides[0].unionByName(sides[1]).write.partitionBy("of").parquet(path)
+    ids = spark.read.schema("metric_id string, id string, of string").parquet(path)
+    return RC.audit_diff_by_bucket(*[ids.filter(F.col("of") == of).drop("of") for of in "ab"], by=["metric_id"])
 
 
 @register("u4_audit_diff", sql(

@@ -31,6 +31,9 @@ AS_OF = _dt.date(2001, 3, 13)
 WINDOW = (_dt.date(2000, 4, 1), _dt.date(2001, 3, 12))
 EVENT_SHIFT_DAYS = 8355
 STAGE_SLOTS = 16
+#: The pipeline of a deal by its order's priority; other priorities have none.
+PIPELINES = {"1-URGENT": C.OLD_RENEWAL_PIPELINE_ID, "2-HIGH": C.NEW_RENEWAL_PIPELINE_ID,
+             "3-MEDIUM": C.WINBACK_PIPELINE_ID, "4-NOT SPECIFIED": "100000001"}
 
 # Stand-in vocabularies: the seeded values plus a few that are deliberately unmapped.
 UNMAPPED_PLANS = ("Legacy Plan", "Custom Renewal")
@@ -65,10 +68,14 @@ def _sql_str(v) -> str:
     return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _pick_text(idx_sql: str, values) -> str:
+    """values[idx] (0-based) as SQL: a lookup in a constant array, whatever its length; NULL beyond it."""
+    return f"get(array({', '.join('CAST(NULL AS STRING)' if v is None else _sql_str(v) for v in values)}), CAST({idx_sql} AS INT))"
+
+
 def _pick_sql(idx_sql: str, values) -> Column:
-    """values[idx] (0-based) as one SQL CASE expression (one JVM call, not one per literal)."""
-    whens = " ".join(f"WHEN {i} THEN {_sql_str(v)}" for i, v in enumerate(values))
-    return F.expr(f"CASE {idx_sql} {whens} END")
+    """``_pick_text`` as a Column (one JVM call, not one per literal)."""
+    return F.expr(_pick_text(idx_sql, values))
 
 
 def _case(key: Column, mapping: dict, default: Column | None = None) -> Column:
@@ -115,17 +122,15 @@ def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
     pay = lineitem_payments(spark, sf_dir)
     d = o.join(pay, o["o_orderkey"] == pay["l_orderkey"], "left")
     k, c, od = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
-    pipe = _case(F.col("o_orderpriority"), {
-        "1-URGENT": C.OLD_RENEWAL_PIPELINE_ID, "2-HIGH": C.NEW_RENEWAL_PIPELINE_ID,
-        "3-MEDIUM": C.WINBACK_PIPELINE_ID, "4-NOT SPECIFIED": "100000001"})
+    pipe = _case(F.col("o_orderpriority"), PIPELINES)
+    # A pipeline's stages are a constant array looked up by slot: filters repeat this expression, so that a
+    # CASE over every pipeline and slot would be walked several times a row.
     slots = stage_slots()
-    pipe_sql = ("CASE o_orderpriority WHEN '1-URGENT' THEN '%s' WHEN '2-HIGH' THEN '%s' WHEN '3-MEDIUM' THEN '%s' "
-                "WHEN '4-NOT SPECIFIED' THEN '100000001' END" % (C.OLD_RENEWAL_PIPELINE_ID, C.NEW_RENEWAL_PIPELINE_ID,
-                                                                C.WINBACK_PIPELINE_ID))
     slot_sql = f"((o_orderkey * 7 + o_custkey) % {STAGE_SLOTS})"
-    stage = F.expr("CASE " + " ".join(
-        f"WHEN ({pipe_sql}) = {_sql_str(p)} AND {slot_sql} = {i} THEN {_sql_str(st)}" for (p, i), st in slots.items())
-        + f" ELSE concat('x-', CAST({slot_sql} AS STRING)) END")
+    own = {p: [st for (of, _), st in slots.items() if of == p] for p, _ in slots}
+    stage = F.expr("coalesce(CASE o_orderpriority " + " ".join(
+        f"WHEN {_sql_str(prio)} THEN {_pick_text(slot_sql, own[p])}" for prio, p in PIPELINES.items() if p in own)
+        + f" END, concat('x-', CAST({slot_sql} AS STRING)))")
     tiers = tier_values()
     tier = _pick_sql(f"o_custkey % {len(tiers)}", tiers)
     tier = F.when(k % 11 == 0, F.lit(None).cast("string")).otherwise(
@@ -174,21 +179,31 @@ def raw_deal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(cols)
 
 
+def _mod(r: int, n: int) -> int:
+    """r % n as in SQL, with the sign of r."""
+    return r % n if r >= 0 else -(-r % n)
+
+
+#: The activity of a meeting by its event's type and what its id leaves when divided by 6 (-5 to 5).
+ACTIVITIES = {
+    "signup": lambda r: "Renewal 3 Month" if r % 2 == 0 else "Renewal Accelerator 3 month",
+    "click": lambda r: {0: "Renewal Strategy", 1: "Renewal Accelerator"}.get(_mod(r, 3), "Renewal Follow-up"),
+    "view": lambda r: "Renewal Post Webinar Call" if r % 2 == 0 else "Renewal Strategy Alignment",
+    "purchase": lambda r: "Renewal Winback Call",
+    "error": lambda r: "Renewal Accelerator Evergreen" if r % 2 == 0 else None,
+}
+
+
 def raw_meeting(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events")
-    e, t = F.col("event_id"), F.col("event_type")
-    activity = (
-        F.when(t == "signup", F.when(e % 2 == 0, F.lit("Renewal 3 Month")).otherwise(F.lit("Renewal Accelerator 3 month")))
-        .when(t == "click", _case(e % 3, {0: "Renewal Strategy", 1: "Renewal Accelerator"}, F.lit("Renewal Follow-up")))
-        .when(t == "view", F.when(e % 2 == 0, F.lit("Renewal Post Webinar Call")).otherwise(F.lit("Renewal Strategy Alignment")))
-        .when(t == "purchase", F.lit("Renewal Winback Call"))
-        .when((t == "error") & (e % 2 == 0), F.lit("Renewal Accelerator Evergreen"))
-    )
-    outcome = (
-        F.when((e % 5 == 0) | (e % 5 == 3), F.lit("COMPLETED"))
-        .when(e % 5 == 1, F.when(e % 2 == 0, F.lit("CANCELED")).otherwise(F.lit("CANCELLED")))
-        .when(e % 5 == 4, F.when(e % 2 == 0, F.lit("NO_SHOW")).otherwise(F.lit("COMPLETED - NURTURE")))
-    )
+    e = F.col("event_id")
+    # Lookups in constant arrays, as filters repeat these expressions many times over.
+    kinds = ", ".join(map(_sql_str, ACTIVITIES))
+    activity = _pick_sql(f"(array_position(array({kinds}), event_type) - 1) * 11 + coalesce(event_id % 6, -1) + 5",
+                         [of(r) for of in ACTIVITIES.values() for r in range(-5, 6)])
+    done, lost = "COMPLETED", ("CANCELED", "CANCELLED")
+    outcome = F.when(e % 5 == 0, F.lit(done)).otherwise(
+        _pick_sql("event_id % 10", (done, lost[1], None, done, "NO_SHOW", done, lost[0], None, done, "COMPLETED - NURTURE")))
     start = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz") - F.make_dt_interval(F.lit(EVENT_SHIFT_DAYS))
     return ev.select(
         e.alias("engagement_id"),

@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from dealflow import config as C
 from dealflow.functions.dates import WINDOW_PRESETS, window_dates
 from dealflow.operators import cube as K
 from dealflow.operators import metrics as MT
@@ -92,3 +93,28 @@ def test_paged_extract(spark, tmp_path):
     with pytest.raises(scans.IncompleteExtract):
         scans.paged_extract(spark, str(tmp_path / "whole"), ["dealstage"])
     assert scans.other_side(got, ["dealstage"]).columns == ["id", "dealstage"]
+
+
+def test_bucketed_audit_reads_unions_no_oftener_than_tables(spark, tmp_path):
+    """Sums of both sides aren't computed anew for every branch of a side's union."""
+    for name in "abcd":
+        spark.createDataFrame([(f"m{i % 2}", f"{name}{i}") for i in range(20)], "metric_id string, id string").write.parquet(str(tmp_path / name))
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    diff = RC.audit_diff_by_bucket(read("a").unionByName(read("b")), read("c").unionByName(read("d")), by=["metric_id"])
+    plan = diff._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 4 + 2 * 4  # four for the ids, four for each side's list of buckets
+    assert diff.count() == 80
+
+
+def test_audit_ids_drops_rows_before_it_generates(spark):
+    """Rows that no metric counts don't reach the generator; days are read as before."""
+    deals = spark.createDataFrame([("1", C.OLD_RENEWAL_PIPELINE_ID, "175346331", "1", "2024-01-05T00:00:00Z", None), ("2", C.OLD_RENEWAL_PIPELINE_ID, "175346331", "1", "2024-1-5", None),
+                                   ("3", C.OLD_RENEWAL_PIPELINE_ID, "1", "1", "2024-01-05", None), ("4", C.WINBACK_PIPELINE_ID, "1401758776", None, "2024-01-31 ", None)],
+                                  "id string, pipeline string, dealstage string, hubspot_owner_id string, upsell___close_date string, renewal_traffic_source string")
+    calls = spark.createDataFrame([("7", "Renewal 3 Month", "COMPLETED", "1", "2024-01-05T12:00:00Z"), ("8", "Renewal 3 Month", "NO_SHOW", "1", "2024-01-05T12:00:00Z"),
+                                   ("9", "Renewal Post Webinar Call", "COMPLETED", None, "2024-02-01T03:00:00Z")],
+                                  "id string, hs_activity_type string, hs_meeting_outcome string, hubspot_owner_id string, hs_meeting_start_time string")
+    won = spark.createDataFrame([], "deal_id long, close_date_et date")
+    mine = spark.createDataFrame([], "meeting_id long, meeting_category string, meeting_date_et date, is_completed boolean")
+    _, theirs = RC.audit_ids(won, mine, deals, calls, "2024-01-01", "2024-01-31")
+    assert sorted(map(tuple, theirs.collect())) == [("deals_won", "1"), ("deals_won", "4"), ("pc_completed", "7"), ("pwc_completed", "9")]
