@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 WS = " \t\n\x0b\x0c\r"
 MAX_ID = 2**63 - 1
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,18 +41,22 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut(df: DataFrame, label: str) -> DataFrame:
+def cut(df: DataFrame, label: str, batch: int | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: its lineage
     ends there, and a lost executor costs only a re-read. The shuffle files of the write go
-    when it ends, as nothing reads them again."""
+    when it ends, as nothing reads them again. With ``batch`` the Arrow batches of the write
+    have no more rows than that."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP)
+    before = {k: spark.conf.get(k) for k in (CLEANUP, BATCH)}
     spark.conf.set(CLEANUP, "true")
+    if batch is not None and not 0 < int(before[BATCH]) <= batch:
+        spark.conf.set(BATCH, str(batch))
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_at = path
     return out

@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from dealflow.llm.common import MAX_ID, ByteWords, byte_words, cut, discard, flat_words, grams, mix, slices
 
 GRAM, DEPTH, ROOM = 11, 2, 8
+#: Bytes of text that a task takes words and hashes of at once (they need some twenty-five times as much), and
+#: rows of a batch: with a core's Python process each, this is what an executor holds beside its heap.
+SLICE, ROWS = 1_000_000, 2_000
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -32,7 +35,7 @@ def minimizers(h: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarra
         return none
     g = grams(h, gram)
     span = window - gram + 1
-    low = np.lib.stride_tricks.sliding_window_view(g, span).argmin(1) + np.arange(len(g) - span + 1)
+    low = least(g, span)
     owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.flatnonzero(owner[: len(low)] == owner[window - 1:])
     if not len(at):
@@ -43,6 +46,17 @@ def minimizers(h: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarra
     return at[begin], np.diff(np.append(begin, len(at))), g[low[begin]]
 
 
+def least(g: np.ndarray, span: int) -> np.ndarray:
+    """Where the least of every ``span`` consecutive entries is, the first of equal ones: windows of doubled
+    size from two that overlap, so that no entry is copied once a window."""
+    low, size = np.arange(len(g)), 1
+    while size < span:
+        step = min(size, span - size)
+        a, b = low[:-step], low[step:]
+        low, size = np.where(g[b] < g[a], b, a), size + step
+    return low
+
+
 def window_hashes(h: np.ndarray, window: int) -> np.ndarray:
     """The hash of every ``window`` consecutive words, from running sums."""
     n = len(h)
@@ -58,7 +72,7 @@ def _blocks(window: int):
     def run(batches):
         words = ByteWords(seed=21)
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", SLICE):
                 h, first = flat_words(part.column(2).to_pylist(), words, byte_words)
                 at, n, key = minimizers(h, first, window)
                 text = np.searchsorted(first, at, "right") - 1
@@ -73,7 +87,7 @@ def _windows(window: int):
     def run(batches):
         words = ByteWords(seed=22)
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", SLICE):
                 h, first = flat_words(part.column(2).to_pylist(), words, byte_words)
                 w = window_hashes(h, window)
                 runs = part.column(3)
@@ -94,7 +108,7 @@ def _windows(window: int):
 def _remove(window: int):
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "t"):
+            for part in slices(batch, "t", SLICE):
                 out, total, gone = [], [], []
                 for text, starts in zip(part.column(1).to_pylist(), part.column(2), strict=True):
                     words = byte_words(text)
@@ -137,7 +151,7 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     """
     base = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(MAX_ID)).alias("id"), F.col(doc_id).alias("own"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     base = base.withColumn("version", F.xxhash64("t"))
-    runs = cut(base.select("id", "version", "t").mapInArrow(_blocks(window), "id bigint, version bigint, at int, n int, key bigint"), "window-runs")
+    runs = cut(base.select("id", "version", "t").mapInArrow(_blocks(window), "id bigint, version bigint, at int, n int, key bigint"), "window-runs", ROWS)
     bits = max(10, math.ceil(math.log2(ROOM * runs.count() + 1)))
     for depth in range(DEPTH):
         cell = F.shiftrightunsigned(F.xxhash64(F.lit(depth), "key"), 64 - bits).alias("cell")
@@ -147,7 +161,7 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
         runs = kept
     mine = runs.groupBy("id", "version").agg(F.collect_set(F.struct("at", "n", "key")).alias("runs"))
     rows = base.select("id", "version", "t").join(mine, ["id", "version"])
-    held = cut(rows.mapInArrow(_windows(window), "id bigint, version bigint, at int, key bigint, hashes array<bigint>"), "windows")
+    held = cut(rows.mapInArrow(_windows(window), "id bigint, version bigint, at int, key bigint, hashes array<bigint>"), "windows", ROWS)
     discard(runs)
     each = held.select("id", "version", "key", F.posexplode("hashes").alias("i", "hash"), "at")
     again = cut(each.groupBy("key", "hash").agg(F.count("*").alias("n")).where("n > 1").select("key", "hash"), "repeated-windows")

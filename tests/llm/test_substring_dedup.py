@@ -64,3 +64,32 @@ def test_texts_of_one_id_whose_short_hashes_are_equal(spark, docs):
     rows = [(None, "p0 p1 p2 p3 p4 p5 p6 p7 p8 p9 own14627"), (None, "q0 q1 q2 q3 q4 q5 own131520"), (1, "p0 p1 p2 p3 p4 p5 p6 p7 p8 p9")]
     assert docs(rows[:2]).select(F.hash("text")).distinct().count() == 1
     assert got(docs(rows), window=6) == brute(rows, window=6)
+
+
+def test_a_task_holds_little_beside_its_batch():
+    """Hashes of a slice of the texts at a time: a task's memory doesn't grow with the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    r = random.Random(5)
+    texts = [" ".join(r.choice("abcdefgh") + str(r.randrange(400)) for _ in range(2000)) for _ in range(600)]
+    ids = pa.array(range(600), pa.int64())
+    run = pa.array([[{"at": 0, "n": 1966, "key": 1}]] * 600, pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32()), ("key", pa.int64())])))
+    for make, cols in ((S._blocks, [ids, ids, pa.array(texts)]), (S._windows, [ids, ids, pa.array(texts), run])):
+        batch = pa.RecordBatch.from_arrays(cols, names=["id", "version", "t", "runs"][: len(cols)])
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in make(35)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows >= 600 and peak < 40e6, (make.__name__, rows, peak)
+
+
+def test_least_of_every_span():
+    r = np.random.default_rng(3)
+    for span in (1, 2, 3, 7, 16, 25):
+        for top in (2, 2**40):
+            g = r.integers(0, top, span + 200).astype(np.uint64)
+            want = np.lib.stride_tricks.sliding_window_view(g, span).argmin(1) + np.arange(len(g) - span + 1)
+            assert (S.least(g, span) == want).all()
+    assert len(S.least(np.arange(5, dtype=np.uint64), 5)) == 1
