@@ -1,9 +1,10 @@
-"""Expressions that every filter over the landed tables repeats: constant-array lookups."""
+"""Expressions that every filter over the landed tables repeats: constant-array lookups and days read once a row."""
 
 import datetime as dt
 
 from dealflow import config as C
 from dealflow.functions import flags as FL
+from dealflow.operators import reconcile as RC
 from dealflow.plans import standins as S
 from pyspark.sql import functions as F
 
@@ -44,3 +45,15 @@ def test_category_holds_the_activity_once(spark):
     assert {r.a: r.c for r in df.select("a", FL.categorize("a").alias("c")).collect()} == {**all_types, **dict.fromkeys((*C.RETIRED_ACTIVITY_TYPES, "", None))}
     plan = spark.range(5).select(FL.categorize(F.concat(F.lit("needle"), F.col("id").cast("string"))).alias("c")).filter("c IN ('PC', 'RC')")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.split("\n")[1].count("needle") <= 2
+
+
+def test_text_days_are_read_once_a_row(spark):
+    texts = [None, "", "2001-02-03", "2001-02-03T04:05:06Z", "2001-02-30", "2000-02-29", "1900-02-29", "2001-2-3", "2001-02-3 ", " 2001-02-3", "2001-02-3T", "0000-01-01",
+             "+2001-01-1", "-001-01-01", "2001", "2001-02", "2001/02/03", "２001-02-03", "2001-02-0\n", "1582-10-10"]
+    df = spark.createDataFrame([(t,) for t in texts], "upsell___close_date string")
+    for r in df.selectExpr("upsell___close_date AS t", f"string({RC.day_sql('upsell___close_date', 'string', 'day')}) AS got", "string(try_to_date(substring(upsell___close_date, 1, 10), 'yyyy-MM-dd')) AS want").collect():
+        assert r.got == r.want, r
+    assert RC.with_days(df).columns == ["upsell___close_date", "upsell___close_date__day"]
+    rules = (RC.Rule("upsell___close_date", "BETWEEN", (RC.Bound.START, RC.Bound.END)), RC.Rule("upsell___close_date", "HAS_PROPERTY"))
+    one = RC.filter_sql(RC.with_days(df), rules, "2001-01-01", "2001-12-31")
+    assert "RLIKE" not in one and RC.filter_by_spec(RC.with_days(df), rules, "2001-01-01", "2001-12-31").count() == RC.filter_by_spec(df, rules, "2001-01-01", "2001-12-31").count() == 2
