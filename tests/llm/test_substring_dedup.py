@@ -93,3 +93,26 @@ def test_least_of_every_span():
             want = np.lib.stride_tricks.sliding_window_view(g, span).argmin(1) + np.arange(len(g) - span + 1)
             assert (S.least(g, span) == want).all()
     assert len(S.least(np.arange(5, dtype=np.uint64), 5)) == 1
+
+
+def test_what_is_read_once_is_not_written_and_windows_move_as_start_places(docs, prose, monkeypatch):
+    """Executors hold and write what is needed only: the last sketch row's runs go on without a table of their
+    own, and a window is shuffled with its start, not with its run's place and its number in the run."""
+    written, width = [], []
+    cut = S.cut
+
+    def seen(df, label, *more):
+        written.append(label)
+        if label == "removed":
+            plan = df._jdf.queryExecution().optimizedPlan()
+            while plan.nodeName() != "Join":
+                plan = plan.children().apply(0)
+            width.append(plan.children().apply(0).output().size())
+        return cut(df, label, *more)
+
+    monkeypatch.setattr(S, "cut", seen)
+    rows = [(i, prose(i % 3, 90)) for i in range(6)]
+    assert got(docs(rows)) == brute(rows)
+    assert written.count("repeated-runs") == S.DEPTH - 1 and written.count("sketch") == S.DEPTH
+    assert len(written) == len(set(written)) + S.DEPTH - 1
+    assert width == [5]
