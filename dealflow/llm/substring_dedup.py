@@ -141,9 +141,9 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     3. Runs left over meet their texts and give the hashes of their windows; these, together with
        the minimizer 128 bits from two independent word hashes, are counted exactly.
     4. What occurs twice or more goes back to the texts as window starts.
-    Every table that a hot minimizer or window meets again is written first, so that adaptive
-    execution can split that join; the counts combine before they are shuffled. A table goes
-    when the next that is made of it is written; what is read once only isn't written.
+    A join that a hot minimizer or window meets reads both sides from shuffles of its own, so that
+    adaptive execution can split it; the counts combine before they are shuffled. What is read
+    once only isn't written. A table goes when the next that is made of it is written.
 
     A null or empty text has no words; one shorter than ``window`` loses none. Rows that repeat are
     documents of their own: each loses all its windows. A null id is carried along. Other
@@ -153,19 +153,20 @@ def dedup_substrings(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     base = base.withColumn("version", F.xxhash64("t"))
     runs = cut(base.select("id", "version", "t").mapInArrow(_blocks(window), "id bigint, version bigint, at int, n int, key bigint"), "window-runs", ROWS)
     bits = max(10, math.ceil(math.log2(ROOM * runs.count() + 1)))
-    tables = [runs]
+    written = runs
     for depth in range(DEPTH):
         if depth:
             runs = cut(runs, "repeated-runs")
-            discard(*tables)
-            tables = [runs]
+            discard(written)
+            written = runs
         cell = F.shiftrightunsigned(F.xxhash64(F.lit(depth), "key"), 64 - bits).alias("cell")
-        tables.append(cut(runs.select(cell).groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select("cell"), "sketch"))
-        runs = runs.withColumn("cell", cell).join(tables[-1], "cell", "left_semi").drop("cell")
+        # Counted by cell, joined by its complement: the join then shuffles the row anew, and can be split.
+        row = runs.select(cell).groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").select(F.bitwise_not("cell").alias("cell"))
+        runs = runs.withColumn("cell", F.bitwise_not(cell)).join(row, "cell", "left_semi").drop("cell")
     mine = runs.groupBy("id", "version").agg(F.collect_set(F.struct("at", "n", "key")).alias("runs"))
     rows = base.select("id", "version", "t").join(mine, ["id", "version"])
     held = cut(rows.mapInArrow(_windows(window), "id bigint, version bigint, at int, key bigint, hashes array<bigint>"), "windows", ROWS)
-    discard(*tables)
+    discard(written)
     each = held.select("id", "version", "key", "at", F.posexplode("hashes").alias("i", "hash")).select("id", "version", "key", "hash", (F.col("at") + F.col("i")).alias("start"))
     again = cut(each.groupBy("key", "hash").agg(F.count("*").alias("n")).where("n > 1").select("key", "hash"), "repeated-windows")
     gone = cut(each.join(again, ["key", "hash"], "left_semi").groupBy("id", "version")
